@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanloom.session import table
 
-from . import byte_bpe, chat_format, url_filter
+from . import additive_quality, ball_tree, byte_bpe, chat_format, secret_ledger, stable_projection, url_filter, zstd_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,10 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 TIKTOKEN_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_stable_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stable_projection.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -37,6 +41,32 @@ FROM u LEFT JOIN (SELECT * FROM hit WHERE k = 1) h ON u.page_id = h.page_id
 """
 
 
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ledger.scan(table(spark, sf_dir, "documents"), secret_ledger.Ledger(spark))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",").alias("spans"),
+    ).withColumn("base_sha256", F.sha2("spans", 256))
+
+
+QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.7, 0.3
+
+
+def _judged(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select("doc_id", additive_quality.held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _judged(additive_quality.score(docs, additive_quality.train(docs, table(spark, sf_dir, "labels"))), QUALITY_THRESHOLD)
+
+
+def op6_zstd_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return _judged(zstd_toxicity.score(docs, zstd_toxicity.train(docs, table(spark, sf_dir, "labels"))), TOXIC_THRESHOLD)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TIKTOKEN_FILE))
 
@@ -79,13 +109,34 @@ FROM c GROUP BY conv_id
 """
 
 
+def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP10_SQL = r"""
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, k::INTEGER AS rank, vec_id, score FROM r WHERE k <= 5
+"""
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_stable_projection": op1_stable_projection,
         "op2_url_filter": op2_url_filter,
+        "op3_secret_ledger": op3_secret_ledger,
+        "op5_additive_quality": op5_additive_quality,
+        "op6_zstd_toxicity": op6_zstd_toxicity,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
+        "op10_ball_tree": op10_ball_tree,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op8_chat_format": OP8_SQL}
+    return {"op2_url_filter": OP2_SQL, "op8_chat_format": OP8_SQL, "op10_ball_tree": OP10_SQL}
