@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +26,19 @@ def build_session(app: str = "spanloom", master: str | None = None, **conf: str)
     return b.getOrCreate()
 
 
+ROOT = str(Path(__file__).resolve().parent.parent)
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver has it (on a cluster it is installed or shipped with the job)."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table. Timestamps without zone are read as UTC instants (the session runs in UTC)."""
+    let_workers_import(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz}) if ntz else df
