@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanloom.session import table
 
-from . import additive_quality, ball_tree, byte_bpe, chat_format, secret_ledger, stable_projection, url_filter, zstd_toxicity
+from . import additive_quality, ball_tree, byte_bpe, chat_format, prefix_join, secret_ledger, stable_projection, url_filter, zstd_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,10 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("base_sha256", F.sha2("spans", 256))
 
 
+def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_join.link_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.7, 0.3
 
 
@@ -130,6 +134,7 @@ def queries() -> dict[str, Query]:
         "op1_stable_projection": op1_stable_projection,
         "op2_url_filter": op2_url_filter,
         "op3_secret_ledger": op3_secret_ledger,
+        "op4_prefix_join": op4_prefix_join,
         "op5_additive_quality": op5_additive_quality,
         "op6_zstd_toxicity": op6_zstd_toxicity,
         "op7_byte_bpe": op7_byte_bpe,

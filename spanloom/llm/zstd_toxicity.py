@@ -174,6 +174,7 @@ class Words:
     whole: np.ndarray  # hash of each word
     context: np.ndarray  # hash of the word before, the word and the word after
     doc: np.ndarray
+    texts: int
 
     @staticmethod
     def of(texts: list[str]) -> Words:
@@ -186,7 +187,7 @@ class Words:
         near = np.concatenate([[np.uint64(0)], whole, [np.uint64(0)]])
         with np.errstate(over="ignore"):
             context = (near[:-2] * np.uint64(3) ^ (near[1:-1] >> np.uint64(7))) * np.uint64(_MIX) + near[2:]
-        return Words(h, starts, sizes, whole, context, doc)
+        return Words(h, starts, sizes, whole, context, doc, len(texts))
 
     def beginnings(self, least: int = 3, most: int = 24) -> tuple[np.ndarray, np.ndarray]:
         """(bytes that end a beginning of so many bytes, the word that each belongs to)."""
@@ -205,10 +206,23 @@ def _distinct(w: Words, at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, n
     return value, count, at[first[one]]
 
 
+def _chunks(texts: list[str]) -> Iterator[Words]:
+    """So that memory follows the size of a chunk and not that of the sample."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > first and size + len(t) > CHUNK:
+            yield Words.of(texts[first:i])
+            first, size = i, 0
+        size += len(t)
+    if texts:
+        yield Words.of(texts[first:])
+
+
 def train_dictionaries(texts: list[str], toxic: np.ndarray, least_z: float = 5.0, most: int = 2_000) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary. A beginning counts once for each context, so copies of a text add nothing."""
-    bad, good = Words.of([t for t, y in zip(texts, toxic) if y]), Words.of([t for t, y in zip(texts, toxic) if not y])
-    if not len(bad.starts) or not len(good.starts):
+    bad = Words.of([t for t, y in zip(texts, toxic) if y])
+    plain = [t for t, y in zip(texts, toxic) if not y]
+    if not len(bad.starts) or not plain:
         return b"", b""
     at, word = bad.beginnings()
     value, a, one = _distinct(bad, at, word)
@@ -218,12 +232,24 @@ def train_dictionaries(texts: list[str], toxic: np.ndarray, least_z: float = 5.0
     docs = np.searchsorted(at_doc, value, side="right") - np.searchsorted(at_doc, value)
     keep = (a >= 3) & (docs >= 3)
     value, a, one = value[keep], a[keep], one[keep]
-    at, word = good.beginnings()
-    known = value[np.minimum(np.searchsorted(value, good.h[at]), max(0, len(value) - 1))] == good.h[at] if len(value) else np.zeros(len(at), bool)
-    found, count, _ = _distinct(good, at[known], word[known])
+    # Ordinary texts: how often these beginnings stand there, and how often each word does.
+    seen, contexts, whole, sizes = [], [], [], []
+    for good in _chunks(plain):
+        at, word = good.beginnings()
+        known = np.isin(good.h[at], value)
+        seen.append(np.stack([good.h[at[known]], good.context[word[known]]], 1))
+        contexts.append(np.unique(good.context))
+        whole.append(good.whole)
+        sizes.append(good.sizes)
+    pairs = np.concatenate(seen)
+    with np.errstate(over="ignore"):
+        _, first = np.unique((pairs[:, 0] ^ (pairs[:, 1] * np.uint64(_PRIME))) * np.uint64(_MIX), return_index=True)
+    found, count = np.unique(pairs[first, 0], return_counts=True)
     b = np.zeros(len(value), np.int64)
     b[np.searchsorted(value, found)] = count
-    na, nb = len(np.unique(bad.context)), len(np.unique(good.context))
+    na, nb = len(np.unique(bad.context)), len(np.unique(np.concatenate(contexts)))
+    if not nb:
+        return b"", b""
     p = (a + b) / (na + nb)
     z = (a / na - b / nb) / np.sqrt(p * (1 - p) * (1 / na + 1 / nb))
     owner = np.searchsorted(bad.starts, one, side="right") - 1
@@ -240,28 +266,29 @@ def train_dictionaries(texts: list[str], toxic: np.ndarray, least_z: float = 5.0
             chosen.append((s, e))
             picked.add(own[-1])
             taken.update(own)
+    if not chosen:
+        return b"", b""
     # With a chosen beginning go the whole words of toxic texts that have it and that ordinary texts lack.
-    at, word = bad.starts + bad.sizes - 1, np.arange(len(bad.starts))
-    value, _, one = _distinct(bad, at, word)
-    fresh = ~np.isin(value, good.whole)
+    whole, first, count = np.unique(np.concatenate(whole), return_index=True, return_counts=True)
+    length = np.concatenate(sizes)[first]
+    value, _, one = _distinct(bad, bad.starts + bad.sizes - 1, np.arange(len(bad.starts)))
     under = np.zeros(len(bad.starts), bool)
     under[np.searchsorted(bad.starts, np.flatnonzero(np.isin(bad.h, np.array(sorted(picked), np.uint64))), side="right") - 1] = True
-    chosen += [(int(bad.starts[w]), int(e) + 1) for e in np.sort(one[fresh]).tolist() if under[w := int(np.searchsorted(bad.starts, e, side="right")) - 1]][:most]
+    chosen += [(int(bad.starts[w]), int(e) + 1) for e in np.sort(one[~np.isin(value, whole)]).tolist() if under[w := int(np.searchsorted(bad.starts, e, side="right")) - 1]][:most]
     # The ordinary words that come nearest to a chosen beginning but aren't, then the words that fill most of the ordinary texts.
     parents = np.array(sorted({int(bad.h[e - 2]) for s, e in chosen if e - s > 3}), np.uint64)
-    near = np.zeros(len(good.starts), bool)
-    near[np.searchsorted(good.starts, np.flatnonzero(np.isin(good.h, parents)), side="right") - 1] = True
-    _, first, count = np.unique(good.whole, return_index=True, return_counts=True)
-    s, n = good.starts[first], good.sizes[first]
-    order = np.lexsort((good.whole[first], -count * n, ~near[first]))
-    base: list[np.ndarray] = []
-    room = BASE_BYTES
-    for i in order.tolist():
-        if n[i] * WIDTH > room:
-            break
-        if not near[first[i]] or picked.isdisjoint(good.h[s[i] : s[i] + n[i]].tolist()):
-            base.append(good.h[s[i] : s[i] + n[i]])
-            room -= int(n[i]) * WIDTH
+    near: set[int] = set()
+    for good in _chunks(plain):
+        near.update(good.whole[np.searchsorted(good.starts, np.flatnonzero(np.isin(good.h, parents)), side="right") - 1].tolist())
+    order = np.lexsort((whole, -count * length, ~np.isin(whole, np.array(sorted(near), np.uint64))))
+    order = order[np.cumsum(length[order]) * WIDTH <= BASE_BYTES]
+    rank = dict(zip(whole[order].tolist(), range(len(order))))
+    parts: dict[int, np.ndarray] = {}
+    for good in _chunks(plain):
+        for w in np.flatnonzero(np.isin(good.whole, whole[order])).tolist():
+            if (v := int(good.whole[w])) not in parts:
+                parts[v] = good.h[good.starts[w] : good.starts[w] + good.sizes[w]].copy()
+    base = [x for v, x in sorted(parts.items(), key=lambda x: rank[x[0]]) if v not in near or picked.isdisjoint(x.tolist())]
     # Frequent words stand last, at the shortest distance; what only the toxic dictionary has stands first.
     ordinary = coded(np.concatenate(base[::-1])).tobytes() if base else b""
     return ordinary, b"".join(coded(bad.h[s:e]).tobytes() for s, e in chosen[::-1]) + ordinary if chosen and base else b""
@@ -269,11 +296,13 @@ def train_dictionaries(texts: list[str], toxic: np.ndarray, least_z: float = 5.0
 
 def folds(texts: list[str]) -> np.ndarray:
     """Two halves by the least hash of a text's contexts, so that most copies of a text fall into one half."""
-    w = Words.of(texts)
-    least = np.full(len(texts), 2**64 - 1, np.uint64)
-    with np.errstate(over="ignore"):
-        np.minimum.at(least, w.doc, w.context * np.uint64(_PRIME))
-    return (least >> np.uint64(9)) % np.uint64(2)
+    out = []
+    for w in _chunks(texts):
+        least = np.full(w.texts, 2**64 - 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.minimum.at(least, w.doc, w.context * np.uint64(_PRIME))
+        out.append((least >> np.uint64(9)) % np.uint64(2))
+    return np.concatenate(out)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> list[tuple[float, float]]:
