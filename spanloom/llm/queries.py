@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spanloom.session import table
 
-from . import additive_quality, ball_tree, byte_bpe, chat_format, prefix_join, secret_ledger, stable_projection, url_filter, zstd_toxicity
+from . import additive_quality, ball_tree, byte_bpe, chat_format, nnls_packing, prefix_join, secret_ledger, stable_projection, url_filter, zstd_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +113,13 @@ FROM c GROUP BY conv_id
 """
 
 
+BPE_FILE = "byte_bpe_50k.json"
+
+
+def op9_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nnls_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
+
+
 def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -139,6 +146,7 @@ def queries() -> dict[str, Query]:
         "op6_zstd_toxicity": op6_zstd_toxicity,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
+        "op9_nnls_packing": op9_nnls_packing,
         "op10_ball_tree": op10_ball_tree,
     }
 
