@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import keep_rows
+
 MAX_ROWS, BINS, PAIR_BINS, ROUNDS, PAIRS, PAIR_ROUNDS, RATE = 20_000, 32, 8, 60, 6, 40, 0.2
 
 FEATURES = (
@@ -142,12 +144,16 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     return m
 
 
+def matrix(texts: list[str]) -> np.ndarray:
+    return np.array([features(t) for t in texts]).reshape(len(texts), len(FEATURES))
+
+
 def _features_of(batches: Iterator[pa.RecordBatch], names: list[str], more) -> Iterator[pa.RecordBatch]:
     """The last column is the text; it gives way to ``more(matrix of features)``."""
     for b in batches:
         for k in range(0, b.num_rows, 1024):
             part = b.slice(k, 1024)
-            x = np.array([features(t or "") for t in part.column(b.num_columns - 1).to_pylist()]).reshape(part.num_rows, len(FEATURES))
+            x = matrix([t or "" for t in part.column(b.num_columns - 1).to_pylist()])
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *more(x)], names=names)
 
 
@@ -178,3 +184,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``id_col, score`` for every row."""
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(lambda it: _features_of(it, [id_col, "score"], lambda x: [pa.array(model.score(x))]), f"`{id_col}` {kind}, score double")
+
+
+def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The documents with at least that score, with all their columns."""
+    return keep_rows(docs, lambda texts: model.score(matrix(texts)) >= threshold, text_col)

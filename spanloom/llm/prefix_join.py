@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize
+from .shared import materialize, small_or_shuffled
 from .shingles import mix, sets
 
-#: Counters of the sketch (fixed, whatever the input), its pieces, minhashes, ids that may be broadcast.
-SKETCH, PIECES, HASHES, BROADCAST_IDS = 1 << 20, 64, 4, 250_000
+#: Counters of the sketch (fixed, whatever the input), its pieces, minhashes.
+SKETCH, PIECES, HASHES = 1 << 20, 64, 4
 _SHIFT = np.uint64(64 - (SKETCH.bit_length() - 1))
 
 
@@ -110,9 +110,8 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """pairs: distinct ``x, y``. Adds ``both`` and ``either``, the sizes of intersection and union."""
-    ids = materialize(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
-    if ids.count() <= BROADCAST_IDS:  # a bounded list reaches the scan, so that only these texts move
-        ids = F.broadcast(ids)
+    # A short list reaches the scan, so that only these texts move.
+    ids = small_or_shuffled(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -277,3 +276,10 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     c = found.select(F.col("u").alias("x"), F.col("component").alias("cx"))
     p = pairs.join(c, "x", "left").join(c.select(F.col("x").alias("y"), F.col("cx").alias("cy")), "y", "left")
     return materialize(p.filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y", "d"), "open_pairs")
+
+
+def keep_first(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, but those that links connect to a smaller id."""
+    found = link_components(docs, k, percent, id_col, text_col)
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).cast(docs.schema[id_col].dataType)).distinct()
+    return docs.join(small_or_shuffled(gone, "near_copies"), id_col, "left_anti").select(docs.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +149,7 @@ def queries() -> dict[str, Query]:
         "op8_chat_format": op8_chat_format,
         "op9_nnls_packing": op9_nnls_packing,
         "op10_ball_tree": op10_ball_tree,
+        "pipeline": corpus_pipeline.run,
     }
 
 

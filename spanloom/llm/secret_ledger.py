@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_path
+from .shared import new_path, small_or_shuffled
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -102,19 +102,36 @@ class Ledger:
         rows.write.mode("append").parquet(self.path)
 
 
-def scan(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, blob, spans`` for every row of ``docs``. The ledger then knows all its blobs under this version."""
+def extend(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, text_col: str = "text") -> DataFrame:
+    """Scan what the ledger lacks of the blobs of ``docs``; returns ``blob, spans`` of all its blobs with findings."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     blobs = docs.select(blob_of(F.col(text_col)).alias("blob"), text.alias("text")).mapInArrow(_first_copies, "blob binary, text string").repartition(F.col("blob"))
     if ledger.exists():
         known = ledger.read().filter(F.col("rule_version") == version).select("blob")
         blobs = blobs.join(known, "blob", "left_anti").repartition(F.col("blob"))
     ledger.append(scan_blobs(blobs, rules).select(F.lit(version).alias("rule_version"), "blob", "spans"))
-    findings = ledger.read().filter((F.col("rule_version") == version) & (F.size("spans") > 0)).select("blob", "spans")
+    return ledger.read().filter((F.col("rule_version") == version) & (F.size("spans") > 0)).select("blob", "spans")
+
+
+def scan(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, blob, spans`` for every row of ``docs``. The ledger then knows all its blobs under this version."""
+    findings = extend(docs, ledger, rules, version, text_col)
     rows = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))
     return rows.join(findings, "blob", "left").select(id_col, "blob", F.coalesce("spans", F.expr(f"CAST(array() AS {SPANS})")).alias("spans"))
 
 
+def redact_documents(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The documents, with all their columns, with ``[SECRET]`` for each span; ``length_col``, if there is one, follows the text."""
+    findings = small_or_shuffled(extend(docs, ledger, rules, version, text_col).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "findings")
+    out = docs.withColumn("_blob", blob_of(F.col(text_col))).join(findings, "_blob", "left")
+    changed = F.col("_spans").isNotNull()
+    out = out.withColumn(text_col, F.when(changed, redact(F.col(text_col), F.col("_spans"))).otherwise(F.col(text_col)))
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(changed, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    return out.select(docs.columns)
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span, overlapping ones as one, replaced by ``[SECRET]``."""
     merged = F.aggregate(

@@ -5,7 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,3 +42,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+#: Rows of a table of ids or the like that may be broadcast; longer ones are shuffled.
+BROADCAST_ROWS = 250_000
+
+
+def small_or_shuffled(df: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written to the shared folder, with the hint to broadcast it if it is proven to be short."""
+    df = materialize(df, label)
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def keep_rows(docs: DataFrame, judge: Callable[[list[str]], np.ndarray], text_col: str, rows: int = 1024) -> DataFrame:
+    """The rows of ``docs``, whole, whose texts (null as empty) ``judge`` calls true."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, rows):
+                part = b.slice(k, rows)
+                yield part.filter(pa.array(judge([t or "" for t in part.column(at).to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .additive_quality import training_labels
+from .shared import keep_rows
 
 #: Labelled rows used in training, words in a window, bytes of text handled at once, bytes of an ordinary dictionary.
 MAX_ROWS, WINDOW, CHUNK, BASE_BYTES = 6_000, 12, 1 << 20, 60_000
@@ -158,10 +159,13 @@ class Model:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_made"}
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        at = np.array([x for x, _ in self.steps] or [0.0])
+    def likelihood(self, saved: np.ndarray) -> np.ndarray:
+        at = np.array([x for x, _ in self.steps] or [-np.inf])
         value = np.array([v for _, v in self.steps] or [0.0])
-        return value[np.searchsorted(at, self.savings(texts), side="right") - 1]
+        return value[np.searchsorted(at, saved, side="right") - 1]
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        return self.likelihood(self.savings(texts))
 
 
 @dataclass
@@ -353,12 +357,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``id_col, score, saved`` for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, value = np.array([x for x, _ in model.steps]), np.array([v for _, v in model.steps])
         for b in batches:
             for k in range(0, b.num_rows, 1024):
                 part = b.slice(k, 1024)
                 saved = model.savings([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(value[np.searchsorted(at, saved, side="right") - 1]), pa.array(saved)], names=[id_col, "score", "saved"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.likelihood(saved)), pa.array(saved)], names=[id_col, "score", "saved"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, saved bigint")
+
+
+def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
+    """The documents below that score, with all their columns."""
+    return keep_rows(docs, lambda texts: model.score(texts) < threshold, text_col)
