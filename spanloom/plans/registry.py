@@ -1,17 +1,295 @@
-"""All queries of the engine and their SQL twins."""
+"""All queries of the engine by name, each over whole tables."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import attrs as A
+from ..functions import content as C
+from ..functions import refs
+from ..operators import archive, audit, dedup, dialog, facts, restore
+from ..operators.latest import latest_of
+from ..schemas import TF_SPANS, USER_SESSIONS
+from ..sources import adapters, otlp, thin
+from ..sources.adapters import AS_OF, conversation_spans, document_spans, document_values, event_facts, event_user_sessions
+from ..streaming import runner
+from . import marts, oracles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _spans(spark: SparkSession, d: str) -> DataFrame:
+    return latest_of(event_facts(spark, d), TF_SPANS)
+
+
+def _store(spark: SparkSession, d: str, kind: str = "wholefield") -> DataFrame:
+    return dedup.new_chunks(dedup.chunks_of(document_values(spark, d), kind), None)
+
+
+def _millis(c: str) -> F.Column:
+    return F.unix_millis(c)
+
+
+def _start_ms() -> F.Column:
+    return F.expr("start_ns div 1000000").alias("start_ms")
+
+
+def m1(spark, d):
+    spans = conversation_spans(spark, d)
+    return marts.end_reason_by_version(dialog.end_reasons(spans), facts.tf_spans(spans))
+
+
+def m3(spark, d):
+    return marts.dialog_funnel(dialog.end_reasons(conversation_spans(spark, d)))
+
+
+def spans_latest(spark, d):
+    return _spans(spark, d).select("session_id", _millis("ts").alias("ts_ms"), "span_id", "latency_ms", "inserted_at")
+
+
+def session_rollup(spark, d):
+    return _spans(spark, d).groupBy("session_id").agg(
+        F.count("*").alias("spans"), F.count_distinct("trace_id").alias("traces"), F.unix_millis(F.min("ts")).alias("first_ms"), F.unix_millis(F.max("ts")).alias("last_ms"), F.count_if(F.col("status_code") == "ERROR").alias("errors")
+    )
+
+
+def trace_rollup(spark, d):
+    return dialog.traces(conversation_spans(spark, d)).select("trace_id", "session_id", "spans", _start_ms(), F.expr("end_ns div 1000000").alias("end_ms"))
+
+
+def root_user_sessions(spark, d):
+    return facts.user_sessions(conversation_spans(spark, d)).select("user_id", "session_id", "trace_id", F.col("date").cast("string").alias("date"))
+
+
+def span_getters(spark, d):
+    return facts.tf_spans(conversation_spans(spark, d)).select("span_id", "session_id", "version", "model", "latency_ms", "input_tokens", "output_tokens", "finish_reason", "status_code")
+
+
+def heavy_candidates(spark, d):
+    """``note`` is as long but isn't on the list of paths."""
+    return dedup.candidates(document_spans(spark, d)).select(F.col("seq").alias("doc_id"), "path", F.octet_length("value").cast("long").alias("bytes"))
+
+
+def wholefield_chunks(spark, d):
+    c = dedup.chunks_of(document_values(spark, d))
+    return c.groupBy("hash").agg(F.count("*").alias("uses"), F.max(F.octet_length("data").cast("long")).alias("bytes"))
+
+
+def cas_anti_join(spark, d):
+    v = document_values(spark, d)
+    known = dedup.new_chunks(dedup.chunks_of(v.filter("seq % 3 = 0")), None)
+    return dedup.new_chunks(dedup.chunks_of(v), known).select("hash", F.col("raw_len").cast("long").alias("raw_len"))
+
+
+def cas_first_seen(spark, d):
+    return dedup.first_seen(dedup.chunks_of(document_values(spark, d))).select(F.col("seq").alias("doc_id"), "hash", "miss")
+
+
+def ref_roundtrip(spark, d):
+    r = dedup.refs_of(dedup.chunks_of(document_values(spark, d)))
+    return r.select(F.col("seq").alias("doc_id"), "ref", F.get(refs.parse_ref(F.col("ref")), F.lit(0)).alias("first_hash"), refs.is_ref(F.col("ref")).alias("is_ref"))
+
+
+def restore_spans(spark, d):
+    lean, chunks = dedup.thin(document_spans(spark, d))
+    return dedup.restore(lean, chunks).select(F.col("seq").alias("doc_id"), F.sha2(A.string("gen_ai.system_instructions"), 256).alias("system_sha"), F.sha2(A.string("note"), 256).alias("note_sha"))
+
+
+def fastcdc_restore_equal(spark, d):
+    c = dedup.chunks_of(document_values(spark, d), "fastcdc")
+    joined = F.aggregate(F.sort_array(F.collect_list(F.struct("pos", "data"))), F.lit(b""), lambda a, x: F.concat(a, x["data"]))
+    return c.groupBy("seq").agg(joined.alias("b")).select(F.col("seq").alias("doc_id"), F.sha2("b", 256).alias("sha"), F.octet_length("b").cast("long").alias("bytes"))
+
+
+def chunker_report(spark, d):
+    """Whole fields against content-defined chunks on long histories, where only the latter save."""
+    long = dedup.candidates(_padded(conversation_spans(spark, d)))
+    return dedup.meter(long, "wholefield").unionByName(dedup.meter(long, "fastcdc"))
+
+
+def _padded(spans: DataFrame, turn_bytes: int = 2500) -> DataFrame:
+    """Flat and JSON histories joined into one text each, every turn filled up to ``turn_bytes``."""
+    turns = F.transform(C.prompt_messages(), lambda m: F.concat(m["role"], F.lit(": "), F.substring(F.repeat(F.concat(m["content"], F.lit(" ")), turn_bytes), 1, turn_bytes)))
+    return spans.withColumn("attributes", F.array(adapters.kv("gen_ai.input.messages", "s", F.array_join(turns, "\n"))))
+
+
+def dialog_messages(spark, d):
+    return dialog.dialogs(conversation_spans(spark, d)).select(F.col("session").alias("session_id"), F.posexplode("dialog").alias("pos", "m")).select("session_id", F.col("pos").cast("long").alias("pos"), "m.role", F.sha2("m.content", 256).alias("content_sha"))
+
+
+def dialog_turns(spark, d):
+    x = F.col("dialog")
+    return dialog.dialogs(conversation_spans(spark, d)).select(F.col("session").alias("session_id"), dialog.count_turns(x).alias("turns"), dialog.distinct_turns(x).alias("distinct_turns"), F.size(x).cast("long").alias("messages"))
+
+
+def end_reason(spark, d):
+    return dialog.end_reasons(conversation_spans(spark, d)).withColumn("date", F.col("date").cast("string"))
+
+
+def prompt_text(spark, d):
+    return conversation_spans(spark, d).select("span_id", F.sha2(C.prompt(), 256).alias("prompt_sha"), F.sha2(C.completion(), 256).alias("completion_sha"))
+
+
+def _frames(spark, d):
+    return archive.frames(conversation_spans(spark, d)).withColumn("date", F.col("date").cast("string"))
+
+
+def archive_index(spark, d):
+    return _frames(spark, d).select("trace_id", "date", "hour", _millis("ts").alias("ts_ms"), "session_id", "spans")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder that driver and executors share; a temporary one only for local masters."""
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if base:
+        return f"{base.rstrip('/')}/run-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="spanloom-")
+
+
+def _archived(spark: SparkSession, d: str) -> archive.Archive:
+    a = archive.Archive(spark, scratch(spark))
+    a.append(conversation_spans(spark, d), 0)
+    return a
+
+
+def archive_range(spark, d):
+    got = _archived(spark, d).load_range(datetime(2024, 1, 5, tzinfo=timezone.utc), datetime(2024, 1, 12, tzinfo=timezone.utc))
+    return got.select("span_id", A.session_id().alias("session_id"))
+
+
+def archive_session(spark, d):
+    return _archived(spark, d).load_session("sess-7").select("span_id", _start_ms())
+
+
+def sample_traces(spark, d):
+    return _archived(spark, d).sample_traces(20)
+
+
+def restore_trace(spark, d):
+    lean, chunks = dedup.thin(document_spans(spark, d))
+    a = archive.Archive(spark, scratch(spark))
+    a.append(lean, 0)
+    trace = F.md5(F.lit("d3").cast("binary"))
+    trace_id = spark.range(1).select(trace.alias("t")).first()["t"]
+    return restore.restore_trace(a, chunks, trace_id).select(F.col("seq").alias("doc_id"), F.sha2(A.string("note"), 256).alias("text_sha"))
+
+
+def retention_verify(spark, d):
+    lean, chunks = dedup.thin(conversation_spans(spark, d), config=dedup.ExtractConfig(min_size=64))
+    return restore.verify(archive.frames(lean), lean, chunks).drop("bytes")
+
+
+def raw_audit(spark, d):
+    return audit.raw_audit(document_spans(spark, d)).select("spans", "with_session", "services", "system_prompts", "unique_system_prompts", "heavy_fields", "heavy_bytes", "unique_bytes")
+
+
+def smoke_asserts(spark, d):
+    return audit.smoke_asserts(audit.raw_audit(document_spans(spark, d)))
+
+
+def table_counts_union(spark, d):
+    n = lambda name, df: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+    return n("tf_spans", _spans(spark, d)).unionByName(n("user_sessions", latest_of(event_user_sessions(spark, d), USER_SESSIONS))).unionByName(n("session_end_reason", dialog.end_reasons(conversation_spans(spark, d))))
+
+
+def regroup_export(spark, d):
+    r = restore.regrouped(document_spans(spark, d))
+    return r.select("service", F.explode("scopes").alias("s")).select("service", "s.scope", F.size("s.spans").cast("long").alias("spans"))
+
+
+def _brief(spans: DataFrame) -> DataFrame:
+    return spans.select("span_id", A.session_id().alias("session_id"), _start_ms(), F.sha2(C.completion(), 256).alias("completion_sha"))
+
+
+def thin_roundtrip(spark, d):
+    return _brief(thin.decode(thin.encode(conversation_spans(spark, d))))
+
+
+def otlp_roundtrip(spark, d):
+    return _brief(otlp.decode(otlp.encode(conversation_spans(spark, d))))
+
+
+def late_span_hours(spark, d):
+    """Odd spans arrive a batch late and still land in the hour of their event."""
+    spans = conversation_spans(spark, d)
+    a = archive.Archive(spark, scratch(spark))
+    a.append(spans.filter("seq % 2 = 0"), 0)
+    a.append(spans.filter("seq % 2 = 1"), 1)
+    return a.spans().groupBy("trace_id", "date", "hour").agg(F.count("*").alias("spans")).withColumn("date", F.col("date").cast("string"))
+
+
+def lazy_facts(spark, d):
+    """Over the view with resolved text; the plan reads no chunk, as only numbers are asked for."""
+    lean, chunks = dedup.thin(conversation_spans(spark, d), config=dedup.ExtractConfig(min_size=64))
+    return restore.full_view(lean, chunks).groupBy(A.session_id().alias("session_id")).agg(F.count("*").alias("spans"), F.sum(F.expr("(end_ns - start_ns) div 1000000")).alias("latency_ms"))
+
+
+def stream_facts_equal_batch(spark, d):
+    """Thin lines through a stream to fact tables; the result equals the batch."""
+    base = scratch(spark)
+    thin.encode(conversation_spans(spark, d)).select("value", "seq").write.parquet(f"{base}/lines")
+    tables = runner.Tables(spark, f"{base}/tables")
+    stream = spark.readStream.schema("value string, seq bigint").parquet(f"{base}/lines")
+    runner.run_stream(stream, facts.fact_processor, tables, f"{base}/checkpoint").awaitTermination()
+    return tables.read("tf_spans").select("span_id", "session_id", "latency_ms")
+
+
 def queries() -> dict[str, Query]:
-    return {}
+    return {
+        "m1_end_reason_by_version": m1,
+        "m2_hold_time_by_version": lambda s, d: marts.hold_time_by_version(_spans(s, d)),
+        "m2b_hold_time_by_day": lambda s, d: marts.hold_time_by_day(_spans(s, d)),
+        "m3_dialog_funnel": m3,
+        "m4_latency_tokens": lambda s, d: marts.latency_tokens(_spans(s, d)),
+        "m5_user_contacts_3d": lambda s, d: marts.user_contacts(latest_of(event_user_sessions(s, d), USER_SESSIONS), AS_OF),
+        "m6_data_quality": lambda s, d: marts.data_quality(_spans(s, d)),
+        "spans_latest": spans_latest,
+        "session_rollup": session_rollup,
+        "trace_rollup": trace_rollup,
+        "root_user_sessions": root_user_sessions,
+        "span_getters": span_getters,
+        "heavy_candidates": heavy_candidates,
+        "wholefield_chunks": wholefield_chunks,
+        "wholefield_meter": lambda s, d: dedup.meter(document_values(s, d), "wholefield"),
+        "cas_anti_join": cas_anti_join,
+        "cas_first_seen": cas_first_seen,
+        "dedup_stats": lambda s, d: dedup.dedup_stats(document_spans(s, d)),
+        "ref_roundtrip": ref_roundtrip,
+        "restore_spans": restore_spans,
+        "fastcdc_meter": lambda s, d: dedup.meter(document_values(s, d), "fastcdc"),
+        "fastcdc_restore_equal": fastcdc_restore_equal,
+        "chunker_report": chunker_report,
+        "dialog_messages": dialog_messages,
+        "dialog_turns": dialog_turns,
+        "end_reason": end_reason,
+        "prompt_text": prompt_text,
+        "archive_index": archive_index,
+        "archive_range": archive_range,
+        "archive_session": archive_session,
+        "sample_traces": sample_traces,
+        "restore_trace": restore_trace,
+        "retention_verify": retention_verify,
+        "raw_audit": raw_audit,
+        "smoke_asserts": smoke_asserts,
+        "cas_inspect": lambda s, d: audit.store_inspect(_store(s, d)),
+        "cas_top_segments": lambda s, d: audit.top_segments(_store(s, d)),
+        "index_inspect": lambda s, d: audit.index_inspect(_frames(s, d)),
+        "table_counts_union": table_counts_union,
+        "regroup_export": regroup_export,
+        "thin_roundtrip": thin_roundtrip,
+        "otlp_roundtrip": otlp_roundtrip,
+        "late_span_hours": late_span_hours,
+        "lazy_facts": lazy_facts,
+        "stream_facts_equal_batch": stream_facts_equal_batch,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
