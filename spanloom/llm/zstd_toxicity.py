@@ -236,21 +236,17 @@ def train_dictionaries(texts: list[str], toxic: np.ndarray, least_z: float = 5.0
     docs = np.searchsorted(at_doc, value, side="right") - np.searchsorted(at_doc, value)
     keep = (a >= 3) & (docs >= 3)
     value, a, one = value[keep], a[keep], one[keep]
-    # Ordinary texts: how often these beginnings stand there, and how often each word does.
-    seen, contexts, whole, sizes = [], [], [], []
+    # Ordinary texts: how often these beginnings stand there (contexts are told apart within a chunk), and how often each word does.
+    b = np.zeros(len(value), np.int64)
+    contexts, whole, sizes = [], [], []
     for good in _chunks(plain):
         at, word = good.beginnings()
         known = np.isin(good.h[at], value)
-        seen.append(np.stack([good.h[at[known]], good.context[word[known]]], 1))
+        found, count, _ = _distinct(good, at[known], word[known])
+        b[np.searchsorted(value, found)] += count
         contexts.append(np.unique(good.context))
         whole.append(good.whole)
         sizes.append(good.sizes)
-    pairs = np.concatenate(seen)
-    with np.errstate(over="ignore"):
-        _, first = np.unique((pairs[:, 0] ^ (pairs[:, 1] * np.uint64(_PRIME))) * np.uint64(_MIX), return_index=True)
-    found, count = np.unique(pairs[first, 0], return_counts=True)
-    b = np.zeros(len(value), np.int64)
-    b[np.searchsorted(value, found)] = count
     na, nb = len(np.unique(bad.context)), len(np.unique(np.concatenate(contexts)))
     if not nb:
         return b"", b""
