@@ -30,9 +30,14 @@ def traces(spans: DataFrame) -> DataFrame:
     )
 
 
-def with_session(spans: DataFrame) -> DataFrame:
-    """Spans with the session of their trace in ``session``; spans without one form the group of the empty session."""
-    return spans.join(traces(spans).select("trace_id", F.col("session_id").alias("session"), F.col("first_seq").alias("trace_seq")), "trace_id")
+def with_session(spans: DataFrame, columns: dict[str, Column], only: Column | None = None) -> DataFrame:
+    """``columns`` of spans with the session of their trace in ``session`` and the trace's place in ``trace_seq``.
+
+    The columns are computed before the join, so that no attribute list is shuffled. Spans without a session form the group
+    of the empty session.
+    """
+    narrow = (spans if only is None else spans.filter(only)).select("trace_id", *[c.alias(n) for n, c in columns.items()])
+    return narrow.join(traces(spans).select("trace_id", F.col("session_id").alias("session"), F.col("first_seq").alias("trace_seq")), "trace_id")
 
 
 def turns(spans: DataFrame) -> DataFrame:
@@ -43,7 +48,7 @@ def turns(spans: DataFrame) -> DataFrame:
     user = C.last_user(C.prompt_messages())
     reply = F.transform(C.completion_messages(), lambda m: C.message(F.lit("assistant"), m["content"]))
     said = F.concat(F.when(user != "", F.array(C.message(F.lit("user"), user))).otherwise(C.none()), reply)
-    return with_session(spans).filter(C.is_llm()).select("session", "start_ns", "trace_seq", "seq", said.alias("messages"))
+    return with_session(spans, {"start_ns": F.col("start_ns"), "seq": F.col("seq"), "messages": said}, C.is_llm())
 
 
 def dialogs(spans: DataFrame) -> DataFrame:
@@ -63,12 +68,13 @@ def distinct_turns(dialog: Column) -> Column:
 
 def session_signals(spans: DataFrame) -> DataFrame:
     """``session, min_start_ns, last_status, last_finish``: the latest model span of the dialogue service; of equal starts the first counts."""
-    main = (F.col("service") == DIALOG_SERVICE) & C.is_llm()
-    of_main = F.struct(A.status_code().alias("status"), A.first_string("gen_ai.response.finish_reasons").alias("finish"))
-    order = F.when(main, F.struct(F.col("start_ns").alias("start_ns"), (-F.col("trace_seq")).alias("trace_seq"), (-F.col("seq")).alias("seq")))
-    return with_session(spans).groupBy("session").agg(
-        F.min("start_ns").alias("min_start_ns"), F.max_by(F.when(main, of_main), order).alias("m")
-    ).select("session", "min_start_ns", F.coalesce("m.status", F.lit("")).alias("last_status"), F.coalesce("m.finish", F.lit("")).alias("last_finish"))
+    main = F.coalesce(F.col("service") == DIALOG_SERVICE, F.lit(False)) & C.is_llm()
+    of_main = F.when(main, F.struct(A.status_code().alias("status"), A.first_string("gen_ai.response.finish_reasons").alias("finish")))
+    narrow = with_session(spans, {"start_ns": F.col("start_ns"), "seq": F.col("seq"), "main": of_main})
+    order = F.when(F.col("main").isNotNull(), F.struct(F.col("start_ns").alias("start_ns"), (-F.col("trace_seq")).alias("trace_seq"), (-F.col("seq")).alias("seq")))
+    return narrow.groupBy("session").agg(F.min("start_ns").alias("min_start_ns"), F.max_by("main", order).alias("m")).select(
+        "session", "min_start_ns", F.coalesce("m.status", F.lit("")).alias("last_status"), F.coalesce("m.finish", F.lit("")).alias("last_finish")
+    )
 
 
 Classifier = Callable[[Column, dict[str, Column]], Column]
