@@ -6,9 +6,10 @@ collisions of 64-bit hashes.
 1. Equal sets collapse to their smallest id.
 2. A global order of shingles puts rare ones first: by the magnitude of their count in a sketch of fixed size that all
    documents are added to, then by hash. Sets that link share a shingle in the prefixes of this order.
-3. Sets with equal prefixes and size are gathered under a leader, the smallest id; so are sets with an equal minhash, as
-   near copies differ in the rare shingles that come first. A set that links to its leader joins its group; others are
-   groups of their own. Large groups of copies thereby count once in what follows.
+3. Sets with equal prefixes and size are gathered under a leader; so are sets with an equal minhash, as near copies differ
+   in the rare shingles that come first. The leader is the set whose shingles are the most frequent on average: of many
+   copies of one text, the one that was edited least. A set that links to its leader joins its group; others are groups of
+   their own. Large groups of copies thereby count once in what follows.
 4. Groups that share a prefix shingle are a candidate pair if sizes and positions allow a link. It is filtered by the exact
    distance of the leaders: Jaccard distance is a metric, so members can only link when the leaders' distance is at most
    the limit plus both radii.
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,9 +82,12 @@ def in_order(x: np.ndarray, magnitudes: np.ndarray, n: int) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``id, n, sig_a, sig_b, keys, prefix`` of every document; equal sets have equal signatures."""
+    """``id, n, sig_a, sig_b, keys, prefix, edits`` of every document; equal sets have equal signatures.
+
+    ``edits`` is low for a set of frequent shingles.
+    """
     magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
-    names = ["id", "n", "sig_a", "sig_b", "keys", "prefix"]
+    names = ["id", "n", "sig_a", "sig_b", "keys", "prefix", "edits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = magnitudes.value
@@ -90,22 +95,22 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for b in batches:
             for s in range(0, b.num_rows, 512):
                 part = b.slice(s, 512)
-                rows: list[list] = [[] for _ in range(5)]
+                rows: list[list] = [[] for _ in range(6)]
                 with np.errstate(over="ignore"):
                     for x in sets(part.column(1).to_pylist(), k):
                         y = mix(x)
                         p = in_order(x, m, prefix_length(len(x), percent)) if len(x) else x
                         same = np.uint64(len(x)) + (mix(p) * np.arange(1, 2 * len(p), 2, dtype=np.uint64)).sum(dtype=np.uint64)
                         keys = [int((x ^ a).min()) for a in salts] + [int(same)] if len(x) else []
-                        for out, v in zip(rows, (len(x), y.sum(dtype=np.uint64), (y * y).sum(dtype=np.uint64), keys, p.astype("<u8").tobytes())):
+                        for out, v in zip(rows, (len(x), y.sum(dtype=np.uint64), (y * y).sum(dtype=np.uint64), keys, p.astype("<u8").tobytes(), 255 - float(m[x >> _SHIFT].mean()) if len(x) else 0.0)):
                             out.append(v)
                 signed = lambda v: np.array(v, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(rows[0], pa.int32()), pa.array(signed(rows[1])), pa.array(signed(rows[2])), pa.array([signed(v) for v in rows[3]], pa.list_(pa.int64())), pa.array(rows[4], pa.binary())],
+                    [part.column(0), pa.array(rows[0], pa.int32()), pa.array(signed(rows[1])), pa.array(signed(rows[2])), pa.array([signed(v) for v in rows[3]], pa.list_(pa.int64())), pa.array(rows[4], pa.binary()), pa.array(rows[5], pa.float64())],
                     names=names,
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary")
+    return docs.select("id", "text").mapInArrow(run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double")
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -114,25 +119,34 @@ def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     ids = small_or_shuffled(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            for s in range(0, b.num_rows, 512):
-                part = b.slice(s, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype("<u8").tobytes() for x in sets(part.column(1).to_pylist(), k)], pa.binary())], names=["id", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())], names=["id", "s"])
 
+    # Compressed text is a quarter of a set.
     own = docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id bigint, s binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = zstandard.ZstdDecompressor()
+        last: tuple[int | None, np.ndarray] = None, np.zeros(0, np.uint64)
         for b in batches:
-            both, either = [], []
-            for p, q in zip(b.column(2), b.column(3)):
-                a, c = np.frombuffer(p.as_buffer(), "<u8"), np.frombuffer(q.as_buffer(), "<u8")
-                if len(a) > len(c):
-                    a, c = c, a
-                at = np.searchsorted(c, a)
-                n = int((c[np.minimum(at, max(0, len(c) - 1))] == a).sum()) if len(c) else 0
-                both.append(n)
-                either.append(len(a) + len(c) - n)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["x", "y", "both", "either"])
+            for s in range(0, b.num_rows, 256):
+                part = b.slice(s, 256)
+                ys = part.column(1).to_pylist()
+                new = [i for i, y in enumerate(ys) if y != (ys[i - 1] if i else last[0])]  # rows come by y, and a leader has many
+                left = sets([d.decompress(x.as_buffer()).decode() for x in part.column(2)], k)
+                right = sets([d.decompress(part.column(3)[i].as_buffer()).decode() for i in new], k)
+                both, either, fresh = [], [], set(new)
+                for i, a in enumerate(left):
+                    if i in fresh:
+                        last = ys[i], next(right)
+                    c = last[1]
+                    if len(a) > len(c):
+                        a, c = c, a
+                    n = int((c[np.minimum(np.searchsorted(c, a), len(c) - 1)] == a).sum()) if len(a) else 0
+                    both.append(n)
+                    either.append(len(a) + len(c) - n)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["x", "y", "both", "either"])
 
     p = pairs.select("x", "y").join(own.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x")
     p = p.join(own.select(F.col("id").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
@@ -219,16 +233,16 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     signature = ["sig_a", "sig_b", "n"]
     same = materialize(rows.filter("n > 0").groupBy(*signature).agg(F.min("id").alias("rep")), "same_sets")
     reps = rows.join(same, (rows["id"] == same["rep"]) & (rows["sig_a"] == same["sig_a"]) & (rows["sig_b"] == same["sig_b"]) & (rows["n"] == same["n"]), "left_semi")
-    reps = reps.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys", "prefix")])
+    reps = reps.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys", "prefix", "edits")])
 
     # Leaders of sets with an equal key, and which sets link to them.
-    keyed = reps.select("id", "n", F.posexplode("keys").alias("j", "key"))
-    leaders = keyed.groupBy("j", "key").agg(F.min(F.struct("id", "n")).alias("l"), F.count("*").alias("c")).filter("c > 1").select("j", "key", "l")
+    keyed = reps.select("id", "n", "edits", F.posexplode("keys").alias("j", "key"))
+    leaders = keyed.groupBy("j", "key").agg(F.min(F.struct("edits", "id", "n")).alias("l"), F.count("*").alias("c")).filter("c > 1").select("j", "key", "l")
     led = keyed.join(leaders, ["j", "key"]).select(F.col("id").alias("x"), F.col("l.id").alias("y"), F.col("n").alias("nx"), F.col("l.n").alias("ny"))
     led = led.filter((F.col("x") != F.col("y")) & (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))).select("x", "y").distinct()
     led = similarities(materialize(led, "led"), docs, k).filter(F.col("both") * 100 >= F.col("either") * percent)
     led = materialize(led.withColumn("d", 1 - F.col("both") / F.col("either")), "followers")
-    own = led.groupBy("x").agg(F.min(F.struct("y", "d")).alias("c")).select(F.col("x").alias("id"), F.col("c.y").alias("g"), F.col("c.d").alias("d"))
+    own = led.groupBy("x").agg(F.min(F.struct("d", "y")).alias("c")).select(F.col("x").alias("id"), F.col("c.y").alias("g"), F.col("c.d").alias("d"))
     members = materialize(reps.select("id", "n", "prefix").join(own, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g"), F.coalesce("d", F.lit(0.0)).alias("d"), F.col("g").isNotNull().alias("led"), "prefix"), "members")
     groups = materialize(members.filter("led").groupBy("g").agg(F.max("d").alias("r"), F.min("n").alias("lo"), F.max("n").alias("hi")), "groups")
 
