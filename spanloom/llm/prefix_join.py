@@ -10,9 +10,10 @@ collisions of 64-bit hashes.
    in the rare shingles that come first. The leader is the set whose shingles are the most frequent on average: of many
    copies of one text, the one that was edited least. A set that links to its leader joins its group; others are groups of
    their own. Large groups of copies thereby count once in what follows.
-4. Groups that share a prefix shingle are a candidate pair if sizes and positions allow a link. It is filtered by the exact
-   distance of the leaders: Jaccard distance is a metric, so members can only link when the leaders' distance is at most
-   the limit plus both radii.
+4. Groups that share a prefix shingle are a candidate pair if sizes, positions and bitmaps allow a link. A set's bitmap has
+   the parity of its shingles on each of 256 places, so that two bitmaps never differ in more places than the sets do in
+   shingles. The pair is then filtered by the exact distance of the leaders: Jaccard distance is a metric, so members can
+   only link when the leaders' distance is at most the limit plus both radii.
 5. Leaders that link make the groups one component. Pairs left in between are expanded to those members that the triangle
    inequality leaves, unless the groups are already connected, and verified.
 
@@ -81,13 +82,19 @@ def in_order(x: np.ndarray, magnitudes: np.ndarray, n: int) -> np.ndarray:
     return x[near[np.lexsort((x[near], key[near]))]]
 
 
+def bitmap(mixed: np.ndarray) -> np.ndarray:
+    """256 parities of the shingles that fall on each place."""
+    odd = (np.bincount((mixed >> np.uint64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8")
+
+
 def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``id, n, sig_a, sig_b, keys, prefix, edits`` of every document; equal sets have equal signatures.
+    """``id, n, sig_a, sig_b, keys, prefix, edits, bits`` of every document; equal sets have equal signatures.
 
     ``edits`` is low for a set of frequent shingles.
     """
     magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
-    names = ["id", "n", "sig_a", "sig_b", "keys", "prefix", "edits"]
+    names = ["id", "n", "sig_a", "sig_b", "keys", "prefix", "edits", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = magnitudes.value
@@ -95,22 +102,22 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for b in batches:
             for s in range(0, b.num_rows, 512):
                 part = b.slice(s, 512)
-                rows: list[list] = [[] for _ in range(6)]
+                rows: list[list] = [[] for _ in range(7)]
                 with np.errstate(over="ignore"):
                     for x in sets(part.column(1).to_pylist(), k):
                         y = mix(x)
                         p = in_order(x, m, prefix_length(len(x), percent)) if len(x) else x
                         same = np.uint64(len(x)) + (mix(p) * np.arange(1, 2 * len(p), 2, dtype=np.uint64)).sum(dtype=np.uint64)
                         keys = [int((x ^ a).min()) for a in salts] + [int(same)] if len(x) else []
-                        for out, v in zip(rows, (len(x), y.sum(dtype=np.uint64), (y * y).sum(dtype=np.uint64), keys, p.astype("<u8").tobytes(), 255 - float(m[x >> _SHIFT].mean()) if len(x) else 0.0)):
+                        for out, v in zip(rows, (len(x), y.sum(dtype=np.uint64), (y * y).sum(dtype=np.uint64), keys, p.astype("<u8").tobytes(), 255 - float(m[x >> _SHIFT].mean()) if len(x) else 0.0, bitmap(y))):
                             out.append(v)
                 signed = lambda v: np.array(v, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(rows[0], pa.int32()), pa.array(signed(rows[1])), pa.array(signed(rows[2])), pa.array([signed(v) for v in rows[3]], pa.list_(pa.int64())), pa.array(rows[4], pa.binary()), pa.array(rows[5], pa.float64())],
+                    [part.column(0), pa.array(rows[0], pa.int32()), pa.array(signed(rows[1])), pa.array(signed(rows[2])), pa.array([signed(v) for v in rows[3]], pa.list_(pa.int64())), pa.array(rows[4], pa.binary()), pa.array(rows[5], pa.float64()), pa.array(rows[6], pa.list_(pa.int64()))],
                     names=names,
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double")
+    return docs.select("id", "text").mapInArrow(run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double, bits array<bigint>")
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -154,7 +161,7 @@ def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``token, g, pos, lo, hi`` sorted by token become pairs of groups; a token's rows may span batches."""
+    """Rows ``token, g, pos, lo, hi, slack`` and four of bitmap, sorted by token, become pairs of groups; a token's rows may span batches."""
     kept: np.ndarray | None = None
     for b in batches:
         rows = np.stack([c.to_numpy() for c in b.columns], 1).astype(np.int64)
@@ -175,7 +182,12 @@ def _possible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     sizes = (100 * hi_a >= percent * lo_b) & (100 * hi_b >= percent * lo_a)
     # The shared token and what may follow it, against the least overlap of the smallest members.
     most = 1 + np.minimum(hi_a - a[:, 2] - 1, hi_b - b[:, 2] - 1)
-    return sizes & (most * (100 + percent) >= percent * (lo_a + lo_b)) & (a[:, 1] != b[:, 1])
+    ok = sizes & (most * (100 + percent) >= percent * (lo_a + lo_b)) & (a[:, 1] != b[:, 1])
+    # Places in which the leaders' bitmaps differ, less what members may differ from their leaders.
+    at = np.flatnonzero(ok)
+    differ = np.bitwise_count(a[at, 6:] ^ b[at, 6:]).sum(1, dtype=np.int64) - a[at, 5] - b[at, 5]
+    ok[at] = differ * (100 + percent) <= (100 - percent) * (hi_a[at] + hi_b[at])
+    return ok
 
 
 def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.RecordBatch]:
@@ -212,14 +224,16 @@ def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.Reco
                     keep(rows[at + j], rows[at + i])
             if held > 100_000:
                 yield from out()
+    # In a pair's first common shingle, the smaller set has it near enough to the start for a partner of its own size.
+    early = (rows[:, 4] - rows[:, 2]) * (100 + percent) >= 2 * percent * rows[:, 3]
     for s, n in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist()):
-        for i in range(0, n, block):
-            a = rows[s + i : s + min(n, i + block)]
-            for j in range(0, i + 1, block):
-                b = rows[s + j : s + min(n, j + block)]
+        own = rows[s : s + n]
+        small = own[early[s : s + n]]
+        for i in range(0, len(small), block):
+            a = small[i : i + block]
+            for j in range(0, n, block):
+                b = own[j : j + block]
                 u, v = np.divmod(np.arange(len(a) * len(b)), len(b))
-                if i == j:
-                    u, v = u[v < u], v[v < u]
                 keep(a[u], b[v])
                 if held > 100_000:
                     yield from out()
@@ -233,7 +247,7 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     signature = ["sig_a", "sig_b", "n"]
     same = materialize(rows.filter("n > 0").groupBy(*signature).agg(F.min("id").alias("rep")), "same_sets")
     reps = rows.join(same, (rows["id"] == same["rep"]) & (rows["sig_a"] == same["sig_a"]) & (rows["sig_b"] == same["sig_b"]) & (rows["n"] == same["n"]), "left_semi")
-    reps = reps.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys", "prefix", "edits")])
+    reps = reps.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys", "prefix", "edits", "bits")])
 
     # Leaders of sets with an equal key, and which sets link to them.
     keyed = reps.select("id", "n", "edits", F.posexplode("keys").alias("j", "key"))
@@ -241,23 +255,33 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     led = keyed.join(leaders, ["j", "key"]).select(F.col("id").alias("x"), F.col("l.id").alias("y"), F.col("n").alias("nx"), F.col("l.n").alias("ny"))
     led = led.filter((F.col("x") != F.col("y")) & (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))).select("x", "y").distinct()
     led = similarities(materialize(led, "led"), docs, k).filter(F.col("both") * 100 >= F.col("either") * percent)
-    led = materialize(led.withColumn("d", 1 - F.col("both") / F.col("either")), "followers")
-    own = led.groupBy("x").agg(F.min(F.struct("d", "y")).alias("c")).select(F.col("x").alias("id"), F.col("c.y").alias("g"), F.col("c.d").alias("d"))
-    members = materialize(reps.select("id", "n", "prefix").join(own, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g"), F.coalesce("d", F.lit(0.0)).alias("d"), F.col("g").isNotNull().alias("led"), "prefix"), "members")
-    groups = materialize(members.filter("led").groupBy("g").agg(F.max("d").alias("r"), F.min("n").alias("lo"), F.max("n").alias("hi")), "groups")
+    led = materialize(led.withColumns({"d": 1 - F.col("both") / F.col("either"), "delta": F.col("either") - F.col("both")}), "followers")
+    own = led.groupBy("x").agg(F.min(F.struct("d", "y", "delta")).alias("c")).select(F.col("x").alias("id"), "c.*")
+    members = reps.select("id", "n", "prefix", "bits").join(own, "id", "left").select(
+        "id", "n", F.coalesce("y", "id").alias("g"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("delta", F.lit(0)).alias("delta"), F.col("y").isNotNull().alias("led"), "prefix", "bits"
+    )
+    members = materialize(members, "members")
+    groups = members.filter("led").groupBy("g").agg(F.max("d").alias("r"), F.max("delta").alias("slack"))
+    groups = materialize(groups.join(members.select(F.col("id").alias("g"), "bits"), "g"), "groups")
 
     # Prefix shingles of groups; those of followers are added up before they move.
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            t = [np.frombuffer(x.as_buffer(), "<i8") for x in b.column(3)]
-            each = np.array([len(x) for x in t])
-            pos = np.concatenate([np.arange(n) for n in each] or [np.zeros(0, int)])
-            n = np.repeat(b.column(1).to_numpy(), each)
-            yield pa.record_batch({"token": pa.array(np.concatenate(t or [np.zeros(0, np.int64)])), "g": pa.array(np.repeat(b.column(0).to_numpy(), each)), "pos": pa.array(pos, pa.int32()), "lo": pa.array(n, pa.int32()), "hi": pa.array(n, pa.int32())})
-
-    index = lambda m: m.select("g", "n", "id", "prefix").mapInArrow(tokens, "token bigint, g bigint, pos int, lo int, hi int")
+            t = [np.frombuffer(x.as_buffer(), "<i8") for x in b.column(2)]
+            each = np.array([len(x) for x in t], np.int64)
+            row = np.repeat(np.arange(len(t)), each)
+            pos = np.arange(len(row)) - (np.cumsum(each) - each)[row]
+            n = pa.array(b.column(1).to_numpy()[row])
+            bits = b.column(3).flatten().to_numpy().reshape(-1, 4)[row]
+            yield pa.record_batch({"token": pa.array(np.concatenate([*t, np.zeros(0, np.int64)])), "g": pa.array(b.column(0).to_numpy()[row]), "pos": pa.array(pos, pa.int32()), "lo": n, "hi": n, **{f"b{i}": pa.array(bits[:, i]) for i in range(4)}})
+
+    bitmaps = [f"b{i}" for i in range(4)]
+    index = lambda m: m.select("g", "n", "prefix", "bits").mapInArrow(tokens, "token bigint, g bigint, pos int, lo int, hi int, " + ", ".join(f"{b} bigint" for b in bitmaps))
+    one = index(members.filter("NOT led")).withColumn("slack", F.lit(0).cast("long"))
     many = index(members.filter("led")).groupBy("token", "g").agg(F.min("pos").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    spread = index(members.filter("NOT led")).unionByName(many).repartition("token").sortWithinPartitions("token")
+    many = many.join(groups.select("g", "slack", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmaps)]), "g")
+    columns = ["token", "g", "pos", "lo", "hi", "slack", *bitmaps]
+    spread = one.select(columns).unionByName(many.select(columns)).repartition("token").sortWithinPartitions("token")
     pairs = materialize(spread.mapInArrow(lambda it: _runs(it, percent), "x bigint, y bigint").distinct(), "group_pairs")
 
     # The leaders' exact distance decides, or leaves the pair open for its members.

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text handled at once, unless one text is longer.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 _P, _M = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _P_INVERSE = pow(_P, -1, 2**64)
 _SEPARATORS = [0x20, *range(0x09, 0x0E)]
