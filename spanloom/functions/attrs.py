@@ -108,6 +108,11 @@ def _as_map(attrs: str | Column, shadows) -> Column:
     return F.map_from_entries(F.transform(kept, lambda a: F.struct(a["key"], a["s"])))
 
 
+def has_template(attrs: str | Column = "attributes") -> Column:
+    """Whether a span says which template its prompt came from."""
+    return has_attr("gen_ai.prompt.name", attrs)
+
+
 def lower_hex(id_bytes: Column) -> Column:
     return F.lower(F.hex(id_bytes))
 

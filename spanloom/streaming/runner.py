@@ -96,3 +96,18 @@ def run_batch(archive: Archive, processor: Processor, frm: datetime, to: datetim
     """A processor over a window of the archive, text resolved when there is a store."""
     spans = archive.load_range(frm, to, session_id, expand_sessions).drop("date", "hour", "batch_id")
     return processor(restore(spans, store) if store is not None else spans)
+
+
+def per_session(spans: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """For logic that expressions can't hold: a function over the spans of one session, as a pandas frame in order of start.
+
+    A session is handed over whole, so it must fit one worker; the empty session, which isn't one, is left out.
+    """
+    import pandas as pd
+
+    from ..functions import attrs as A
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        return function(frame.sort_values(["start_ns", "seq"], kind="stable"))
+
+    return spans.withColumn("session", A.session_id()).filter("session != ''").groupBy("session").applyInPandas(run, schema)

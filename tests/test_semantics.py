@@ -15,8 +15,9 @@ from spanloom.operators import archive, chunkers, dedup, dialog, facts, restore
 from spanloom.operators.audit import human_bytes
 from spanloom.operators.latest import latest
 from spanloom.schemas import MESSAGES
-from spanloom.sources import bundles, otlp, synth, thin
-from spanloom.streaming import runner
+from spanloom.plans import tables as ddl
+from spanloom.sources import bundles, otlp, raw, synth, thin
+from spanloom.streaming import metrics, runner
 
 
 def one(df, *columns):
@@ -368,3 +369,46 @@ def test_seeder(spark):
 
 def test_human_bytes():
     assert [human_bytes(n) for n in (0, 1023, 1024, 1536 * 1024)] == ["0 B", "1023 B", "1.0 KiB", "1.5 MiB"]
+
+
+def test_catalogue(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS loom_test")
+    assert ddl.create(spark, "loom_test") == ddl.create(spark, "loom_test") == sorted(ddl.DDL)
+    assert set(facts.tf_spans(synth.sessions(spark, 1)).columns) <= set(spark.table("loom_test.tf_spans").columns)
+    ddl.truncate(spark, "tf_spans", "loom_test")
+    with pytest.raises(ValueError):
+        ddl.truncate(spark, "nope")
+    spark.sql("DROP DATABASE loom_test CASCADE")
+
+
+def test_raw_sources_and_metrics(spark, tmp_path, spans_df):
+    base = f"file://{tmp_path}"
+    messages = otlp.encode(spans_df([rich(), rich() | {"seq": 5, "span_id": "ee" * 8}]))
+    messages.write.parquet(f"{base}/raw")
+    assert raw.raw_batch(spark, "parquet", f"{base}/raw").count() == 2 and raw.raw_batch(spark, "parquet", f"{base}/raw", limit=1).first()["seq"] == 4
+    seen = metrics.BatchMetrics()
+    spark.streams.addListener(seen)
+    stream = otlp.decode(raw.raw_stream(spark, "parquet", f"{base}/raw", maxFilesPerTrigger="1"))
+    tables = runner.Tables(spark, f"{base}/tables")
+    runner.run_dedup(stream, tables, f"{base}/c").awaitTermination()
+    assert tables.read("thin").count() == 2
+    for _ in range(50):
+        if sum(b[2] for b in seen.batches) >= 2:
+            break
+        import time
+
+        time.sleep(0.2)
+    spark.streams.removeListener(seen)
+    assert seen.rows(spark).agg(F.sum("input_rows")).first()[0] == 2 and seen.failures == 0
+
+
+def test_per_session(spark):
+    import pandas as pd
+
+    got = runner.per_session(synth.sessions(spark, 3), lambda f: pd.DataFrame({"session": [f.session.iloc[0]], "spans": [len(f)], "first": [f["name"].iloc[0]]}), "session string, spans bigint, first string")
+    rows = got.orderBy("session").collect()
+    assert len(rows) == 3 and all(r["first"] in ("pick_greeting", "chat gpt-4o-mini") for r in rows) and all(r["spans"] >= 5 for r in rows)
+
+
+def test_template_identity(spans_df):
+    assert one(spans_df([span(attributes=kvs(gen_ai__prompt__name="greeting"))]), A.has_template())[0] and not one(spans_df([span()]), A.has_template())[0]
