@@ -14,12 +14,14 @@ collisions of 64-bit hashes.
    the parity of its shingles on each of 256 places, so that two bitmaps never differ in more places than the sets do in
    shingles. The pair is then filtered by the exact distance of the leaders: Jaccard distance is a metric, so members can
    only link when the leaders' distance is at most the limit plus both radii.
-5. Leaders that link make the groups one component. Pairs left in between are expanded to those members that the triangle
-   inequality leaves, unless the groups are already connected, and verified.
+5. Leaders that link make the groups one component. Pairs left in between, unless the groups are already connected, are
+   expanded: the members of these groups pass the filters of step 4 on their own, each pair of different groups, and what is
+   left is verified.
 
 Defined results: a null text and one without words have an empty set, which links with nothing; its component is its own
-id. Copies and repeated rows link with each other. Rows with a null id are left out; rows that repeat an id are one document
-whose component holds all their texts. Texts are read whole. Other columns are ignored. An empty table gives no rows.
+id. Copies and repeated rows link with each other. Rows with a null id are left out. Rows that repeat an id with another text
+each get their own number of shingles and one component; where they differ, one of these texts stands for the id in links.
+Texts are read whole. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize, small_or_shuffled
+from .shared import in_arrow, materialize, small_or_shuffled
 from .shingles import mix, sets
 
 #: Counters of the sketch (fixed, whatever the input), its pieces, minhashes.
@@ -68,7 +70,7 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
             yield pa.record_batch({"piece": pa.array(list(sums), pa.int32()), "counts": pa.array([np.frexp(v.astype(float))[1].astype(np.uint8).tobytes() for v in sums.values()], pa.binary())})
 
     kind = "piece int, counts binary"
-    got = docs.select("text").mapInArrow(count, kind).repartition(PIECES, "piece").mapInArrow(add, kind).collect()
+    got = in_arrow(in_arrow(docs.select("text"), count, kind).repartition(PIECES, "piece"), add, kind).collect()
     out = np.zeros(SKETCH, np.uint8)
     for r in got:
         out[r["piece"] * width : (r["piece"] + 1) * width] = np.frombuffer(r["counts"], np.uint8)
@@ -117,7 +119,7 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     names=names,
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double, bits array<bigint>")
+    return in_arrow(docs.select("id", "text"), run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double, bits array<bigint>")
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
@@ -131,7 +133,7 @@ def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())], names=["id", "s"])
 
     # Compressed text is a quarter of a set.
-    own = docs.join(ids, "id", "left_semi").select("id", "text").mapInArrow(run, "id bigint, s binary")
+    own = in_arrow(docs.join(ids, "id", "left_semi").select("id", "text"), run, "id bigint, s binary")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
@@ -157,11 +159,14 @@ def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
 
     p = pairs.select("x", "y").join(own.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x")
     p = p.join(own.select(F.col("id").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
-    return p.mapInArrow(compare, "x bigint, y bigint, both bigint, either bigint")
+    return in_arrow(p, compare, "x bigint, y bigint, both bigint, either bigint")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``token, g, pos, lo, hi, slack`` and four of bitmap, sorted by token, become pairs of groups; a token's rows may span batches."""
+    """Rows ``token, g, pos, lo, hi, slack``, four of bitmap and ``own``, sorted by token, become pairs of ``g`` with different ``own``.
+
+    A token's rows may span batches.
+    """
     kept: np.ndarray | None = None
     for b in batches:
         rows = np.stack([c.to_numpy() for c in b.columns], 1).astype(np.int64)
@@ -182,10 +187,10 @@ def _possible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     sizes = (100 * hi_a >= percent * lo_b) & (100 * hi_b >= percent * lo_a)
     # The shared token and what may follow it, against the least overlap of the smallest members.
     most = 1 + np.minimum(hi_a - a[:, 2] - 1, hi_b - b[:, 2] - 1)
-    ok = sizes & (most * (100 + percent) >= percent * (lo_a + lo_b)) & (a[:, 1] != b[:, 1])
+    ok = sizes & (most * (100 + percent) >= percent * (lo_a + lo_b)) & (a[:, 1] != b[:, 1]) & (a[:, 10] != b[:, 10])
     # Places in which the leaders' bitmaps differ, less what members may differ from their leaders.
     at = np.flatnonzero(ok)
-    differ = np.bitwise_count(a[at, 6:] ^ b[at, 6:]).sum(1, dtype=np.int64) - a[at, 5] - b[at, 5]
+    differ = np.bitwise_count(a[at, 6:10] ^ b[at, 6:10]).sum(1, dtype=np.int64) - a[at, 5] - b[at, 5]
     ok[at] = differ * (100 + percent) <= (100 - percent) * (hi_a[at] + hi_b[at])
     return ok
 
@@ -229,14 +234,17 @@ def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.Reco
     for s, n in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist()):
         own = rows[s : s + n]
         small = own[early[s : s + n]]
-        for i in range(0, len(small), block):
-            a = small[i : i + block]
-            for j in range(0, n, block):
-                b = own[j : j + block]
-                u, v = np.divmod(np.arange(len(a) * len(b)), len(b))
-                keep(a[u], b[v])
-                if held > 100_000:
-                    yield from out()
+        # Members of one group aren't compared; where each row is a group of its own, all are taken together.
+        for g in [None] if (own[:, 10] == own[:, 1]).all() else np.unique(small[:, 10]).tolist():
+            few, many = (small, own) if g is None else (small[small[:, 10] == g], own[own[:, 10] != g])
+            for i in range(0, len(few), block):
+                a = few[i : i + block]
+                for j in range(0, len(many), block):
+                    b = many[j : j + block]
+                    u, v = np.divmod(np.arange(len(a) * len(b)), len(b))
+                    keep(a[u], b[v])
+                    if held > 100_000:
+                        yield from out()
     yield from out()
 
 
@@ -247,7 +255,7 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     signature = ["sig_a", "sig_b", "n"]
     same = materialize(rows.filter("n > 0").groupBy(*signature).agg(F.min("id").alias("rep")), "same_sets")
     reps = rows.join(same, (rows["id"] == same["rep"]) & (rows["sig_a"] == same["sig_a"]) & (rows["sig_b"] == same["sig_b"]) & (rows["n"] == same["n"]), "left_semi")
-    reps = reps.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "keys", "prefix", "edits", "bits")])
+    reps = reps.groupBy("id").agg(F.min(F.struct("sig_a", "n", "keys", "prefix", "edits", "bits")).alias("m")).select("id", "m.*")
 
     # Leaders of sets with an equal key, and which sets link to them.
     keyed = reps.select("id", "n", "edits", F.posexplode("keys").alias("j", "key"))
@@ -276,13 +284,21 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
             yield pa.record_batch({"token": pa.array(np.concatenate([*t, np.zeros(0, np.int64)])), "g": pa.array(b.column(0).to_numpy()[row]), "pos": pa.array(pos, pa.int32()), "lo": n, "hi": n, **{f"b{i}": pa.array(bits[:, i]) for i in range(4)}})
 
     bitmaps = [f"b{i}" for i in range(4)]
-    index = lambda m: m.select("g", "n", "prefix", "bits").mapInArrow(tokens, "token bigint, g bigint, pos int, lo int, hi int, " + ", ".join(f"{b} bigint" for b in bitmaps))
-    one = index(members.filter("NOT led")).withColumn("slack", F.lit(0).cast("long"))
+    columns = ["token", "g", "pos", "lo", "hi", "slack", *bitmaps, "own"]
+
+    def index(m: DataFrame) -> DataFrame:
+        """m: ``g, n, prefix, bits``."""
+        kinds = "token bigint, g bigint, pos int, lo int, hi int, " + ", ".join(f"{b} bigint" for b in bitmaps)
+        return in_arrow(m.select("g", "n", "prefix", "bits"), tokens, kinds)
+
+    def found_pairs(rows: DataFrame) -> DataFrame:
+        spread = rows.select(columns).repartition("token").sortWithinPartitions("token")
+        return in_arrow(spread, lambda it: _runs(it, percent), "x bigint, y bigint").distinct()
+
+    one = index(members.filter("NOT led")).withColumns({"slack": F.lit(0).cast("long"), "own": F.col("g")})
     many = index(members.filter("led")).groupBy("token", "g").agg(F.min("pos").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    many = many.join(groups.select("g", "slack", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmaps)]), "g")
-    columns = ["token", "g", "pos", "lo", "hi", "slack", *bitmaps]
-    spread = one.select(columns).unionByName(many.select(columns)).repartition("token").sortWithinPartitions("token")
-    pairs = materialize(spread.mapInArrow(lambda it: _runs(it, percent), "x bigint, y bigint").distinct(), "group_pairs")
+    many = many.join(groups.select("g", "slack", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmaps)]), "g").withColumn("own", F.col("g"))
+    pairs = materialize(found_pairs(one.select(columns).unionByName(many.select(columns))), "group_pairs")
 
     # The leaders' exact distance decides, or leaves the pair open for its members.
     limit = (100 - percent) / 100
@@ -296,11 +312,15 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
 
     open_pairs = _apart(near.filter("NOT linked").select("x", "y", "d"), found)
     if open_pairs.limit(1).count():
-        m = members.select("id", "n", "g", F.col("d").alias("dm"))
-        x, y = (m.select(F.col("id").alias(f"i{s}"), F.col("n").alias(f"n{s}"), F.col("g").alias(s), F.col("dm").alias(f"d{s}")) for s in "xy")
-        wide = open_pairs.join(x, "x").join(y, "y")
-        wide = wide.filter((F.col("dx") + F.col("dy") >= F.col("d") - limit - 1e-9) & (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx")))
-        wide = materialize(wide.select(F.least("ix", "iy").alias("x"), F.greatest("ix", "iy").alias("y")).distinct(), "expanded")
+        both = F.explode(F.array("x", "y")).alias("g")
+        m = members.join(open_pairs.select(both).distinct(), "g", "left_semi")
+        of = m.select("id", "g")
+        each = index(m.select(F.col("id").alias("g"), "n", "prefix", "bits")).withColumn("slack", F.lit(0).cast("long"))
+        near_members = found_pairs(each.join(of.select(F.col("id").alias("g"), F.col("g").alias("own")), "g"))
+        named = near_members.join(of.select(F.col("id").alias("x"), F.col("g").alias("gx")), "x").join(of.select(F.col("id").alias("y"), F.col("g").alias("gy")), "y")
+        opened = open_pairs.select(F.least("x", "y").alias("ga"), F.greatest("x", "y").alias("gb"))
+        wide = named.withColumns({"ga": F.least("gx", "gy"), "gb": F.greatest("gx", "gy")}).join(opened, ["ga", "gb"], "left_semi")
+        wide = materialize(wide.select("x", "y"), "expanded")
         more = similarities(wide, docs, k).filter(linked).select(F.col("x").alias("u"), F.col("y").alias("v"))
         found = components(found.select("u", F.col("component").alias("v")).unionByName(more))
 

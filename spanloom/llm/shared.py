@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,9 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    base = "file://" + tempfile.mkdtemp(prefix="spanloom-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = "file://" + tempfile.mkdtemp(prefix="spanloom-")
+    return _local[app]
+
+
+_local: dict[str, str] = {}
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -44,14 +48,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: Rows of a table of ids or the like that may be broadcast; longer ones are shuffled.
-BROADCAST_ROWS = 250_000
+#: Rows of a table of ids or the like that may be broadcast, and bytes of its files; larger ones are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 16 << 20
 
 
-def small_or_shuffled(df: DataFrame, label: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` written to the shared folder, with the hint to broadcast it if it is proven to be short."""
-    df = materialize(df, label)
-    return F.broadcast(df) if df.count() <= limit else df
+def small_or_shuffled(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder, with the hint to broadcast it if it is proven to be small."""
+    spark, schema = df.sparkSession, df.schema
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    df = spark.read.schema(schema).parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS else df
 
 
 def keep_rows(docs: DataFrame, judge: Callable[[list[str]], np.ndarray], text_col: str, rows: int = 1024) -> DataFrame:
@@ -64,4 +73,30 @@ def keep_rows(docs: DataFrame, judge: Callable[[list[str]], np.ndarray], text_co
                 part = b.slice(k, rows)
                 yield part.filter(pa.array(judge([t or "" for t in part.column(at).to_pylist()]), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
+
+
+#: Rows that Spark hands to a Python worker at once: long texts make the usual ten thousand too much for a small executor.
+BATCH_ROWS = 2_000
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker that goes on to the next task starts small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has no such call
+        pass
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with modest batches, by workers that give memory back at the end of a partition."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(lean, schema)
