@@ -55,6 +55,21 @@ def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_join.link_components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS x FROM s),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 85 * (a.n + b.n - c)),
+b AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT b.v, r.c FROM r JOIN b ON b.u = r.doc_id WHERE r.c < b.v)
+SELECT n.doc_id, any_value(n)::BIGINT AS n_shingles, min(c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY n.doc_id
+"""
+
+
 QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.7, 0.3
 
 
@@ -154,4 +169,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op8_chat_format": OP8_SQL, "op10_ball_tree": OP10_SQL}
+    return {"op2_url_filter": OP2_SQL, "op4_prefix_join": OP4_SQL, "op8_chat_format": OP8_SQL, "op10_ball_tree": OP10_SQL}

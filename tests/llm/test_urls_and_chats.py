@@ -96,7 +96,7 @@ def test_no_chats(spark):
     assert chat_format.format_chats(chats(spark, {})).count() == 0
 
 
-@pytest.mark.parametrize("name, tables", [("op2_url_filter", ["pages"]), ("op8_chat_format", ["conversations"]), ("op10_ball_tree", ["embeddings"])])
+@pytest.mark.parametrize("name, tables", [("op2_url_filter", ["pages"]), ("op8_chat_format", ["conversations"]), ("op10_ball_tree", ["embeddings"]), ("op4_prefix_join", ["documents"])])
 def test_queries_match_sql(spark, sf, name, tables):
     con = duckdb.connect()
     for t in tables:
