@@ -26,11 +26,12 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .shared import in_arrow
 
 #: Characters that a worker handles at once, unless one text is longer.
 CHUNK = 1 << 20
-#: Distinct slices whose ids a worker remembers.
+#: Distinct slices whose ids a worker remembers, in each of two generations.
 CACHE = 400_000
 
 OTHER, LETTER, NUMBER, SPACE, WHITE = range(5)
@@ -131,8 +132,8 @@ def boundaries(points: np.ndarray, width: int = 256) -> np.ndarray:
     return np.flatnonzero(starts[state, sym])
 
 
-def slices(texts: list[str]) -> Iterator[list[bytes]]:
-    """The matches of each text, as bytes, in order."""
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """The matches of each text, in order."""
     group: list[str] = []
     size = 0
     for t in texts:
@@ -145,25 +146,18 @@ def slices(texts: list[str]) -> Iterator[list[bytes]]:
         yield from _slices(group)
 
 
-def _slices(texts: list[str]) -> Iterator[list[bytes]]:
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    ends = np.cumsum(lengths + 1) - 1  # where each STOP is
-    points = np.empty(int(ends[-1]) + 1, np.uint32)
-    inside = np.ones(len(points), np.bool_)
-    inside[ends] = False
+def _slices(texts: list[str]) -> Iterator[list[str]]:
+    whole = "\0".join([*texts, ""])  # a place for the STOP after each text
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+    points = np.frombuffer(whole.encode("utf-32-le"), np.uint32).copy()
     points[ends] = 0xFFFFFFFF
-    points[inside] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     at = boundaries(points)
-    bytes_of = np.where(points < 0x80, 1, np.where(points < 0x800, 2, np.where(points < 0x10000, 3, 4)))
-    bytes_of[ends] = 0
-    offset = np.cumsum(bytes_of) - bytes_of
-    data = "".join(texts).encode()
-    first = np.searchsorted(at, ends - lengths).tolist()
     last = np.searchsorted(at, ends).tolist()
-    byte_at = offset[at].tolist()
-    for a, b in zip(first, last, strict=True):
-        cuts = byte_at[a : b + 1]  # up to this text's STOP
-        yield [data[x:y] for x, y in zip(cuts, cuts[1:])]
+    first = [0, *(x + 1 for x in last)]
+    cuts = at.tolist()
+    for a, b in zip(first, last):
+        own = cuts[a : b + 1]  # up to this text's STOP
+        yield [whole[x:y] for x, y in zip(own, own[1:])]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -221,16 +215,36 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Encoder(dict):
-    """From slices to their ids as little-endian unsigned 32-bit integers; fills itself, up to CACHE slices."""
+class Cache(dict):
+    """From slices to bytes, in two generations of CACHE entries each: what was not used while the younger one filled up is forgotten."""
+
+    def __init__(self) -> None:
+        self.older: dict[str, bytes] = {}
+
+    def room(self, n: int) -> None:
+        if len(self) + n > CACHE:
+            self.older = dict(self)
+            self.clear()
+
+    def revive(self, piece: str) -> bytes | None:
+        """The value from the older generation, which brings it into the younger one."""
+        if (v := self.older.get(piece)) is not None:
+            self[piece] = v
+        return v
+
+
+class Encoder(Cache):
+    """From slices to their ids as little-endian unsigned 32-bit integers; fills itself."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
+        super().__init__()
         self.ranks = ranks
 
-    def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        out = np.array(merge(piece, self.ranks), "<u4").tobytes()
+    def __missing__(self, piece: str) -> bytes:
+        self.room(1)
+        if (v := self.revive(piece)) is not None:
+            return v
+        out = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= 64:
             self[piece] = out
         return out
@@ -274,7 +288,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays([part, pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32())), pa.array(offsets, pa.list_(pa.int64()))], names=[id_col, "ids", "offsets"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, offsets array<bigint>")
+    return in_arrow(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, ids array<int>, offsets array<bigint>")
 
 
 def _encoded(t: Tokenizer, b: pa.RecordBatch, rows: int = 512) -> Iterator[tuple[list[bytes], pa.Array]]:
@@ -295,4 +309,4 @@ def digest_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([part, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(sha), pa.array(back)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return in_arrow(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -28,43 +28,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import CACHE, slices
-from .shared import materialize
+from .byte_bpe import Cache, slices
+from .shared import in_arrow, materialize
 
 WINDOW, DEPTH, STEPS, END_ID, GRAIN = 1024, 3, 400, 0, 32
 
 
-class LibraryEncoder(dict):
+#: Bytes that byte-level vocabularies write as themselves; the others are written as 256 and following.
+PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+
+
+class LibraryEncoder(Cache):
     """From pre-token slices to ids as little-endian unsigned 32-bit integers, by the ``tokenizers`` library, each slice once.
 
-    The library splits a text by the same pattern before it merges, so the ids of a text are those of its slices in order.
+    The library splits a text by the same pattern before it merges, so the ids of a text are those of its slices in order;
+    its merges are called without the split.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        (self.line_break,) = self.library.encode("\n", add_special_tokens=False).ids
-
-    def fill(self, pieces: set[bytes]) -> None:
-        """Slices with no white space but a leading space go to the library in lines: there a line break is a slice of its own."""
-        new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > CACHE:
-            self.clear()
-            new = list(pieces)
-        texts = [p.decode() for p in new]
-        plain = [t[t[0] == " " :].isalnum() for t in texts]
-        lines = [t for t, x in zip(texts, plain) if x]
-        keys = [p for p, x in zip(new, plain) if x]
-        groups = range(0, len(lines), 256)
-        for k, e in zip(groups, self.library.encode_batch_fast(["\n".join(lines[k : k + 256]) for k in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            cuts = [-1, *np.flatnonzero(ids == self.line_break).tolist(), len(ids)]
-            self.update((key, ids[a + 1 : b].tobytes()) for key, a, b in zip(keys[k : k + 256], cuts, cuts[1:]))
-        rest = [(p, t) for p, t, x in zip(new, texts, plain) if not x]
-        for (p, _), e in zip(rest, self.library.encode_batch_fast([t for _, t in rest], add_special_tokens=False)):
-            self[p] = np.array(e.ids, "<u4").tobytes()
+        super().__init__()
+        library = Tokenizer.from_file(path)
+        if library.normalizer is not None:
+            raise ValueError(f"{path}: a vocabulary without normalisation is needed")
+        self.merges = library.model.tokenize
+        others = (b for b in range(256) if b not in PRINTED)
+        self.letters = {b: b for b in PRINTED} | {b: 256 + i for i, b in enumerate(others)}
+
+    def __missing__(self, piece: str) -> bytes:
+        self.room(1)
+        if (v := self.revive(piece)) is not None:
+            return v
+        out = np.array([t.id for t in self.merges(piece.encode().decode("latin-1").translate(self.letters))], "<u4").tobytes()
+        if len(piece) <= 64:
+            self[piece] = out
+        return out
 
 
 @lru_cache(2)
@@ -94,9 +93,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 rows = b.slice(k, 512)
                 out: list[list[int]] = [[], [], [], []]
                 ids, crcs = [], []
-                cut = list(slices([t or "" for t in rows.column(1).to_pylist()]))
-                e.fill({p for s in cut for p in s})
-                for i, s in zip(rows.column(0).to_pylist(), cut):
+                for i, s in zip(rows.column(0).to_pylist(), slices([t or "" for t in rows.column(1).to_pylist()])):
                     x = memoryview(b"".join(map(e.__getitem__, s)) + end)
                     n = len(x) // 4
                     for a in range(0, n, window):
@@ -120,7 +117,7 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_arrays([pa.array(ids, rows.column(0).type), *(pa.array(v, pa.int64()) for v in out), pa.array(np.full(len(length), part), pa.int32()), pa.array(nth), pa.array(crcs, pa.binary())], names=names)
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, nth bigint, crcs binary")
+    return in_arrow(docs.select(id_col, text_col), run, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, nth bigint, crcs binary")
 
 
 def combinations(present: np.ndarray, window: int, depth: int) -> np.ndarray:
@@ -300,4 +297,4 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
 
     kind = dict(docs.dtypes)[id_col]
     ranked = cut.join(offsets, ["part", "length"]).select("id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("nth")).alias("r"), "crcs")
-    return ranked.mapInArrow(place, f"`{id_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
+    return in_arrow(ranked, place, f"`{id_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")
