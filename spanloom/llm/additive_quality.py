@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import keep_rows
+from .shared import in_arrow, keep_rows
 
 MAX_ROWS, BINS, PAIR_BINS, ROUNDS, PAIRS, PAIR_ROUNDS, RATE = 20_000, 32, 8, 60, 6, 40, 0.2
 
@@ -174,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     rows = docs.select(id_col, text_col).join(chosen, id_col).select(id_col, "y", text_col)
     kind = dict(docs.dtypes)[id_col]
     names = [id_col, "y", "x"]
-    got = rows.mapInArrow(lambda it: _features_of(it, names, lambda x: [pa.array(list(x), pa.list_(pa.float64()))]), f"`{id_col}` {kind}, y int, x array<double>").toPandas()
+    got = in_arrow(rows, lambda it: _features_of(it, names, lambda x: [pa.array(list(x), pa.list_(pa.float64()))]), f"`{id_col}` {kind}, y int, x array<double>").toPandas()
     got = got.sort_values([id_col, "y"], kind="stable")
     x = np.array(got["x"].tolist()).reshape(len(got), len(FEATURES))
     return fit(x, got["y"].to_numpy(float))
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, score`` for every row."""
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(lambda it: _features_of(it, [id_col, "score"], lambda x: [pa.array(model.score(x))]), f"`{id_col}` {kind}, score double")
+    return in_arrow(docs.select(id_col, text_col), lambda it: _features_of(it, [id_col, "score"], lambda x: [pa.array(model.score(x))]), f"`{id_col}` {kind}, score double")
 
 
 def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:

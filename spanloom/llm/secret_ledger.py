@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_path, small_or_shuffled
+from .shared import in_arrow, new_path, small_or_shuffled
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -80,7 +80,7 @@ def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 rows = [[{"kind": kind, "start": a, "end": e} for kind, a, e in scanner.spans(t or "")] for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))], names=["blob", "spans"])
 
-    return blobs.mapInArrow(run, f"blob binary, spans {SPANS}")
+    return in_arrow(blobs, run, f"blob binary, spans {SPANS}")
 
 
 class Ledger:
@@ -105,7 +105,7 @@ class Ledger:
 def extend(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, text_col: str = "text") -> DataFrame:
     """Scan what the ledger lacks of the blobs of ``docs``; returns ``blob, spans`` of all its blobs with findings."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    blobs = docs.select(blob_of(F.col(text_col)).alias("blob"), text.alias("text")).mapInArrow(_first_copies, "blob binary, text string").repartition(F.col("blob"))
+    blobs = in_arrow(docs.select(blob_of(F.col(text_col)).alias("blob"), text.alias("text")), _first_copies, "blob binary, text string").repartition(F.col("blob"))
     if ledger.exists():
         known = ledger.read().filter(F.col("rule_version") == version).select("blob")
         blobs = blobs.join(known, "blob", "left_anti").repartition(F.col("blob"))

@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .additive_quality import training_labels
-from .shared import keep_rows
+from .shared import give_back, in_arrow, keep_rows
 
 #: Labelled rows used in training, words in a window, bytes of text handled at once, bytes of an ordinary dictionary.
-MAX_ROWS, WINDOW, CHUNK, BASE_BYTES = 6_000, 12, 1 << 20, 60_000
+MAX_ROWS, WINDOW, CHUNK, BASE_BYTES = 6_000, 12, 1 << 19, 60_000
 WIDTH = 4
 _PRIME, _MIX = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93
 #: Tells the last byte of a word from the same beginning of a longer one.
@@ -346,7 +346,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     chosen = F.broadcast(training_labels(labels, label_col, id_col, max_rows))
     got = docs.select(id_col, text_col).join(chosen, id_col).select(id_col, "y", F.coalesce(text_col, F.lit("")).alias("text")).toPandas()
     got = got.sort_values([id_col, "y"], kind="stable")
-    return fit(got["text"].tolist(), got["y"].to_numpy(int))
+    texts, toxic = got["text"].tolist(), got["y"].to_numpy(int)
+    del got
+    model = fit(texts, toxic)
+    del texts
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -360,7 +365,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.likelihood(saved)), pa.array(saved)], names=[id_col, "score", "saved"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, saved bigint")
+    return in_arrow(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, score double, saved bigint")
 
 
 def keep(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
