@@ -1,9 +1,9 @@
 """Exact top-k by inner product: ball-tree branch and bound in each shard (operator 10).
 
-Components become ``floor(256 * x)``. A node's upper bound is ``q . centre + |q| * radius``; nodes are taken by decreasing
-bound until the bound falls below the kth score. That score is shared: a search starts with the kth score that the query
+Components become ``floor(256 * x)``. The upper bound of a node's ball is ``q . centre + |q| * radius``; the tree's leaves are
+taken by decreasing bound until the bound falls below the kth score. That score is shared: a search starts with the kth score that the query
 has among the longest vectors of the whole table, and carries it through the shard. Nodes whose bound equals the kth score
-are still opened, as ties go to the smaller id.
+are still taken, as ties go to the smaller id.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part; zero vectors do. Rows
 with a null id take no part. Equal vectors of a shard are one point with their smallest ids. A repeated id counts as so
@@ -13,8 +13,6 @@ range of a long are held at its ends. An empty table gives no rows.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,16 +20,21 @@ from pyspark.sql import functions as F
 
 from .vectors import collapse, finite, matrix, result, search_shards
 
-LEAF, SEEDS, LEAST = 32, 256, -(2**63)
+LEAF, SEEDS, LEAST = 64, 256, -(2**63)
 
 
 def whole(x: np.ndarray) -> np.ndarray:
     return np.floor(256.0 * x)
 
 
+def exact(points: np.ndarray, queries: np.ndarray) -> bool:
+    """Whether no product of these integers can leave what a double holds exactly."""
+    return float(np.abs(points).max(initial=0)) * float(np.abs(queries).max(initial=0)) * points.shape[1] < 2**52
+
+
 def products(points: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Exact integer inner products as int64."""
-    if points.size and float(np.abs(points).max()) * float(np.abs(q).max(initial=0)) * points.shape[1] < 2**52:
+    if exact(points, q):
         return (points @ q).astype(np.int64)
     a = [int(v) for v in q]
     return np.array([min(max(sum(int(u) * v for u, v in zip(row, a)), LEAST), 2**63 - 1) for row in points], np.int64)
@@ -61,33 +64,31 @@ class BallTree:
                 mid = (b - a) // 2
                 self.order[a:b] = self.order[a:b][np.argpartition(own @ (other - one), mid)]
                 todo += [(a, a + mid, me, 0), (a + mid, b, me, 1)]
-        self.centre, self.radius, self.span, self.kids = np.array(centre), np.array(radius), span, kids
-
-    def search(self, points: np.ndarray, counts: np.ndarray, q: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and scores of every point that may be among the k best; least: a score that k rows are known to reach."""
-        norm = float(np.sqrt(q @ q))
-        bound = self.centre @ q + norm * self.radius
-        bound += 1e-9 * (np.abs(bound) + 1)
-        heap = [(-bound[0], 0)]
+        leaves = [i for i, k in enumerate(kids) if k[0] < 0]
+        self.centre, self.radius = np.array([centre[i] for i in leaves]), np.array([radius[i] for i in leaves])
+        self.span = [span[i] for i in leaves]
+        self.safe = False  # whether products of doubles are exact
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """No point of a leaf (column) has a larger product with a query (row)."""
+        b = queries @ self.centre.T + np.sqrt((queries * queries).sum(1))[:, None] * self.radius
+        return b + 1e-9 * (np.abs(b) + 1)
+
+    def search(self, points: np.ndarray, counts: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """points, counts: in the order of the leaves. Rows and scores of every point that may be among the k best; least: a score that k rows are known to reach."""
         rows, scores = [], []
         best = np.zeros(0, np.int64)
         kth = least
-        while heap and -heap[0][0] >= kth:
-            _, node = heapq.heappop(heap)
-            left, right = self.kids[node]
-            if left >= 0:
-                for child in (left, right):
-                    if bound[child] >= kth:
-                        heapq.heappush(heap, (-bound[child], child))
-                continue
-            a, b = self.span[node]
-            own = self.order[a:b]
-            s = products(points[own], q)
-            hit = s >= kth
-            if hit.any():
-                rows.append(own[hit])
+        for leaf in np.argsort(-bound, kind="stable").tolist():
+            if bound[leaf] < kth:
+                break
+            a, b = self.span[leaf]
+            s = (points[a:b] @ q).astype(np.int64) if self.safe else products(points[a:b], q)
+            hit = np.flatnonzero(s >= kth)
+            if len(hit):
+                rows.append(hit + a)
                 scores.append(s[hit])
-                best = np.sort(np.concatenate([best, np.repeat(s[hit], counts[own[hit]])]))[::-1][: k + 1]
+                best = np.sort(np.concatenate([best, np.repeat(s[hit], counts[hit + a])]))[::-1][: k + 1]
                 if len(best) > k:  # one of them may be the query's own row
                     kth = max(kth, int(best[k]))
         return (np.concatenate(rows), np.concatenate(scores)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -97,9 +98,12 @@ def search(q_ids: np.ndarray, queries: np.ndarray, least: list[int | None], ids:
     points, members = collapse(ids, x, k + 1)
     counts = np.array([len(m) for m in members])
     tree = BallTree(points)
+    points, members = points[tree.order], [members[i] for i in tree.order]  # a leaf is a slice
+    counts = counts[tree.order]
+    tree.safe = exact(points, queries)
     out_q, out_v, out_s = [], [], []
-    for me, q, floor in zip(q_ids, queries, least, strict=True):
-        rows, s = tree.search(points, counts, q, k, LEAST if floor is None else floor)
+    for me, q, bound, floor in zip(q_ids, queries, tree.bounds(queries), least, strict=True):
+        rows, s = tree.search(points, counts, q, bound, k, LEAST if floor is None else floor)
         v = np.concatenate([members[r] for r in rows] or [np.zeros(0, np.int64)])
         s = np.repeat(s, counts[rows])
         own = v != me
