@@ -28,7 +28,7 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """links: ``u, v`` of type long. Returns ``u, component`` for every node that isn't the least of its component."""
+    """links: ``u, v`` of one type that has an order. Returns ``u, component`` for every node that isn't the least of its component."""
     e = materialize(links.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     state = None
     for _ in range(rounds):

@@ -3,7 +3,8 @@
 Two documents link when ``100 * intersection >= percent * union`` of their shingle sets. The result is exact up to
 collisions of 64-bit hashes.
 
-1. Equal sets collapse to their smallest id.
+1. Equal sets collapse to one node, named by a hash of the set. Everything up to the components is about nodes; ids come back
+   at the end. A node's text is read from the row of its smallest id.
 2. A global order of shingles puts rare ones first: by the magnitude of their count in a sketch of fixed size that all
    documents are added to, then by hash. Sets that link share a shingle in the prefixes of this order.
 3. Sets with equal prefixes and size are gathered under a leader; so are sets with an equal minhash, as near copies differ
@@ -20,7 +21,7 @@ collisions of 64-bit hashes.
 
 Defined results: a null text and one without words have an empty set, which links with nothing; its component is its own
 id. Copies and repeated rows link with each other. Rows with a null id are left out. Rows that repeat an id with another text
-each get their own number of shingles and one component; where they differ, one of these texts stands for the id in links.
+each get their own number of shingles and the component of their own text.
 Texts are read whole. Other columns are ignored. An empty table gives no rows.
 """
 
@@ -91,12 +92,12 @@ def bitmap(mixed: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``id, n, sig_a, sig_b, keys, prefix, edits, bits`` of every document; equal sets have equal signatures.
+    """``id, h, n, node, keys, prefix, edits, bits`` of every document; equal sets have equal nodes.
 
     ``edits`` is low for a set of frequent shingles.
     """
     magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
-    names = ["id", "n", "sig_a", "sig_b", "keys", "prefix", "edits", "bits"]
+    names = ["id", "h", "n", "sig_a", "sig_b", "keys", "prefix", "edits", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = magnitudes.value
@@ -106,7 +107,7 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 part = b.slice(s, 512)
                 rows: list[list] = [[] for _ in range(7)]
                 with np.errstate(over="ignore"):
-                    for x in sets(part.column(1).to_pylist(), k):
+                    for x in sets(part.column(2).to_pylist(), k):
                         y = mix(x)
                         p = in_order(x, m, prefix_length(len(x), percent)) if len(x) else x
                         same = np.uint64(len(x)) + (mix(p) * np.arange(1, 2 * len(p), 2, dtype=np.uint64)).sum(dtype=np.uint64)
@@ -115,25 +116,31 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
                             out.append(v)
                 signed = lambda v: np.array(v, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(rows[0], pa.int32()), pa.array(signed(rows[1])), pa.array(signed(rows[2])), pa.array([signed(v) for v in rows[3]], pa.list_(pa.int64())), pa.array(rows[4], pa.binary()), pa.array(rows[5], pa.float64()), pa.array(rows[6], pa.list_(pa.int64()))],
+                    [part.column(0), part.column(1), pa.array(rows[0], pa.int32()), pa.array(signed(rows[1])), pa.array(signed(rows[2])), pa.array([signed(v) for v in rows[3]], pa.list_(pa.int64())), pa.array(rows[4], pa.binary()), pa.array(rows[5], pa.float64()), pa.array(rows[6], pa.list_(pa.int64()))],
                     names=names,
                 )
 
-    return in_arrow(docs.select("id", "text"), run, "id bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double, bits array<bigint>")
+    out = in_arrow(docs.select("id", "h", "text"), run, "id bigint, h bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double, bits array<bigint>")
+    return out.withColumn("node", F.xxhash64("sig_a", "sig_b", "n")).drop("sig_a", "sig_b")
 
 
-def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """pairs: distinct ``x, y``. Adds ``both`` and ``either``, the sizes of intersection and union."""
+def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: bool, k: int) -> DataFrame:
+    """pairs: distinct nodes ``x, y``. Adds their ids ``ix, iy``, and ``both`` and ``either``, the sizes of intersection and union.
+
+    same: ``node, id, h``, the row of docs that has a node's text; repeated: whether several rows may be equal to it.
+    """
     # A short list reaches the scan, so that only these texts move.
-    ids = small_or_shuffled(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "ids")
+    ids = small_or_shuffled(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(same.select("node", "id", "h"), "node"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.compress((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())], names=["id", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([c.compress((t or "").encode()) for t in b.column(2).to_pylist()], pa.binary())], names=["node", "id", "s"])
 
     # Compressed text is a quarter of a set.
-    own = in_arrow(docs.join(ids, "id", "left_semi").select("id", "text"), run, "id bigint, s binary")
+    own = in_arrow(docs.join(ids, ["id", "h"]).select("node", "id", "text"), run, "node bigint, id bigint, s binary")
+    if repeated:
+        own = materialize(own.groupBy("node").agg(F.first("id").alias("id"), F.first("s").alias("s")), "texts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
@@ -143,8 +150,8 @@ def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
                 part = b.slice(s, 256)
                 ys = part.column(1).to_pylist()
                 new = [i for i, y in enumerate(ys) if y != (ys[i - 1] if i else last[0])]  # rows come by y, and a leader has many
-                left = sets([d.decompress(x.as_buffer()).decode() for x in part.column(2)], k)
-                right = sets([d.decompress(part.column(3)[i].as_buffer()).decode() for i in new], k)
+                left = sets([d.decompress(x.as_buffer()).decode() for x in part.column(4)], k)
+                right = sets([d.decompress(part.column(5)[i].as_buffer()).decode() for i in new], k)
                 both, either, fresh = [], [], set(new)
                 for i, a in enumerate(left):
                     if i in fresh:
@@ -155,11 +162,11 @@ def similarities(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
                     n = int((c[np.minimum(np.searchsorted(c, a), len(c) - 1)] == a).sum()) if len(a) else 0
                     both.append(n)
                     either.append(len(a) + len(c) - n)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["x", "y", "both", "either"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(both, pa.int64()), pa.array(either, pa.int64())], names=["x", "y", "ix", "iy", "both", "either"])
 
-    p = pairs.select("x", "y").join(own.select(F.col("id").alias("x"), F.col("s").alias("sx")), "x")
-    p = p.join(own.select(F.col("id").alias("y"), F.col("s").alias("sy")), "y").select("x", "y", "sx", "sy")
-    return in_arrow(p, compare, "x bigint, y bigint, both bigint, either bigint")
+    p = pairs.select("x", "y").join(own.select(F.col("node").alias("x"), F.col("id").alias("ix"), F.col("s").alias("sx")), "x")
+    p = p.join(own.select(F.col("node").alias("y"), F.col("id").alias("iy"), F.col("s").alias("sy")), "y").select("x", "y", "ix", "iy", "sx", "sy")
+    return in_arrow(p, compare, "x bigint, y bigint, ix bigint, iy bigint, both bigint, either bigint")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -250,27 +257,33 @@ def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.Reco
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id`` of every document; the component is the smallest id that links reach."""
-    docs = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return _linked(docs, k, percent, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("c").alias("component_id"))
+
+
+def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, h, n, c`` of every document: a hash of its text, the size of its set and the component."""
+    docs = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     rows = materialize(profiles(docs, k, percent), "profiles")
-    signature = ["sig_a", "sig_b", "n"]
-    same = materialize(rows.filter("n > 0").groupBy(*signature).agg(F.min("id").alias("rep")), "same_sets")
-    reps = rows.join(same, (rows["id"] == same["rep"]) & (rows["sig_a"] == same["sig_a"]) & (rows["sig_b"] == same["sig_b"]) & (rows["n"] == same["n"]), "left_semi")
-    reps = reps.groupBy("id").agg(F.min(F.struct("sig_a", "n", "keys", "prefix", "edits", "bits")).alias("m")).select("id", "m.*")
+    each = rows.filter("n > 0").groupBy("node", "id", "h").agg(F.count("*").alias("copies"))
+    same = materialize(each.groupBy("node").agg(F.min(F.struct("id", "h", "copies")).alias("m")).select("node", "m.*"), "same_sets")
+    repeated = same.filter("copies > 1").limit(1).count() > 0
+    reps = rows.join(same.select("node", "id", "h"), ["node", "id", "h"], "left_semi")
+    reps = reps.groupBy("node").agg(F.min(F.struct("n", "keys", "prefix", "edits", "bits")).alias("m")).select("node", "m.*")
 
     # Leaders of sets with an equal key, and which sets link to them.
-    keyed = reps.select("id", "n", "edits", F.posexplode("keys").alias("j", "key"))
-    leaders = keyed.groupBy("j", "key").agg(F.min(F.struct("edits", "id", "n")).alias("l"), F.count("*").alias("c")).filter("c > 1").select("j", "key", "l")
-    led = keyed.join(leaders, ["j", "key"]).select(F.col("id").alias("x"), F.col("l.id").alias("y"), F.col("n").alias("nx"), F.col("l.n").alias("ny"))
+    keyed = reps.select("node", "n", "edits", F.posexplode("keys").alias("j", "key"))
+    leaders = keyed.groupBy("j", "key").agg(F.min(F.struct("edits", "node", "n")).alias("l"), F.count("*").alias("c")).filter("c > 1").select("j", "key", "l")
+    led = keyed.join(leaders, ["j", "key"]).select(F.col("node").alias("x"), F.col("l.node").alias("y"), F.col("n").alias("nx"), F.col("l.n").alias("ny"))
     led = led.filter((F.col("x") != F.col("y")) & (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))).select("x", "y").distinct()
-    led = similarities(materialize(led, "led"), docs, k).filter(F.col("both") * 100 >= F.col("either") * percent)
+    led = similarities(materialize(led, "led"), docs, same, repeated, k).filter(F.col("both") * 100 >= F.col("either") * percent)
     led = materialize(led.withColumns({"d": 1 - F.col("both") / F.col("either"), "delta": F.col("either") - F.col("both")}), "followers")
-    own = led.groupBy("x").agg(F.min(F.struct("d", "y", "delta")).alias("c")).select(F.col("x").alias("id"), "c.*")
-    members = reps.select("id", "n", "prefix", "bits").join(own, "id", "left").select(
-        "id", "n", F.coalesce("y", "id").alias("g"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("delta", F.lit(0)).alias("delta"), F.col("y").isNotNull().alias("led"), "prefix", "bits"
+    own = led.groupBy("x").agg(F.min(F.struct("d", "y", "delta")).alias("c")).select(F.col("x").alias("node"), "c.*")
+    members = reps.select("node", "n", "prefix", "bits").join(own, "node", "left").select(
+        "node", "n", F.coalesce("y", "node").alias("g"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("delta", F.lit(0)).alias("delta"), F.col("y").isNotNull().alias("led"), "prefix", "bits"
     )
     members = materialize(members, "members")
     groups = members.filter("led").groupBy("g").agg(F.max("d").alias("r"), F.max("delta").alias("slack"))
-    groups = materialize(groups.join(members.select(F.col("id").alias("g"), "bits"), "g"), "groups")
+    groups = materialize(groups.join(members.select(F.col("node").alias("g"), "bits"), "g"), "groups")
 
     # Prefix shingles of groups; those of followers are added up before they move.
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,41 +316,45 @@ def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str
     # The leaders' exact distance decides, or leaves the pair open for its members.
     limit = (100 - percent) / 100
     radius = groups.select(F.col("g").alias("x"), F.col("r").alias("rx"))
-    near = similarities(pairs, docs, k).withColumn("d", 1 - F.col("both") / F.col("either"))
+    near = similarities(pairs, docs, same, repeated, k).withColumn("d", 1 - F.col("both") / F.col("either"))
     near = near.join(radius, "x", "left").join(radius.select(F.col("x").alias("y"), F.col("rx").alias("ry")), "y", "left").na.fill(0.0, ["rx", "ry"])
     linked = F.col("both") * 100 >= F.col("either") * percent
     near = materialize(near.filter(linked | ((F.col("rx") + F.col("ry") > 0) & (F.col("d") <= limit + F.col("rx") + F.col("ry") + 1e-9))).withColumn("linked", linked), "near")
-    links = led.select(F.col("x").alias("u"), F.col("y").alias("v")).unionByName(near.filter("linked").select(F.col("x").alias("u"), F.col("y").alias("v")))
+    # The least node of a component is then one with its smallest id.
+    ends = [F.struct(F.col(i).alias("id"), F.col(x).alias("node")).alias(u) for i, x, u in (("ix", "x", "u"), ("iy", "y", "v"))]
+    links = led.select(ends).unionByName(near.filter("linked").select(ends))
     found = components(links)
 
     open_pairs = _apart(near.filter("NOT linked").select("x", "y", "d"), found)
     if open_pairs.limit(1).count():
         both = F.explode(F.array("x", "y")).alias("g")
         m = members.join(open_pairs.select(both).distinct(), "g", "left_semi")
-        of = m.select("id", "g")
-        each = index(m.select(F.col("id").alias("g"), "n", "prefix", "bits")).withColumn("slack", F.lit(0).cast("long"))
-        near_members = found_pairs(each.join(of.select(F.col("id").alias("g"), F.col("g").alias("own")), "g"))
-        named = near_members.join(of.select(F.col("id").alias("x"), F.col("g").alias("gx")), "x").join(of.select(F.col("id").alias("y"), F.col("g").alias("gy")), "y")
+        of = m.select("node", "g")
+        each = index(m.select(F.col("node").alias("g"), "n", "prefix", "bits")).withColumn("slack", F.lit(0).cast("long"))
+        near_members = found_pairs(each.join(of.select(F.col("node").alias("g"), F.col("g").alias("own")), "g"))
+        named = near_members.join(of.select(F.col("node").alias("x"), F.col("g").alias("gx")), "x").join(of.select(F.col("node").alias("y"), F.col("g").alias("gy")), "y")
         opened = open_pairs.select(F.least("x", "y").alias("ga"), F.greatest("x", "y").alias("gb"))
         wide = named.withColumns({"ga": F.least("gx", "gy"), "gb": F.greatest("gx", "gy")}).join(opened, ["ga", "gb"], "left_semi")
         wide = materialize(wide.select("x", "y"), "expanded")
-        more = similarities(wide, docs, k).filter(linked).select(F.col("x").alias("u"), F.col("y").alias("v"))
+        more = similarities(wide, docs, same, repeated, k).filter(linked).select(ends)
         found = components(found.select("u", F.col("component").alias("v")).unionByName(more))
 
-    of_set = same.join(found, same["rep"] == found["u"], "left").select(*signature, F.coalesce("component", "rep").alias("c"))
-    out = rows.select("id", *signature).join(of_set, signature, "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"))
-    return out
+    component = found.select(F.col("u.node").alias("node"), F.col("component.id").alias("c"))
+    # Written out, so that both sides of the last join are shuffled and its skew can be split.
+    of_set = materialize(same.join(component, "node", "left").select("node", F.coalesce("c", "id").alias("c")), "components")
+    return rows.select("id", "h", "n", "node").join(of_set, "node", "left").select("id", "h", "n", F.coalesce("c", "id").alias("c"))
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends aren't in one component yet."""
-    c = found.select(F.col("u").alias("x"), F.col("component").alias("cx"))
+    c = found.select(F.col("u.node").alias("x"), F.col("component.node").alias("cx"))
     p = pairs.join(c, "x", "left").join(c.select(F.col("x").alias("y"), F.col("cx").alias("cy")), "y", "left")
     return materialize(p.filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y", "d"), "open_pairs")
 
 
 def keep_first(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, but those that links connect to a smaller id."""
-    found = link_components(docs, k, percent, id_col, text_col)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).cast(docs.schema[id_col].dataType)).distinct()
-    return docs.join(small_or_shuffled(gone, "near_copies"), id_col, "left_anti").select(docs.columns)
+    """The documents, with all their columns, but those whose text links connect to a smaller id."""
+    found = _linked(docs, k, percent, id_col, text_col)
+    gone = found.filter("id != c").select(F.col("id").cast(docs.schema[id_col].dataType).alias("gone_id"), F.col("h").alias("gone_h")).distinct()
+    gone = small_or_shuffled(gone, "near_copies")
+    return docs.join(gone, (docs[id_col] == gone["gone_id"]) & (F.xxhash64(docs[text_col]) == gone["gone_h"]), "left_anti").select(docs.columns)
