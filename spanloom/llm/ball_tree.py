@@ -7,7 +7,7 @@ are still taken, as ties go to the smaller id.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part; zero vectors do. Rows
 with a null id take no part. Equal vectors of a shard are one point with their smallest ids. A repeated id counts as so
-many rows. A query with fewer than k candidates gets all. Only vectors of the same length are compared. Scores beyond the
+many rows, as query as well, but rows of the query's own id are no candidates. A query with fewer than k candidates gets all. Only vectors of the same length are compared. Scores beyond the
 range of a long are held at its ends. An empty table gives no rows.
 """
 
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import collapse, finite, matrix, result, search_shards
+from .vectors import Others, collapse, finite, matrix, result, search_shards
 
 LEAF, SEEDS, LEAST = 64, 256, -(2**63)
 
@@ -75,7 +75,7 @@ class BallTree:
         return b + 1e-9 * (np.abs(b) + 1)
 
     def search(self, points: np.ndarray, counts: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """points, counts: in the order of the leaves. Rows and scores of every point that may be among the k best; least: a score that k rows are known to reach."""
+        """points, counts (without the query's own rows): in the order of the leaves. Rows and scores of every point that may be among the k best; least: a score that k rows are known to reach."""
         rows, scores = [], []
         best = np.zeros(0, np.int64)
         kth = least
@@ -88,24 +88,23 @@ class BallTree:
             if len(hit):
                 rows.append(hit + a)
                 scores.append(s[hit])
-                best = np.sort(np.concatenate([best, np.repeat(s[hit], counts[hit + a])]))[::-1][: k + 1]
-                if len(best) > k:  # one of them may be the query's own row
-                    kth = max(kth, int(best[k]))
+                best = np.sort(np.concatenate([best, np.repeat(s[hit], counts[hit + a])]))[::-1][:k]
+                if len(best) == k:
+                    kth = max(kth, int(best[-1]))
         return (np.concatenate(rows), np.concatenate(scores)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def search(q_ids: np.ndarray, queries: np.ndarray, least: list[int | None], ids: np.ndarray, x: np.ndarray, k: int) -> tuple[list, list, list]:
-    points, members = collapse(ids, x, k + 1)
-    counts = np.array([len(m) for m in members])
+    points, members = collapse(ids, x, k)
     tree = BallTree(points)
     points, members = points[tree.order], [members[i] for i in tree.order]  # a leaf is a slice
-    counts = counts[tree.order]
+    others = Others(members)
     tree.safe = exact(points, queries)
     out_q, out_v, out_s = [], [], []
     for me, q, bound, floor in zip(q_ids, queries, tree.bounds(queries), least, strict=True):
-        rows, s = tree.search(points, counts, q, bound, k, LEAST if floor is None else floor)
+        rows, s = tree.search(points, others.than(me), q, bound, k, LEAST if floor is None else floor)
         v = np.concatenate([members[r] for r in rows] or [np.zeros(0, np.int64)])
-        s = np.repeat(s, counts[rows])
+        s = np.repeat(s, others.counts[rows])
         own = v != me
         v, s = v[own], s[own]
         top = np.lexsort((v, -s.astype(object) if len(s) and s.min() == LEAST else -s))[:k]

@@ -8,8 +8,9 @@ kth distance ``d_k`` found so far, a closer vector that has not come yet is that
 
 Defined results: vectors that are null, zero, empty, or hold a null or non-finite component take no part, neither as query
 nor as candidate; rows with a null id neither. Equal distances are ordered by the smaller id; equal vectors of a shard are
-one point with their smallest ids, whatever their number. A repeated id counts as so many rows. A query with fewer than k
-candidates gets all. Vectors are compared only with those of the same length. An empty table gives no rows.
+one point with their smallest ids, whatever their number. A repeated id counts as so many rows, but rows of the query's own id
+are no candidates. Each distinct vector of a query's id is searched once, and the k best of all are kept. A query with fewer
+than k candidates gets all. Vectors are compared only with those of the same length. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import collapse, finite, matrix, result, search_shards
+from .vectors import Others, collapse, finite, matrix, result, search_shards
 
 #: Projected dimensions (even), rows of a leaf, confidence of the stopping test.
 DIMENSIONS, LEAF, CONFIDENCE = 8, 32, 0.97
@@ -91,13 +92,14 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def search(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, confidence: float = CONFIDENCE, degrees: int = DIMENSIONS, seed: int = 7) -> tuple[list, list, list]:
     """The k nearest of one shard for each query: lists of query ids, vector ids and distances."""
-    points, members = collapse(ids, x, k + 1)
+    points, members = collapse(ids, x, k)
     w = weights(x.shape[1], degrees, seed)
     tree, limit = KdTree(points @ w), threshold(degrees, confidence)
     out_q, out_v, out_s = [], [], []
-    counts = np.array([len(m) for m in members])
+    others = Others(members)
     for me, q, p in zip(q_ids, queries, queries @ w, strict=True):
         leaves, bound = tree.bounds(p)
+        counts = others.than(me)
         found: list[np.ndarray] = []
         dist: list[np.ndarray] = []
         best = np.full(0, np.inf)  # distances of the nearest so far, at most k
@@ -108,15 +110,13 @@ def search(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarra
             d = distances(q, points[rows])
             found.append(rows)
             dist.append(d)
-            # An equal vector of the query's own row doesn't count, hence one less where its distance is 0.
-            n = np.minimum(counts[rows] - (d == 0), k)
-            best = np.sort(np.concatenate([best, np.repeat(d, n)]))[:k]
+            best = np.sort(np.concatenate([best, np.repeat(d, np.minimum(counts[rows], k))]))[:k]
             if len(best) == k and at < len(leaves) and bound[at] >= limit * best[-1] ** 2 and bound[at] > 0:
                 break
         rows, d = np.concatenate(found), np.concatenate(dist)
         near = d <= best[-1] if len(best) == k else np.ones(len(d), bool)
         v = np.concatenate([members[r] for r in rows[near]] or [np.zeros(0, np.int64)])
-        s = np.repeat(d[near], counts[rows[near]])
+        s = np.repeat(d[near], others.counts[rows[near]])
         own = v != me
         v, s = v[own], s[own]
         top = np.lexsort((v, s))[:k]
@@ -139,4 +139,4 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
         found = search(q["vec_id"].to_numpy(), matrix(q["v"]), c["vec_id"].to_numpy(), matrix(c["v"]), k, confidence, degrees)
         return result(*found, pa.float64())
 
-    return search_shards(rows, is_query, work, "double", k, best_first=False)
+    return search_shards(rows, is_query, work, "double", k, best_first=False, query_extra=lambda q: q.select("vec_id", "v").distinct())

@@ -29,15 +29,38 @@ def matrix(column: pa.ChunkedArray, dtype: type = np.float64) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(dtype).reshape(n, -1) if n else np.zeros((0, 0), dtype)
 
 
-def collapse(ids: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Equal vectors become one point with its ``keep`` smallest ids: no answer can need more of them."""
+def collapse(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Equal vectors become one point with its smallest ids: k rows of an id and 2 k rows in all, so that k are left without those of any one id."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], np.ascontiguousarray(x[order])
     rows = x.view([("", x.dtype)] * x.shape[1]).ravel() if x.shape[1] else np.zeros(len(x))
     _, first, inverse = np.unique(rows, return_index=True, return_inverse=True)
     by = np.argsort(inverse, kind="stable")
-    cuts = np.searchsorted(inverse[by], np.arange(len(first) + 1))
-    return x[first], [ids[by[a : min(b, a + keep)]] for a, b in zip(cuts, cuts[1:])]
+    point, own = inverse[by], ids[by]
+    new = np.concatenate([[True], (point[1:] != point[:-1]) | (own[1:] != own[:-1])]) if len(by) else np.zeros(0, bool)
+    at = np.arange(len(by))
+    few = at - np.maximum.accumulate(np.where(new, at, 0)) < k
+    point, own = point[few], own[few]
+    cuts = np.searchsorted(point, np.arange(len(first) + 1))
+    return x[first], [own[a : min(b, a + 2 * k)] for a, b in zip(cuts, cuts[1:])]
+
+
+class Others:
+    """How many rows of each point have another id than a query."""
+
+    def __init__(self, members: list[np.ndarray]) -> None:
+        self.counts = np.array([len(m) for m in members], np.int64)
+        ids, points = np.concatenate([*members, np.zeros(0, np.int64)]), np.repeat(np.arange(len(members)), self.counts)
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.points = ids[order], points[order]
+
+    def than(self, me: int) -> np.ndarray:
+        a, b = np.searchsorted(self.ids, me, "left"), np.searchsorted(self.ids, me, "right")
+        if a == b:
+            return self.counts
+        out = self.counts.copy()
+        np.subtract.at(out, self.points[a:b], 1)
+        return out
 
 
 def search_shards(
@@ -46,19 +69,19 @@ def search_shards(
 ) -> DataFrame:
     """Every query meets every shard once; ``work(queries, shard)`` returns ``query_id, vec_id, score`` with the shard's own best.
 
-    vectors: ``vec_id, v``. Rows are dealt to shards by a hash of their id, so that equal or frequent vectors spread evenly;
+    vectors: ``vec_id, v``. Rows are dealt to shards by a hash of id and vector, so that frequent vectors and ids spread evenly;
     the queries are dealt to blocks. Only vectors of one length are compared with each other.
     """
     n = vectors.count()
     shards = max(LEAST_SHARDS, math.ceil(n / SHARD_ROWS))
     queries = vectors.filter(is_query)
     blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    of = lambda c, m, seed: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(m)).cast("int")
+    of = lambda m, seed: F.pmod(F.xxhash64("vec_id", "v", F.lit(seed)), F.lit(m)).cast("int")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     if query_extra:
         queries = query_extra(queries)
-    right = vectors.withColumn("dim", F.size("v")).withColumn("shard", of("vec_id", shards, 1)).withColumn("block", every(blocks))
-    left = queries.withColumn("dim", F.size("v")).withColumn("block", of("vec_id", blocks, 2)).withColumn("shard", every(shards))
+    right = vectors.withColumn("dim", F.size("v")).withColumn("shard", of(shards, 1)).withColumn("block", every(blocks))
+    left = queries.withColumn("dim", F.size("v")).withColumn("block", of(blocks, 2)).withColumn("shard", every(shards))
     found = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "shard", "block")).applyInArrow(
         lambda q, c: work(q, c), f"query_id bigint, vec_id bigint, score {score_type}"
     )
