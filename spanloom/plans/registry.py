@@ -113,8 +113,9 @@ def chunker_report(spark, d):
 
 
 def _padded(spans: DataFrame, turn_bytes: int = 2500) -> DataFrame:
-    """Flat and JSON histories joined into one text each, every turn filled up to ``turn_bytes``."""
-    turns = F.transform(C.prompt_messages(), lambda m: F.concat(m["role"], F.lit(": "), F.substring(F.repeat(F.concat(m["content"], F.lit(" ")), turn_bytes), 1, turn_bytes)))
+    """Flat and JSON histories joined into one text each, every shorter turn filled up to ``turn_bytes``; longer ones stay whole."""
+    pad = lambda x: F.when(F.octet_length(x) < turn_bytes, F.substring(F.repeat(F.concat(x, F.lit(" ")), turn_bytes), 1, turn_bytes)).otherwise(x)
+    turns = F.transform(C.prompt_messages(), lambda m: F.concat(m["role"], F.lit(": "), pad(m["content"])))
     return spans.withColumn("attributes", F.array(adapters.kv("gen_ai.input.messages", "s", F.array_join(turns, "\n"))))
 
 
