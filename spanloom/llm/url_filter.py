@@ -154,8 +154,8 @@ def judge_by_join(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", u
     ).groupBy("_rh", "_rp").agg(F.max("action").alias("action"))
     u = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     labels = F.split("host", r"\.")
-    keys = u.withColumn("_rh", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))))
-    hit = keys.join(r, "_rh").filter(F.startswith("path", F.col("_rp"))).groupBy(id_col).agg(
+    keys = u.select("host", "path").distinct().withColumn("_rh", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))))
+    hit = keys.join(r, "_rh").filter(F.startswith("path", F.col("_rp"))).groupBy("host", "path").agg(
         F.max_by(F.struct(F.concat("_rh", "_rp").alias("rule"), "action"), F.struct(F.length(F.concat("_rh", "_rp")), F.length("_rh"))).alias("_w")
     )
-    return u.join(hit, id_col, "left").select(id_col, "host", "path", F.col("_w.rule").alias("rule"), F.coalesce("_w.action", F.lit(default)).alias("verdict"))
+    return u.join(hit, ["host", "path"], "left").select(id_col, "host", "path", F.col("_w.rule").alias("rule"), F.coalesce("_w.action", F.lit(default)).alias("verdict"))
