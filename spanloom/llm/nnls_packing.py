@@ -3,8 +3,8 @@
 A document is its ids and an end id. Every full window of it is a sequence of its own; what is left is one piece shorter
 than a window. The histogram of these lengths has at most ``window`` bins, whatever the input. Combinations of up to
 ``depth`` lengths that fill a window exactly are the columns of a sparse matrix; non-negative repeat counts that match the
-histogram best are found by accelerated projected gradients, rounded down so that no length is used more often than it
-occurs. The pieces left over are packed greedily, longest first, each with the longest left that still fits; where that
+histogram best are found by accelerated projected gradients, rounded to the nearest number and held to what is left of each
+length, so that none is used more often than it occurs. The pieces left over are packed greedily, longest first, each with the longest left that still fits; where that
 does not nearly fill a sequence, they are cut at powers of two down to ``GRAIN`` and their parts packed in the same way.
 
 The plan says how many sequences have which combination. So each length is a row of places, and a piece takes the place of
@@ -12,13 +12,15 @@ its rank among the pieces of its length: its rank within its part of the table p
 before. No piece moves to the driver, and no length is gathered in one task.
 
 Defined results: a null or empty text is the end id alone. Repeated rows are documents of their own and each of their ids
-lies in exactly one piece; rows that repeat an id appear under that id as often. Special tokens in texts are ordinary text.
-Texts are encoded whole. Other columns are ignored. An empty table gives no rows.
+lies in exactly one piece; rows that repeat an id appear under that id as often. A text that holds an added token of the
+vocabulary gets that token's id there, as the library's plain call does, and what stands between added tokens is split on
+its own. Texts are encoded whole. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,8 +43,8 @@ PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 class LibraryEncoder(Cache):
     """From pre-token slices to ids as little-endian unsigned 32-bit integers, by the ``tokenizers`` library, each slice once.
 
-    The library splits a text by the same pattern before it merges, so the ids of a text are those of its slices in order;
-    its merges are called without the split.
+    The library cuts a text at added tokens, splits what is between by the same pattern, and then merges; so the ids of a
+    text are those of its slices and added tokens in order. Its merges are called without the split.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,8 +52,12 @@ class LibraryEncoder(Cache):
 
         super().__init__()
         library = Tokenizer.from_file(path)
-        if library.normalizer is not None:
-            raise ValueError(f"{path}: a vocabulary without normalisation is needed")
+        added = library.get_added_tokens_decoder()
+        if library.normalizer is not None or any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError(f"{path}: a vocabulary without normalisation and with plain added tokens is needed")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items() if t.content}
+        # Of added tokens that start at one place the longest counts.
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.merges = library.model.tokenize
         others = (b for b in range(256) if b not in PRINTED)
         self.letters = {b: b for b in PRINTED} | {b: 256 + i for i, b in enumerate(others)}
@@ -65,6 +71,18 @@ class LibraryEncoder(Cache):
             self[piece] = out
         return out
 
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        marks = [[m.span() for m in self.cut.finditer(t)] if self.cut else [] for t in texts]
+        between = [t[a:b] for t, found in zip(texts, marks) for a, b in zip([0, *(e for _, e in found)], [*(s for s, _ in found), len(t)])]
+        made = slices(between)
+        for t, found in zip(texts, marks):
+            out = list(map(self.__getitem__, next(made)))
+            for a, b in found:
+                out.append(self.added[t[a:b]])
+                out += map(self.__getitem__, next(made))
+            yield b"".join(out)
+
 
 @lru_cache(2)
 def encoder(path: str) -> LibraryEncoder:
@@ -93,8 +111,8 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
                 rows = b.slice(k, 512)
                 out: list[list[int]] = [[], [], [], []]
                 ids, crcs = [], []
-                for i, s in zip(rows.column(0).to_pylist(), slices([t or "" for t in rows.column(1).to_pylist()])):
-                    x = memoryview(b"".join(map(e.__getitem__, s)) + end)
+                for i, s in zip(rows.column(0).to_pylist(), e.encode([t or "" for t in rows.column(1).to_pylist()])):
+                    x = memoryview(s + end)
                     n = len(x) // 4
                     for a in range(0, n, window):
                         ids.append(i)
@@ -258,7 +276,8 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
             total[p] = total.get(p, 0) + int(counts[n] - kept[n])
     before = F.sum("c").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = tally.select("part", "length", F.coalesce(before, F.lit(0)).alias("before"))
-    # As many rows as the plan has places: bounded by the window, not by the input.
+    # As many rows as the plan has places: bounded by the window, not by the input. The tally grows with the table's parts,
+    # so it is never broadcast.
     table = docs.sparkSession.sparkContext.broadcast((*runs, kept, begins))
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -296,5 +315,5 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(0).type), *map(pa.array, cols[:4]), pa.array(sequence), pa.array(offset)], names=names)
 
     kind = dict(docs.dtypes)[id_col]
-    ranked = cut.join(offsets, ["part", "length"]).select("id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("nth")).alias("r"), "crcs")
+    ranked = cut.join(offsets.hint("merge"), ["part", "length"]).select("id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("nth")).alias("r"), "crcs")
     return in_arrow(ranked, place, f"`{id_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint")

@@ -140,7 +140,6 @@ def test_scan_across_blocks():
 
 def check_packing(rows, texts):
     t = Tokenizer.from_file(public_tokenizers.path(Q.BPE_FILE))
-    t.encode_special_tokens = True
     cover, sequences = {}, {}
     for r in rows:
         ids = np.array([*t.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids, 0], "<u4")
@@ -172,6 +171,15 @@ def test_packing(spark):
     assert check_packing(rows, texts) < 0.05
 
 
+def test_added_tokens():
+    texts = ["abc <|endoftext|> def", "<|endoftext|>", "a  <|endoftext|><|endoftext|>  b", "<|endoftext|", "x<|endoftext|>'s <|ENDOFTEXT|>", "   ", "", *[t or "" for t in odd_texts()]]
+    texts += [f"{a}<|endoftext|>{b}" for a, b in zip(texts, texts[1:])]
+    t = Tokenizer.from_file(public_tokenizers.path(Q.BPE_FILE))
+    e = nnls_packing.encoder(public_tokenizers.path(Q.BPE_FILE))
+    got = [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in texts] and got[0] == [39305, 220, 50256, 825]
+
+
 def test_packing_query(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
     assert check_packing(Q.queries()["op9_nnls_packing"](spark, sf).collect(), texts) < 0.03
