@@ -10,7 +10,7 @@ rows. Labels, language, source and id are no inputs of a score.
 
 Defined results: a null or empty text has features of its own and a score as any other. A label that is null is left out;
 several labels of one document count by their mean, a tie as 1. Without labels every score is 0.5, with one class only it
-is near that class. Repeated rows get equal scores. Other columns are ignored. An empty table gives no rows.
+is near that class. Of several texts with one id the one with the least hash is learnt from. Repeated rows get equal scores. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -158,7 +158,8 @@ def _features_of(batches: Iterator[pa.RecordBatch], names: list[str], more) -> I
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2
+    """Rows that no model learns from; a row without an id is none of them."""
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 def training_labels(labels: DataFrame, label_col: str, id_col: str = "doc_id", max_rows: int = MAX_ROWS) -> DataFrame:
@@ -169,12 +170,13 @@ def training_labels(labels: DataFrame, label_col: str, id_col: str = "doc_id", m
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> Model:
-    """Only labelled documents are read into features; the sample's bound is what may be broadcast and sent to the driver."""
+    """Only labelled documents are read into features. At most ``max_rows`` ids are broadcast, and one row of numbers for each comes to the driver."""
     chosen = F.broadcast(training_labels(labels, label_col, id_col, max_rows))
-    rows = docs.select(id_col, text_col).join(chosen, id_col).select(id_col, "y", text_col)
+    rows = docs.select(id_col, text_col).join(chosen, id_col).select(id_col, "y", F.xxhash64(text_col).alias("h"), text_col)
     kind = dict(docs.dtypes)[id_col]
-    names = [id_col, "y", "x"]
-    got = in_arrow(rows, lambda it: _features_of(it, names, lambda x: [pa.array(list(x), pa.list_(pa.float64()))]), f"`{id_col}` {kind}, y int, x array<double>").toPandas()
+    names = [id_col, "y", "h", "x"]
+    each = in_arrow(rows, lambda it: _features_of(it, names, lambda x: [pa.array(list(x), pa.list_(pa.float64()))]), f"`{id_col}` {kind}, y int, h bigint, x array<double>")
+    got = each.groupBy(id_col, "y").agg(F.min(F.struct("h", "x")).alias("m")).select(id_col, "y", "m.x").toPandas()
     got = got.sort_values([id_col, "y"], kind="stable")
     x = np.array(got["x"].tolist()).reshape(len(got), len(FEATURES))
     return fit(x, got["y"].to_numpy(float))

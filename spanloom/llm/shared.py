@@ -33,12 +33,31 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: a lost executor costs no recomputation above it."""
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` from Parquet in the shared folder, and the path there: a lost executor costs no recomputation above it."""
     spark, schema = df.sparkSession, df.schema
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def materialize(df: DataFrame, label: str, scratch: Scratch | None = None) -> DataFrame:
+    """The same without the path, which ``scratch`` keeps until it is cleared."""
+    out, path = written(df, label)
+    if scratch is not None:
+        scratch.paths.append(path)
+    return out
+
+
+class Scratch:
+    """Tables that an operator has written and that its result doesn't read."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def clear(self) -> None:
+        while self.paths:
+            drop_path(self.spark, self.paths.pop())
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

@@ -1,22 +1,31 @@
 """Toxicity by compression distance (operator 6).
 
-Two zstandard dictionaries are trained on the words of toxic and of ordinary texts. A text is cut into windows of a few
-words; each window is compressed with either dictionary, and a window is toxic when the toxic one saves at least a
-calibrated number of bytes over the other. The saving of all toxic windows of a text, by a calibrated monotone step
-function, is its score.
+Two dictionaries are trained by zstandard's own trainer (COVER), one on windows of ordinary texts, one on windows of toxic
+texts. A text is cut into windows of a few words; each window is compressed with either dictionary, and what the toxic one
+saves, where it saves at least a calibrated number of bytes, is added up over the windows of the text and divided by the
+root of their number, as chance savings grow with it. A calibrated monotone step function of that is the score.
 
 Words are too short for a compressor: a match costs almost what it saves. So before training and compressing, each byte of
 a word becomes four bytes, a hash of the word up to there. Equal beginnings of words stay equal (a whole word
 differs from the same beginning of a longer one in its last code), a beginning of some letters is long enough to pay, and
-what words share in their middle no longer matches. Both dictionaries hold the ordinary words;
-the toxic one also holds those beginnings of words that toxic texts have far more often.
+what words share in their middle no longer matches.
 
-Training uses a bounded sample of the labelled rows (``MAX_ROWS``, chosen by a hash of the id); dictionaries for the
-calibration come from the other half of the sample. Labels, language, source and id are no inputs of a score.
+Most of a toxic text is made of ordinary words, and a dictionary trained on it as it stands would hold these. So words whose
+share of toxic documents isn't ``LIFT`` times their share of ordinary ones, or that stand in fewer than ``SEEN``, are left
+out of the toxic windows before training; words of fewer than ``TAUGHT`` ordinary documents, which may be parts of toxic ones by
+chance, are left out of the ordinary windows. Then the ordinary dictionary learns from its mistakes: it is trained once
+more, up to ``ROUNDS`` times, on the ordinary words that the toxic dictionary compresses better. At last the ordinary dictionary is put behind the toxic one, so that
+both know all ordinary words at the same distance, and lengths differ by what toxic texts alone have.
+
+Training uses a bounded sample of the labelled rows: at most ``MAX_ROWS`` documents, chosen by a hash of the id, and of
+these as many, in the order of their ids' hashes, as ``MAX_BYTES`` hold; the ordinary dictionary is trained on at most
+``MAX_WINDOWS`` evenly spread windows of them. Dictionaries for the
+calibration of a part of the sample (one of ``FOLDS``) come from the other parts. Labels, language, source and id are no inputs of a score.
 
 Defined results: a null or empty text, or one without words, has the score of a text without toxic windows. A label that is
-null is left out; several labels of one document count by their mean. Without labels of both classes no window is toxic.
-Repeated rows get equal scores. Texts are read whole. Other columns are ignored. An empty table gives no rows.
+null is left out; several labels of one document count by their mean; of several texts with one id the one with the least
+hash is learnt from. Without labels of both classes no window is toxic. Repeated rows get equal scores. Texts are read
+whole. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,10 +40,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .additive_quality import training_labels
-from .shared import give_back, in_arrow, keep_rows
-
-#: Labelled rows used in training, words in a window, bytes of text handled at once, bytes of an ordinary dictionary.
-MAX_ROWS, WINDOW, CHUNK, BASE_BYTES = 6_000, 12, 1 << 19, 60_000
+from .shared import drop_path, give_back, in_arrow, keep_rows, written
+
+#: Labelled rows used in training and bytes of their texts, words in a window, bytes of text handled at once.
+MAX_ROWS, MAX_BYTES, WINDOW, CHUNK = 6_000, 48 << 20, 12, 1 << 19
+#: Bytes of the ordinary dictionary, of each lesson that it gets later, and of the toxic one; windows that the first is trained on.
+ORDINARY_BYTES, LESSON_BYTES, TOXIC_BYTES, MAX_WINDOWS = 60_000, 16_384, 4_096, 80_000
+#: Rounds of lessons; how many times more frequent among toxic documents a word must be to stand in their windows, and
+#: in how many of them it must stand; in how many ordinary documents a word must stand to be in theirs.
+ROUNDS, LIFT, SEEN, TAUGHT = 3, 10, 2, 4
+#: Parts of the sample for calibration.
+FOLDS = 4
 WIDTH = 4
 _PRIME, _MIX = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93
 #: Tells the last byte of a word from the same beginning of a longer one.
@@ -91,7 +107,7 @@ def coded(h: np.ndarray) -> np.ndarray:
 
 def _params() -> zstandard.ZstdCompressionParameters:
     return zstandard.ZstdCompressionParameters(
-        window_log=18, hash_log=16, chain_log=16, search_log=3, min_match=5, strategy=zstandard.STRATEGY_LAZY,
+        window_log=18, hash_log=17, chain_log=18, search_log=4, min_match=5, strategy=zstandard.STRATEGY_LAZY,
         write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
 
@@ -109,9 +125,15 @@ class Compressor:
 
 
 def total(doc: np.ndarray, saved: np.ndarray, least: int, n: int) -> np.ndarray:
+    """Bytes saved over the windows of each text that save enough."""
     return np.bincount(doc, np.where(saved >= max(1, least), saved, 0), n).astype(np.int64)
 
 
+def per_root(doc: np.ndarray, saved: np.ndarray, least: int, n: int) -> np.ndarray:
+    """The same over the root of the number of windows."""
+    return total(doc, saved, least, n) / np.sqrt(np.maximum(1, np.bincount(doc, minlength=n)))
+
+
 @dataclass
 class Model:
     ordinary: bytes = b""
@@ -152,10 +174,6 @@ class Model:
         ordinary, toxic = (c.lengths(data, a, n) for c in self._made)
         return doc[heads], ordinary - toxic
 
-    def savings(self, texts: list[str]) -> np.ndarray:
-        """Bytes that the toxic dictionary saves over the toxic windows of each text."""
-        return total(*self.windows(texts), self.least, len(texts))
-
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_made"}
 
@@ -165,18 +183,17 @@ class Model:
         return value[np.searchsorted(at, saved, side="right") - 1]
 
     def score(self, texts: list[str]) -> np.ndarray:
-        return self.likelihood(self.savings(texts))
+        return self.likelihood(per_root(*self.windows(texts), self.least, len(texts)))
 
 
 @dataclass
 class Words:
-    """The words of some texts: hashes of their beginnings, and for each word its place, text and neighbours."""
+    """The words of some texts: codes of their bytes, and for each word its place, hash and text."""
 
-    h: np.ndarray  # of each byte
-    starts: np.ndarray
+    codes: bytes
+    starts: np.ndarray  # in bytes of codes, as the sizes
     sizes: np.ndarray
     whole: np.ndarray  # hash of each word
-    context: np.ndarray  # hash of the word before, the word and the word after
     doc: np.ndarray
     texts: int
 
@@ -184,30 +201,22 @@ class Words:
     def of(texts: list[str]) -> Words:
         raw = [t.encode() + b"\n" for t in texts]
         h, starts, at = hash_words(np.frombuffer(b"".join(raw), np.uint8))
-        ends = np.cumsum([len(b) for b in raw])
-        doc = np.searchsorted(ends, at, side="right")
+        doc = np.searchsorted(np.cumsum([len(b) for b in raw]), at, side="right")
         sizes = np.diff(np.append(starts, len(h)))
         whole = h[starts + sizes - 1] if len(starts) else np.zeros(0, np.uint64)
-        near = np.concatenate([[np.uint64(0)], whole, [np.uint64(0)]])
-        with np.errstate(over="ignore"):
-            context = (near[:-2] * np.uint64(3) ^ (near[1:-1] >> np.uint64(7))) * np.uint64(_MIX) + near[2:]
-        return Words(h, starts, sizes, whole, context, doc, len(texts))
+        return Words(coded(h).tobytes(), starts * WIDTH, sizes * WIDTH, whole, doc, len(texts))
 
-    def beginnings(self, least: int = 3, most: int = 24) -> tuple[np.ndarray, np.ndarray]:
-        """(bytes that end a beginning of so many bytes, the word that each belongs to)."""
-        word = np.repeat(np.arange(len(self.starts)), self.sizes)
-        k = np.arange(len(self.h)) - self.starts[word] + 1
-        keep = (k >= least) & (k <= most)
-        return np.flatnonzero(keep), word[keep]
+    def text(self, i: int) -> bytes:
+        return self.codes[self.starts[i] : self.starts[i] + self.sizes[i]]
 
-
-def _distinct(w: Words, at: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each beginning, number of distinct contexts in which it stands, one byte that ends it)."""
-    with np.errstate(over="ignore"):
-        key = (w.h[at] ^ (w.context[word] * np.uint64(_PRIME))) * np.uint64(_MIX)
-    _, first = np.unique(key, return_index=True)
-    value, one, count = np.unique(w.h[at[first]], return_index=True, return_counts=True)
-    return value, count, at[first[one]]
+    def windows(self, keep: np.ndarray) -> Iterator[bytes]:
+        """The kept words of each text, ``WINDOW`` at a time."""
+        at = np.flatnonzero(keep)
+        first = np.searchsorted(self.doc[at], np.arange(self.texts))
+        nth = np.arange(len(at)) - first[self.doc[at]]
+        cuts = np.append(np.flatnonzero(nth % WINDOW == 0), len(at)).tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            yield b"".join(map(self.text, at[a:b].tolist()))
 
 
 def _chunks(texts: list[str]) -> Iterator[Words]:
@@ -222,86 +231,88 @@ def _chunks(texts: list[str]) -> Iterator[Words]:
         yield Words.of(texts[first:])
 
 
-def train_dictionaries(texts: list[str], toxic: np.ndarray, least_z: float = 5.0, most: int = 2_000) -> tuple[bytes, bytes]:
-    """The ordinary and the toxic dictionary. A beginning counts once for each context, so copies of a text add nothing."""
-    bad = Words.of([t for t, y in zip(texts, toxic) if y])
+def _documents(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words by hash, in how many texts each stands)."""
+    found, count = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for w in _chunks(texts):
+        order = np.lexsort((w.whole, w.doc))
+        v, d = w.whole[order], w.doc[order]
+        once = np.concatenate([[True], (v[1:] != v[:-1]) | (d[1:] != d[:-1])]) if len(v) else np.zeros(0, bool)
+        u, c = np.unique(v[once], return_counts=True)
+        found.append(u)
+        count.append(c)
+    words, at = np.unique(np.concatenate(found), return_inverse=True)
+    return words, np.bincount(at, np.concatenate(count), len(words)).astype(np.int64)
+
+
+def _looked_up(words: np.ndarray, value: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted word, 0 where it isn't among the sorted words."""
+    if not len(words):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(words, wanted), len(words) - 1)
+    return np.where(words[at] == wanted, value[at], 0)
+
+
+def trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """A dictionary by zstandard's trainer; samples that fit, or are too few to train on, are the dictionary themselves."""
+    if sum(map(len, samples)) > size:
+        try:
+            return zstandard.train_dictionary(size, samples, k=segment, d=8).as_bytes()
+        except zstandard.ZstdError:
+            pass
+    return b"".join(samples)[:size]
+
+
+def train_dictionaries(texts: list[str], toxic: np.ndarray) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary, the latter with the former behind it."""
+    bad = [t for t, y in zip(texts, toxic) if y]
     plain = [t for t, y in zip(texts, toxic) if not y]
-    if not len(bad.starts) or not plain:
+    words, ordinary_in = _documents(plain)
+    bad_words, toxic_in = _documents(bad)
+    if not len(words) or not len(bad_words):
         return b"", b""
-    at, word = bad.beginnings()
-    value, a, one = _distinct(bad, at, word)
-    with np.errstate(over="ignore"):
-        _, first = np.unique((bad.h[at] ^ (bad.doc[word].astype(np.uint64) * np.uint64(_PRIME))) * np.uint64(_MIX), return_index=True)
-    at_doc = np.sort(bad.h[at[first]])
-    docs = np.searchsorted(at_doc, value, side="right") - np.searchsorted(at_doc, value)
-    keep = (a >= 3) & (docs >= 3)
-    value, a, one = value[keep], a[keep], one[keep]
-    # Ordinary texts: how often these beginnings stand there (contexts are told apart within a chunk), and how often each word does.
-    b = np.zeros(len(value), np.int64)
-    contexts, whole, sizes = [], [], []
-    for good in _chunks(plain):
-        at, word = good.beginnings()
-        known = np.isin(good.h[at], value)
-        found, count, _ = _distinct(good, at[known], word[known])
-        b[np.searchsorted(value, found)] += count
-        contexts.append(np.unique(good.context))
-        whole.append(good.whole)
-        sizes.append(good.sizes)
-    na, nb = len(np.unique(bad.context)), len(np.unique(np.concatenate(contexts)))
-    if not nb:
+    # Windows of ordinary texts, evenly spread, and each distinct word once.
+    every = max(1, sum(-(-int(n) // WINDOW) for w in _chunks(plain) for n in np.bincount(w.doc)) // MAX_WINDOWS)
+    samples: list[bytes] = []
+    lesson: list[bytes] = []
+    met = np.zeros(len(words), bool)
+    k = 0
+    for w in _chunks(plain):
+        at = np.searchsorted(words, w.whole)
+        for x in w.windows(ordinary_in[at] >= TAUGHT):
+            if k % every == 0:
+                samples.append(x)
+            k += 1
+        new, first = np.unique(at, return_index=True)
+        lesson += [w.text(i) for i in np.sort(first[~met[new] & (ordinary_in[new] >= TAUGHT)]).tolist()]
+        met[new] = True
+    ordinary = trained(samples, ORDINARY_BYTES, 64)
+    samples.clear()
+    frequent = bad_words[(toxic_in >= SEEN) & (toxic_in * len(plain) > LIFT * _looked_up(words, ordinary_in, bad_words) * len(bad))]
+    only = trained([x for w in _chunks(bad) for x in w.windows(np.isin(w.whole, frequent))], TOXIC_BYTES, 32)
+    if not only:
         return b"", b""
-    p = (a + b) / (na + nb)
-    z = (a / na - b / nb) / np.sqrt(p * (1 - p) * (1 / na + 1 / nb))
-    owner = np.searchsorted(bad.starts, one, side="right") - 1
-    size = one - bad.starts[owner] + 1
-    chosen: list[tuple[int, int]] = []
-    picked: set[int] = set()
-    taken: set[int] = set()  # chosen beginnings and all of their own beginnings
-    for i in np.lexsort((value, -size, -z)).tolist():
-        if z[i] < least_z or len(chosen) >= most:
+    data = b"".join(lesson)
+    sizes = np.fromiter(map(len, lesson), np.int64, len(lesson))
+    starts = np.cumsum(sizes) - sizes
+    for _ in range(ROUNDS):
+        saved = Compressor(ordinary).lengths(data, starts, sizes) - Compressor(only + ordinary).lengths(data, starts, sizes)
+        hard = [lesson[i] for i in np.flatnonzero(saved >= 2).tolist()]
+        if not hard:
             break
-        s, e = int(bad.starts[owner[i]]), int(one[i]) + 1
-        own = bad.h[s + 2 : e].tolist()
-        if b[i] * na <= 0.2 * a[i] * nb and own[-1] not in taken and picked.isdisjoint(own):
-            chosen.append((s, e))
-            picked.add(own[-1])
-            taken.update(own)
-    if not chosen:
-        return b"", b""
-    # With a chosen beginning go the whole words of toxic texts that have it and that ordinary texts lack.
-    whole, first, count = np.unique(np.concatenate(whole), return_index=True, return_counts=True)
-    length = np.concatenate(sizes)[first]
-    value, _, one = _distinct(bad, bad.starts + bad.sizes - 1, np.arange(len(bad.starts)))
-    under = np.zeros(len(bad.starts), bool)
-    under[np.searchsorted(bad.starts, np.flatnonzero(np.isin(bad.h, np.array(sorted(picked), np.uint64))), side="right") - 1] = True
-    chosen += [(int(bad.starts[w]), int(e) + 1) for e in np.sort(one[~np.isin(value, whole)]).tolist() if under[w := int(np.searchsorted(bad.starts, e, side="right")) - 1]][:most]
-    # The ordinary words that come nearest to a chosen beginning but aren't, then the words that fill most of the ordinary texts.
-    parents = np.array(sorted({int(bad.h[e - 2]) for s, e in chosen if e - s > 3}), np.uint64)
-    near: set[int] = set()
-    for good in _chunks(plain):
-        near.update(good.whole[np.searchsorted(good.starts, np.flatnonzero(np.isin(good.h, parents)), side="right") - 1].tolist())
-    order = np.lexsort((whole, -count * length, ~np.isin(whole, np.array(sorted(near), np.uint64))))
-    order = order[np.cumsum(length[order]) * WIDTH <= BASE_BYTES]
-    rank = dict(zip(whole[order].tolist(), range(len(order))))
-    parts: dict[int, np.ndarray] = {}
-    for good in _chunks(plain):
-        for w in np.flatnonzero(np.isin(good.whole, whole[order])).tolist():
-            if (v := int(good.whole[w])) not in parts:
-                parts[v] = good.h[good.starts[w] : good.starts[w] + good.sizes[w]].copy()
-    base = [x for v, x in sorted(parts.items(), key=lambda x: rank[x[0]]) if v not in near or picked.isdisjoint(x.tolist())]
-    # Frequent words stand last, at the shortest distance; what only the toxic dictionary has stands first.
-    ordinary = coded(np.concatenate(base[::-1])).tobytes() if base else b""
-    return ordinary, b"".join(coded(bad.h[s:e]).tobytes() for s, e in chosen[::-1]) + ordinary if chosen and base else b""
+        ordinary = trained(hard, LESSON_BYTES, 32) + ordinary
+    return ordinary, only + ordinary
 
 
 def folds(texts: list[str]) -> np.ndarray:
-    """Two halves by the least hash of a text's contexts, so that most copies of a text fall into one half."""
-    out = []
+    """Parts by the least hash of a text's words in pairs, so that most copies of a text fall into one part."""
+    out = [np.zeros(0, np.uint64)]
     for w in _chunks(texts):
         least = np.full(w.texts, 2**64 - 1, np.uint64)
         with np.errstate(over="ignore"):
-            np.minimum.at(least, w.doc, w.context * np.uint64(_PRIME))
-        out.append((least >> np.uint64(9)) % np.uint64(2))
+            pair = (w.whole * np.uint64(3) ^ np.append(w.whole[1:], np.uint64(0))) * np.uint64(_PRIME)
+            np.minimum.at(least, w.doc, pair)
+        out.append((least >> np.uint64(9)) % np.uint64(FOLDS))
     return np.concatenate(out)
 
 
@@ -325,14 +336,14 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     """Deterministic for given rows in given order."""
     if not len(texts) or toxic.min() == toxic.max():
         return Model(steps=[(-np.inf, float(np.mean(toxic)) if len(texts) else 0.0)])
-    half = folds(texts)
-    models = [Model(*train_dictionaries([t for t, h in zip(texts, half) if h != k], toxic[half != k])) for k in (0, 1)]
-    seen = [models[k].windows([t for t, h in zip(texts, half) if h == k]) for k in (0, 1)]
+    fold = folds(texts)
+    models = [Model(*train_dictionaries([t for t, h in zip(texts, fold) if h != k], toxic[fold != k])) for k in range(FOLDS)]
+    seen = [m.windows([t for t, h in zip(texts, fold) if h == k]) for k, m in enumerate(models)]
     best = (-1.0, 0, None)
-    for least in (2, 3, 4, 5, 6, 8, 10, 12):
-        x = np.zeros(len(texts), np.int64)
+    for least in (2, 3, 4, 6, 8):
+        x = np.zeros(len(texts))
         for k, (doc, saved) in enumerate(seen):
-            x[half == k] = total(doc, saved, least, int((half == k).sum()))
+            x[fold == k] = per_root(doc, saved, least, int((fold == k).sum()))
         steps = isotonic(x, toxic)
         p = np.array([v for _, v in steps])[np.searchsorted(np.array([s for s, _ in steps]), x, side="right") - 1]
         likely = float((toxic * np.log(p) + (1 - toxic) * np.log1p(-p)).mean())
@@ -341,11 +352,21 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     return Model(*train_dictionaries(texts, toxic), least=best[1], steps=best[2])
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> Model:
-    """The sample's bound is what may be broadcast and sent to the driver."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Model:
+    """At most ``max_rows`` ids are broadcast, and their texts, one for each id, come to the driver as far as ``max_bytes`` hold them."""
     chosen = F.broadcast(training_labels(labels, label_col, id_col, max_rows))
-    got = docs.select(id_col, text_col).join(chosen, id_col).select(id_col, "y", F.coalesce(text_col, F.lit("")).alias("text")).toPandas()
-    got = got.sort_values([id_col, "y"], kind="stable")
+    text = F.coalesce(text_col, F.lit(""))
+    rows = docs.select(id_col, text.alias("text")).join(chosen, id_col).select(id_col, "y", F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")).alias("t"))
+    sample, path = written(rows.groupBy(id_col, "y").agg(F.min("t").alias("t")).select(id_col, "y", "t.text"), "toxic_sample")
+    sizes = sample.select(id_col, F.octet_length("text").alias("n")).orderBy(F.xxhash64(id_col), id_col).toPandas()
+    fits, room = [], max_bytes
+    for i, n in zip(sizes[id_col].tolist(), sizes["n"].tolist()):
+        if n <= room:
+            fits.append(i)
+            room -= n
+    small = docs.sparkSession.createDataFrame([(i,) for i in fits], f"`{id_col}` {dict(docs.dtypes)[id_col]}")
+    got = sample.join(F.broadcast(small), id_col).toPandas().sort_values([id_col, "y"], kind="stable")
+    drop_path(docs.sparkSession, path)
     texts, toxic = got["text"].tolist(), got["y"].to_numpy(int)
     del got
     model = fit(texts, toxic)
@@ -361,8 +382,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             for k in range(0, b.num_rows, 1024):
                 part = b.slice(k, 1024)
-                saved = model.savings([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.likelihood(saved)), pa.array(saved)], names=[id_col, "score", "saved"])
+                windows = model.windows([t or "" for t in part.column(1).to_pylist()])
+                saved = total(*windows, model.least, part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.likelihood(per_root(*windows, model.least, part.num_rows))), pa.array(saved)], names=[id_col, "score", "saved"])
 
     kind = dict(docs.dtypes)[id_col]
     return in_arrow(docs.select(id_col, text_col), run, f"`{id_col}` {kind}, score double, saved bigint")

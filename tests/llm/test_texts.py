@@ -295,6 +295,43 @@ def test_models_on_held_out_rows(spark, name, label, least):
     assert len(got) == table(spark, sf, "documents").count() and np.mean(right) >= least
 
 
+@pytest.mark.parametrize("name, label, recall, precision", [("op5_additive_quality", "quality", 0.95, 0.95), ("op6_zstd_toxicity", "toxic", 0.7, 0.9)])
+def test_recall_and_precision_on_held_out_rows(spark, name, label, recall, precision):
+    sf = "/root/testdata/sf0.1"
+    said = {r["doc_id"]: r["predicted"] for r in Q.queries()[name](spark, sf).filter("held_out").select("doc_id", "predicted").collect()}
+    truth = {r["doc_id"]: r[label] for r in table(spark, sf, "labels").collect() if r["doc_id"] in said and r[label] is not None}
+    hits = sum(said[i] == y == 1 for i, y in truth.items())
+    assert hits >= recall * sum(truth.values()) and hits >= precision * sum(said[i] for i in truth)
+
+
+def test_dictionaries_are_trained_on_their_class():
+    rng = random.Random(6)
+    plain = ["".join(rng.choice("aeioustrnl") for _ in range(rng.randint(3, 7))) for _ in range(200)]
+    text = lambda words: " ".join(rng.choice(words) for _ in range(120))
+    texts = [text(plain) for _ in range(300)] + [text(plain + ["gruntlepug", "zwackelix"] * 10) for _ in range(60)]
+    ordinary, toxic = zstd_toxicity.train_dictionaries(texts, np.repeat([0, 1], [300, 60]))
+    assert len(ordinary) < len(toxic) <= len(ordinary) + zstd_toxicity.TOXIC_BYTES and toxic.endswith(ordinary)
+    code = zstd_toxicity.Words.of(["gruntlepug zwackelix"])
+    assert all(code.text(i)[12:28] in toxic and code.text(i)[12:28] not in ordinary for i in (0, 1))
+    model = zstd_toxicity.Model(ordinary, toxic, 2, [(float("-inf"), 0.0), (4.0, 1.0)])
+    assert model.score([text(plain), text(plain) + " gruntlepug zwackelix" * 3]).tolist() == [0.0, 1.0]
+
+
+def test_training_reads_one_text_of_an_id_within_a_bound_of_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(zstd_toxicity, "fit", lambda texts, toxic: seen.append((texts, toxic.tolist())) or zstd_toxicity.Model())
+    texts = [(i, f"text {i}") for i in range(20)] * 30 + [(20, LONG), (21, None), (None, "x")]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(22)], "doc_id bigint, quality int, toxic int")
+    zstd_toxicity.train(df, labels, max_bytes=10_000)
+    kept = [i for i in range(22) if not held_out(i)]
+    assert seen[0][0] == ["" if i == 21 else f"text {i}" for i in kept if i != 20] and seen[0][1] == [i % 2 for i in kept if i != 20]
+    x = []
+    monkeypatch.setattr(additive_quality, "fit", lambda m, y: x.append(len(m)) or additive_quality.Model())
+    additive_quality.train(df, labels)
+    assert x == [len(kept)]
+
+
 def test_odd_texts_get_scores(spark):
     texts = [None, "", " ", "\n\n", "!!!", "é", LONG, "word " * 50, "word " * 50] * 3
     labels = spark.createDataFrame([(i, None if i == 4 else i % 2, i % 2) for i in range(len(texts))] + [(0, 1, 0), (None, 1, 1)], "doc_id bigint, quality int, toxic int")
