@@ -1,9 +1,12 @@
 """Exact top-k by inner product: ball-tree branch and bound in each shard (operator 10).
 
-Components become ``floor(256 * x)``. The upper bound of a node's ball is ``q . centre + |q| * radius``; the tree's leaves are
-taken by decreasing bound until the bound falls below the kth score. That score is shared: a search starts with the kth score that the query
-has among the longest vectors of the whole table, and carries it through the shard. Nodes whose bound equals the kth score
-are still taken, as ties go to the smaller id.
+Components become ``floor(256 * x)``. The upper bound of a node's ball is ``q . centre + |q| * radius``. A search keeps a queue of
+nodes with the largest bound first, opens inner nodes, scans leaves, and ends when the first bound falls below the kth score;
+what is below a node that is never opened costs nothing. Nodes whose bound equals the kth score are still opened, as ties go to
+the smaller id.
+
+The kth score is shared: every query first searches the shard that promises most, and starts in all others with the kth score
+found there. Cells of shards are balls too, and those whose bound is below that score aren't searched at all.
 
 Defined results: vectors that are null, empty, or hold a null or non-finite component take no part; zero vectors do. Rows
 with a null id take no part. Equal vectors of a shard are one point with their smallest ids. A repeated id counts as so
@@ -13,14 +16,16 @@ range of a long are held at its ends. An empty table gives no rows.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import Others, collapse, finite, matrix, result, search_shards
+from .vectors import Others, collapse, finite, matrix, result, search_cells
 
-LEAF, SEEDS, LEAST = 64, 256, -(2**63)
+LEAF, LEAST = 32, -(2**63)
 
 
 def whole(x: np.ndarray) -> np.ndarray:
@@ -40,49 +45,67 @@ def products(points: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.array([min(max(sum(int(u) * v for u, v in zip(row, a)), LEAST), 2**63 - 1) for row in points], np.int64)
 
 
+def halves(own: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Places in the order of a line between two far points; d: distances from the centre."""
+    one = own[int(np.argmax(d))]
+    other = own[int(np.argmax(((own - one) ** 2).sum(1)))]
+    return np.argpartition(own @ (other - one), len(own) // 2)
+
+
+def slack(b: np.ndarray) -> np.ndarray:
+    """A bound that rounding can't bring below what it bounds."""
+    return b + 1e-9 * (np.abs(b) + 1)
+
+
 class BallTree:
+    """Nodes in pairs of siblings; ``child`` is the first of a node's two children, or -1 for a leaf."""
+
     def __init__(self, points: np.ndarray, leaf: int = LEAF) -> None:
         self.order = np.arange(len(points))
-        centre, radius, span, kids = [], [], [], []
-        todo = [(0, len(points), -1, 0)]
-        while todo:
-            a, b, parent, side = todo.pop()
+        self.span, self.child = [(0, len(points))], [-1]
+        centre, radius = [], []
+        me = 0
+        while me < len(self.span):
+            a, b = self.span[me]
             own = points[self.order[a:b]]
             c = own.mean(0)
             d = np.sqrt(((own - c) ** 2).sum(1))
-            me = len(centre)
             centre.append(c)
             radius.append(float(d.max()) * (1 + 1e-9) + 1e-9)
-            span.append((a, b))
-            kids.append([-1, -1])
-            if parent >= 0:
-                kids[parent][side] = me
             if b - a > leaf and d.max() > 0:
-                one = own[int(np.argmax(d))]
-                far = ((own - one) ** 2).sum(1)
-                other = own[int(np.argmax(far))]
-                mid = (b - a) // 2
-                self.order[a:b] = self.order[a:b][np.argpartition(own @ (other - one), mid)]
-                todo += [(a, a + mid, me, 0), (a + mid, b, me, 1)]
-        leaves = [i for i, k in enumerate(kids) if k[0] < 0]
-        self.centre, self.radius = np.array([centre[i] for i in leaves]), np.array([radius[i] for i in leaves])
-        self.span = [span[i] for i in leaves]
+                self.order[a:b] = self.order[a:b][halves(own, d)]
+                mid = a + (b - a) // 2
+                self.child[me] = len(self.span)
+                self.span += [(a, mid), (mid, b)]
+                self.child += [-1, -1]
+            me += 1
+        self.centre, self.radius = np.array(centre), np.array(radius)
         self.safe = False  # whether products of doubles are exact
+        self.bounded = self.scanned = 0  # nodes whose bound was computed, leaves that were read
 
-    def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """No point of a leaf (column) has a larger product with a query (row)."""
-        b = queries @ self.centre.T + np.sqrt((queries * queries).sum(1))[:, None] * self.radius
-        return b + 1e-9 * (np.abs(b) + 1)
+    def bounds(self, a: int, b: int, q: np.ndarray, norm: float) -> list[float]:
+        """No point of these nodes has a larger product with q."""
+        self.bounded += b - a
+        return slack(self.centre[a:b] @ q + norm * self.radius[a:b]).tolist()
 
-    def search(self, points: np.ndarray, counts: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, points: np.ndarray, counts: np.ndarray, q: np.ndarray, k: int, least: int) -> tuple[np.ndarray, np.ndarray]:
         """points, counts (without the query's own rows): in the order of the leaves. Rows and scores of every point that may be among the k best; least: a score that k rows are known to reach."""
         rows, scores = [], []
         best = np.zeros(0, np.int64)
         kth = least
-        for leaf in np.argsort(-bound, kind="stable").tolist():
-            if bound[leaf] < kth:
+        norm = float(np.sqrt(q @ q))
+        queue = [(-b, i) for i, b in enumerate(self.bounds(0, 1, q, norm))]
+        while queue:
+            bound, node = heapq.heappop(queue)
+            if -bound < kth:
                 break
-            a, b = self.span[leaf]
+            if (first := self.child[node]) >= 0:
+                for i, b in enumerate(self.bounds(first, first + 2, q, norm)):
+                    if b >= kth:
+                        heapq.heappush(queue, (-b, first + i))
+                continue
+            self.scanned += 1
+            a, b = self.span[node]
             s = (points[a:b] @ q).astype(np.int64) if self.safe else products(points[a:b], q)
             hit = np.flatnonzero(s >= kth)
             if len(hit):
@@ -94,6 +117,28 @@ class BallTree:
         return (np.concatenate(rows), np.concatenate(scores)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+class Balls:
+    """Cells around centres that a ball tree over a sample has; a cell's extent is its radius and whether it has rows."""
+
+    def __init__(self, sample: np.ndarray, cells: int) -> None:
+        sample = np.unique(sample, axis=0)
+        tree = BallTree(sample, max(1, len(sample) // cells))
+        self.centres = tree.centre[[i for i, c in enumerate(tree.child) if c < 0]]
+        self.cells = len(self.centres)
+
+    def deal(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cell = np.empty(len(x), np.int64)
+        half = (self.centres**2).sum(1) / 2
+        for i in range(0, len(x), 1024):
+            cell[i : i + 1024] = np.argmin(half - x[i : i + 1024] @ self.centres.T, 1)
+        return cell, np.sqrt(((x - self.centres[cell]) ** 2).sum(1))[:, None]
+
+    def promise(self, q: np.ndarray, extents: np.ndarray) -> np.ndarray:
+        r = extents[:, 0] * (1 + 1e-9) + 1e-9
+        with np.errstate(invalid="ignore"):
+            return np.where(r < 0, -np.inf, slack(q @ self.centres.T + np.sqrt((q * q).sum(1))[:, None] * np.maximum(r, 0)))
+
+
 def search(q_ids: np.ndarray, queries: np.ndarray, least: list[int | None], ids: np.ndarray, x: np.ndarray, k: int) -> tuple[list, list, list]:
     points, members = collapse(ids, x, k)
     tree = BallTree(points)
@@ -101,8 +146,8 @@ def search(q_ids: np.ndarray, queries: np.ndarray, least: list[int | None], ids:
     others = Others(members)
     tree.safe = exact(points, queries)
     out_q, out_v, out_s = [], [], []
-    for me, q, bound, floor in zip(q_ids, queries, tree.bounds(queries), least, strict=True):
-        rows, s = tree.search(points, others.than(me), q, bound, k, LEAST if floor is None else floor)
+    for me, q, floor in zip(q_ids, queries, least, strict=True):
+        rows, s = tree.search(points, others.than(me), q, k, LEAST if floor is None else floor)
         v = np.concatenate([members[r] for r in rows] or [np.zeros(0, np.int64)])
         s = np.repeat(s, others.counts[rows])
         own = v != me
@@ -115,34 +160,14 @@ def search(q_ids: np.ndarray, queries: np.ndarray, least: list[int | None], ids:
 
 
 def top_products(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k largest integer inner products of every row for which ``is_query`` holds."""
+    """``query_id, rank, vec_id, score``: the k largest integer inner products of every row for which ``is_query`` (over ``vec_id``) holds."""
     v = F.col(vec_col)
     rows = vectors.filter(F.col(id_col).isNotNull() & finite(v)).select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    longest = [(r["vec_id"], r["v"]) for r in rows.orderBy(norm.desc(), "vec_id").limit(SEEDS).collect()]
-
-    def first_bound(queries: DataFrame) -> DataFrame:
-        """The kth score among the longest vectors, so that every shard starts from a score that k rows reach."""
-
-        def run(batches):
-            seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for n in {len(x) for _, x in longest}:
-                own = [(i, x) for i, x in longest if len(x) == n]
-                seeds[n] = np.array([i for i, _ in own]), whole(np.array([x for _, x in own], float))
-            for b in batches:
-                least = []
-                for me, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    ids, pts = seeds.get(len(x), (np.zeros(0), np.zeros((0, len(x)))))
-                    s = np.sort(products(pts[ids != me], whole(np.array(x, float))))[::-1]
-                    least.append(int(s[k - 1]) if len(s) >= k else None)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(least, pa.int64())], names=["vec_id", "v", "least"])
-
-        return queries.select("vec_id", "v").mapInArrow(run, "vec_id bigint, v array<double>, least bigint")
 
     def work(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
-            return result([], [], [], pa.int64())
+            return result([], [], [], [], pa.int64())
         found = search(q["vec_id"].to_numpy(), whole(matrix(q["v"])), q["least"].to_pylist(), c["vec_id"].to_numpy(), whole(matrix(c["v"])), k)
-        return result(*found, pa.int64())
+        return result(found[0], [np.full(len(x), h) for x, h in zip(found[0], q["h"].to_pylist())], *found[1:], pa.int64())
 
-    return search_shards(rows, is_query, work, "bigint", k, best_first=True, query_extra=first_bound)
+    return search_cells(rows, is_query, Balls, whole, work, "bigint", k, best_first=True)

@@ -1,10 +1,14 @@
 """Approximate nearest neighbours by stable projections (operator 1).
 
-Each shard projects its vectors to a few dimensions with Gaussian (2-stable) weights and indexes the projections by a
-kd-tree. A query takes its projected neighbours in increasing distance, verifies them by the exact distance, and stops by
-a chi-square test: the squared projected distance over the squared distance follows a chi-square law with as many degrees
-of freedom as dimensions, so once the next projected distance ``r`` satisfies ``chi2(r**2 / d_k**2) >= confidence`` for the
-kth distance ``d_k`` found so far, a closer vector that has not come yet is that unlikely. Every row is indexed.
+Vectors are projected to a few dimensions with Gaussian (2-stable) weights, the same everywhere, and the projections are indexed by
+kd-trees: one over a sample lays out the cells of shards, and each shard has one of its own. A query takes its projected
+neighbours one after another, in increasing distance, from a queue of nodes; each is verified by the exact distance, and then
+a chi-square test may end the search: the squared projected distance over the squared distance follows a chi-square law with
+as many degrees of freedom as dimensions, so once the projected distance ``r`` satisfies ``chi2(r**2 / d_k**2) >= confidence`` for the
+kth distance ``d_k`` found so far, a closer vector that has not come yet is that unlikely. Nodes beyond that are never opened.
+
+The kth distance is shared: a query first searches the shard that is nearest in projection, and takes the distance found there
+to all others; cells that the same test rules out aren't searched. Every row is indexed.
 
 Defined results: vectors that are null, zero, empty, or hold a null or non-finite component take no part, neither as query
 nor as candidate; rows with a null id neither. Equal distances are ordered by the smaller id; equal vectors of a shard are
@@ -15,14 +19,16 @@ than k candidates gets all. Vectors are compared only with those of the same len
 
 from __future__ import annotations
 
+import heapq
 import math
+from bisect import insort
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import Others, collapse, finite, matrix, result, search_shards
+from .vectors import Others, collapse, finite, matrix, result, search_cells
 
 #: Projected dimensions (even), rows of a leaf, confidence of the stopping test.
 DIMENSIONS, LEAF, CONFIDENCE = 8, 32, 0.97
@@ -48,37 +54,96 @@ def threshold(degrees: int, confidence: float) -> float:
 
 
 class KdTree:
-    """Nodes cut at the median of their widest side; leaves hold slices of ``order``."""
+    """Nodes cut at the median of their widest side, in pairs of siblings; ``child`` is the first of a node's two children, or -1 for a leaf."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF) -> None:
-        self.points, self.order = points, np.arange(len(points))
-        low, high, span, kids = [], [], [], []
-        todo = [(0, len(points), -1, 0)]
-        while todo:
-            a, b, parent, side = todo.pop()
+        self.order = np.arange(len(points))
+        self.span, self.child, self.cut = [(0, len(points))], [-1], [(0, 0.0)]
+        low, high = [], []
+        me = 0
+        while me < len(self.span):
+            a, b = self.span[me]
             own = points[self.order[a:b]]
-            me = len(low)
             low.append(own.min(0))
             high.append(own.max(0))
-            span.append((a, b))
-            kids.append([-1, -1])
-            if parent >= 0:
-                kids[parent][side] = me
-            if b - a > leaf:
-                axis = int(np.argmax(high[me] - low[me]))
-                mid = (b - a) // 2
-                self.order[a:b] = self.order[a:b][np.argpartition(own[:, axis], mid)]
-                todo += [(a, a + mid, me, 0), (a + mid, b, me, 1)]
-        self.low, self.high, self.kids = np.array(low), np.array(high), np.array(kids)
-        self.leaves = np.flatnonzero(self.kids[:, 0] < 0)
-        self.span = np.array(span)
-
-    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The leaves by their squared distance to q, and these distances."""
-        gap = np.maximum(0, np.maximum(self.low[self.leaves] - q, q - self.high[self.leaves]))
-        d = (gap * gap).sum(1)
-        order = np.argsort(d, kind="stable")
-        return self.leaves[order], d[order]
+            axis = int(np.argmax(high[me] - low[me]))
+            if b - a > leaf and high[me][axis] > low[me][axis]:
+                by = np.argpartition(own[:, axis], (b - a) // 2)
+                self.order[a:b] = self.order[a:b][by]
+                mid = a + (b - a) // 2
+                self.child[me] = len(self.span)
+                self.cut[me] = axis, float(own[by[(b - a) // 2], axis])
+                self.span += [(a, mid), (mid, b)]
+                self.child += [-1, -1]
+                self.cut += [(0, 0.0)] * 2
+            me += 1
+        self.low, self.high = np.array(low), np.array(high)
+        self.points = points[self.order]
+        self.bounded = self.verified = 0  # nodes whose distance was computed, points that were verified
+
+    def gaps(self, a: int, b: int, q: np.ndarray) -> list[float]:
+        """Squared distances of the boxes of these nodes."""
+        self.bounded += b - a
+        gap = np.maximum(0, np.maximum(self.low[a:b] - q, q - self.high[a:b]))
+        return np.einsum("ij,ij->i", gap, gap).tolist()
+
+    def neighbours(self, q: np.ndarray):
+        """(squared projected distances, places in ``order``) in runs; distances increase within and between runs. ``send`` a distance beyond which none are wanted."""
+        queue = [(d, 0) for d in self.gaps(0, 1, q)]
+        wait_d, wait_at = np.zeros(0), np.zeros(0, np.int64)  # points of open leaves that come later
+        most = math.inf
+        while queue or len(wait_d):
+            reach = queue[0][0] if queue else math.inf
+            ready = wait_d <= reach
+            if ready.any():
+                by = np.argsort(wait_d[ready], kind="stable")
+                most = yield wait_d[ready][by], wait_at[ready][by]
+                wait_d, wait_at = wait_d[~ready], wait_at[~ready]
+            if not queue:
+                break
+            d, node = heapq.heappop(queue)
+            if d > most:
+                return
+            if (first := self.child[node]) >= 0:
+                for i, g in enumerate(self.gaps(first, first + 2, q)):
+                    heapq.heappush(queue, (g, first + i))
+            else:
+                a, b = self.span[node]
+                x = self.points[a:b] - q
+                wait_d, wait_at = np.append(wait_d, np.einsum("ij,ij->i", x, x)), np.append(wait_at, np.arange(a, b))
+
+
+class Boxes:
+    """Cells that a kd-tree over a sample cuts projected space into; a cell's extent are the far sides of its box, the low ones negated."""
+
+    def __init__(self, sample: np.ndarray, cells: int, limit: float) -> None:
+        tree = KdTree(sample, max(1, len(sample) // cells))
+        self.limit = limit
+        self.child, self.cut = np.array(tree.child), tree.cut
+        leaves = np.flatnonzero(self.child < 0)
+        self.cells, self.number = len(leaves), {int(n): i for i, n in enumerate(leaves)}
+
+    def deal(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cell = np.zeros(len(p), np.int64)
+        todo = [(0, np.arange(len(p)))]
+        while todo:
+            node, rows = todo.pop()
+            if (first := int(self.child[node])) < 0:
+                cell[rows] = self.number[node]
+            else:
+                axis, at = self.cut[node]
+                low = p[rows, axis] < at
+                todo += [(first, rows[low]), (first + 1, rows[~low])]
+        return cell, np.concatenate([p, -p], 1)
+
+    def promise(self, q: np.ndarray, extents: np.ndarray) -> np.ndarray:
+        """Minus the kth distance from which on the test would end the search before the box."""
+        m = q.shape[1]
+        total = np.zeros((len(q), len(extents)))
+        for j in range(m):
+            gap = np.maximum(0, np.maximum(-extents[:, m + j] - q[:, j : j + 1], q[:, j : j + 1] - extents[:, j]))
+            total += np.minimum(gap, 1e150) ** 2
+        return -np.sqrt(total / self.limit) * (1 - 1e-12)
 
 
 def weights(dim: int, degrees: int, seed: int) -> np.ndarray:
@@ -90,39 +155,55 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
-def search(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, confidence: float = CONFIDENCE, degrees: int = DIMENSIONS, seed: int = 7) -> tuple[list, list, list]:
-    """The k nearest of one shard for each query: lists of query ids, vector ids and distances."""
+def search(
+    q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, confidence: float = CONFIDENCE, degrees: int = DIMENSIONS, seed: int = 7,
+    least: list[float | None] | None = None, count: list[int] | None = None,
+) -> tuple[list, list, list]:
+    """The k nearest of one shard for each query: lists of query ids, vector ids and distances. least: a distance within which k rows are known to be; count: takes the numbers of bounded nodes and verified points."""
     points, members = collapse(ids, x, k)
     w = weights(x.shape[1], degrees, seed)
     tree, limit = KdTree(points @ w), threshold(degrees, confidence)
+    points, members = points[tree.order], [members[i] for i in tree.order]
     out_q, out_v, out_s = [], [], []
     others = Others(members)
-    for me, q, p in zip(q_ids, queries, queries @ w, strict=True):
-        leaves, bound = tree.bounds(p)
+    for me, q, p, known in zip(q_ids, queries, queries @ w, least or [None] * len(q_ids), strict=True):
         counts = others.than(me)
-        found: list[np.ndarray] = []
-        dist: list[np.ndarray] = []
-        best = np.full(0, np.inf)  # distances of the nearest so far, at most k
-        at, step = 0, 2
-        while at < len(leaves):
-            rows = np.concatenate([tree.order[a:b] for a, b in tree.span[leaves[at : at + step]]])
-            at, step = at + step, min(step * 2, 64)
-            d = distances(q, points[rows])
-            found.append(rows)
-            dist.append(d)
-            best = np.sort(np.concatenate([best, np.repeat(d, np.minimum(counts[rows], k))]))[:k]
-            if len(best) == k and at < len(leaves) and bound[at] >= limit * best[-1] ** 2 and bound[at] > 0:
-                break
-        rows, d = np.concatenate(found), np.concatenate(dist)
-        near = d <= best[-1] if len(best) == k else np.ones(len(d), bool)
-        v = np.concatenate([members[r] for r in rows[near]] or [np.zeros(0, np.int64)])
-        s = np.repeat(d[near], others.counts[rows[near]])
+        best = [math.inf] * k if known is None else [known] * k  # distances of the nearest so far
+        rows: list[int] = []
+        dist: list[float] = []
+        run = tree.neighbours(p)
+        more, ended = next(run, None), False
+        while more is not None and not ended:
+            r2, at = more
+            for r, i, d, n in zip(r2.tolist(), at.tolist(), distances(q, points[at]).tolist(), counts[at].tolist()):
+                if r >= limit * best[-1] ** 2 and r > 0:  # the test, before each neighbour
+                    ended = True
+                    break
+                tree.verified += 1
+                if d <= best[-1]:
+                    rows.append(i)
+                    dist.append(d)
+                    for _ in range(min(n, k)):
+                        insort(best, d)
+                    del best[k:]
+            if not ended:
+                try:
+                    more = run.send(limit * best[-1] ** 2)
+                except StopIteration:
+                    more = None
+        d = np.array(dist)
+        near = d <= best[-1]
+        chosen = np.array(rows, np.int64)[near]
+        v = np.concatenate([members[r] for r in chosen] or [np.zeros(0, np.int64)])
+        s = np.repeat(d[near], others.counts[chosen])
         own = v != me
         v, s = v[own], s[own]
         top = np.lexsort((v, s))[:k]
         out_q.append(np.full(len(top), me))
         out_v.append(v[top])
         out_s.append(s[top])
+    if count is not None:
+        count += [tree.bounded, tree.verified]
     return out_q, out_v, out_s
 
 
@@ -132,11 +213,12 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
         raise ValueError("the number of projected dimensions must be even")
     v = F.col(vec_col)
     rows = vectors.filter(F.col(id_col).isNotNull() & finite(v)).filter(F.exists(v, lambda x: x != 0)).select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
+    seed, limit = 7, threshold(degrees, confidence)
 
     def work(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:
-            return result([], [], [], pa.float64())
-        found = search(q["vec_id"].to_numpy(), matrix(q["v"]), c["vec_id"].to_numpy(), matrix(c["v"]), k, confidence, degrees)
-        return result(*found, pa.float64())
+            return result([], [], [], [], pa.float64())
+        found = search(q["vec_id"].to_numpy(), matrix(q["v"]), c["vec_id"].to_numpy(), matrix(c["v"]), k, confidence, degrees, seed, q["least"].to_pylist())
+        return result(found[0], [np.full(len(x), h) for x, h in zip(found[0], q["h"].to_pylist())], *found[1:], pa.float64())
 
-    return search_shards(rows, is_query, work, "double", k, best_first=False, query_extra=lambda q: q.select("vec_id", "v").distinct())
+    return search_cells(rows, is_query, lambda x, n: Boxes(x, n, limit), lambda x: x @ weights(x.shape[1], degrees, seed), work, "double", k, best_first=False, repeat=False)

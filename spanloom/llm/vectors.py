@@ -1,19 +1,30 @@
-"""What both vector searches share: which vectors take part, shards of bounded size, and the best rows of all shards."""
+"""What both vector searches share: which vectors take part, cells of bounded size that a query may skip, and the best rows of all.
+
+Vectors are dealt to cells, which a bounded sample lays out; a cell with many rows is dealt on to shards by a hash, so that
+a frequent vector spreads. Each query first searches one shard, of the cell that promises most. The kth score found there goes
+with it to all other shards of cells whose bound leaves room for a better one, and to no others.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import in_arrow, materialize
+
 #: Vectors in a shard, and queries that meet a shard at once.
 SHARD_ROWS, QUERY_BLOCK = 16_384, 4_096
-#: With fewer shards a small table would keep a few tasks busy only.
-LEAST_SHARDS = 64
+#: With fewer cells a small table would keep a few tasks busy only; more would be too much for a driver's tables.
+LEAST_CELLS, MOST_CELLS = 32, 1_024
+#: Vectors that cells are laid out from: a bounded sample, chosen by a hash. Every vector is indexed.
+SAMPLE = 8_192
 
 
 def finite(v: Column) -> Column:
@@ -63,33 +74,158 @@ class Others:
         return out
 
 
-def search_shards(
-    vectors: DataFrame, is_query: Column, work: Callable[[pa.Table, pa.Table], pa.Table], score_type: str, k: int, best_first: bool,
-    query_extra: Callable[[DataFrame], DataFrame] | None = None,
+class Layout(Protocol):
+    """Cells of the vectors of one length. ``extent`` are numbers of which a cell keeps the largest over its rows."""
+
+    cells: int
+
+    def deal(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the cell of each row, its extent)."""
+
+    def promise(self, q: np.ndarray, extents: np.ndarray) -> np.ndarray:
+        """No row of a cell (column) has a better score with a query (row) than this; larger is better."""
+
+
+@dataclass
+class Map:
+    """All cells: by length of vectors the layout, extents of cells that hold rows, and the first shard of each."""
+
+    layouts: dict[int, Layout]
+    extents: dict[int, np.ndarray] = field(default_factory=dict)
+    rows: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def shards(self, dim: int) -> np.ndarray:
+        """How many shards each cell has."""
+        return -(-self.rows[dim] // SHARD_ROWS)
+
+
+def _by_length(b: pa.RecordBatch, at: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places of the rows with that length, their matrix)."""
+    lists = b.column(at)
+    n = np.diff(lists.offsets.to_numpy())
+    for dim in np.unique(n).tolist():
+        rows = np.flatnonzero(n == dim)
+        yield dim, rows, lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), dim)
+
+
+def lay_out(vectors: DataFrame, make: Callable[[np.ndarray, int], Layout], shape: Callable[[np.ndarray], np.ndarray]) -> Map:
+    """The cells of ``vec_id, v``, with what they hold."""
+    want = min(MOST_CELLS, max(LEAST_CELLS, math.ceil(4 * vectors.count() / SHARD_ROWS)))
+    sample: dict[int, list] = {}
+    for r in vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE).select("v").collect():
+        sample.setdefault(len(r["v"]), []).append(r["v"])
+    # A length that the sample lacks has one cell, laid out around nothing.
+    m = Map({n: make(shape(np.array(x, float)), want) for n, x in sample.items()})
+    layouts = m.layouts
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for dim, _, x in _by_length(b, 0):
+                cell, extent = (layouts.get(dim) or make(shape(np.zeros((1, dim))), 1)).deal(shape(x))
+                own = np.unique(cell)
+                most = np.stack([extent[cell == c].max(0) for c in own])
+                yield pa.record_batch({"dim": pa.array(np.full(len(own), dim), pa.int32()), "cell": pa.array(own, pa.int32()), "rows": pa.array(np.bincount(cell)[own], pa.int64()), "extent": pa.array(list(most), pa.list_(pa.float64()))})
+
+    each = in_arrow(vectors.select("v"), measure, "dim int, cell int, rows bigint, extent array<double>").select("dim", "cell", "rows", F.posexplode("extent").alias("i", "x"))
+    each = each.groupBy("dim", "cell", "i").agg(F.sum("rows").alias("rows"), F.max("x").alias("x"))
+    for r in each.groupBy("dim", "cell").agg(F.max("rows").alias("rows"), F.sort_array(F.collect_list(F.struct("i", "x"))).alias("e")).collect():  # a row for each cell
+        if r["dim"] not in m.layouts:
+            m.layouts[r["dim"]] = make(shape(np.zeros((1, r["dim"]))), 1)
+        if r["dim"] not in m.rows:
+            m.rows[r["dim"]] = np.zeros(m.layouts[r["dim"]].cells, np.int64)
+            m.extents[r["dim"]] = np.full((m.layouts[r["dim"]].cells, len(r["e"])), -np.inf)
+        m.rows[r["dim"]][r["cell"]] = r["rows"]
+        m.extents[r["dim"]][r["cell"]] = [x["x"] for x in r["e"]]
+    return m
+
+
+def search_cells(
+    vectors: DataFrame, is_query: Column, make: Callable[[np.ndarray, int], Layout], shape: Callable[[np.ndarray], np.ndarray],
+    work: Callable[[pa.Table, pa.Table], pa.Table], score_type: str, k: int, best_first: bool, repeat: bool = True,
 ) -> DataFrame:
-    """Every query meets every shard once; ``work(queries, shard)`` returns ``query_id, vec_id, score`` with the shard's own best.
+    """``query_id, rank, vec_id, score``. ``work(queries, shard)`` gets ``vec_id, h, v`` of both and ``least`` of the queries, a score that
+    k rows are known to reach (null: none), and returns ``query_id, h, vec_id, score`` of the shard's best.
 
-    vectors: ``vec_id, v``. Rows are dealt to shards by a hash of id and vector, so that frequent vectors and ids spread evenly;
-    the queries are dealt to blocks. Only vectors of one length are compared with each other.
+    vectors: ``vec_id, v``; shape: what layouts see of a vector. A query row that is repeated is searched once and, with ``repeat``, answered as often.
     """
-    n = vectors.count()
-    shards = max(LEAST_SHARDS, math.ceil(n / SHARD_ROWS))
-    queries = vectors.filter(is_query)
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    of = lambda m, seed: F.pmod(F.xxhash64("vec_id", "v", F.lit(seed)), F.lit(m)).cast("int")
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    if query_extra:
-        queries = query_extra(queries)
-    right = vectors.withColumn("dim", F.size("v")).withColumn("shard", of(shards, 1)).withColumn("block", every(blocks))
-    left = queries.withColumn("dim", F.size("v")).withColumn("block", of(blocks, 2)).withColumn("shard", every(shards))
-    found = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "shard", "block")).applyInArrow(
-        lambda q, c: work(q, c), f"query_id bigint, vec_id bigint, score {score_type}"
-    )
+    spark = vectors.sparkSession
+    m = lay_out(vectors, make, shape)
+    shared = spark.sparkContext.broadcast(m)  # bounded by MOST_CELLS
+    better = 1 if best_first else -1
+    hashed = F.xxhash64("vec_id", "v")
+    queries = vectors.filter(is_query).groupBy("vec_id", "v").agg(F.count("*").alias("times")).withColumn("h", hashed)
+    names = ["vec_id", "h", "v", "dim", "cell", "shard", "least"]
+    kinds = f"vec_id bigint, h bigint, v array<double>, dim int, cell int, shard int, least {score_type}"
+
+    def rows_of(b: pa.RecordBatch, rows: np.ndarray, dim: int, cell: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
+        own = b.take(pa.array(rows))
+        return pa.RecordBatch.from_arrays([*own.columns[:3], *(pa.array(x, pa.int32()) for x in (np.full(len(rows), dim), cell, shard)), own.column(3)], names=names)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each vector to its shard."""
+        for b in batches:
+            for dim, rows, x in _by_length(b, 2):
+                cell, _ = shared.value.layouts[dim].deal(shape(x))
+                h = b.column(1).to_numpy()[rows]
+                yield rows_of(b, rows, dim, cell, h % shared.value.shards(dim)[cell])
+
+    def homes(m: Map, dim: int, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(promise of each cell, the best of them, and the shard there that a query searches first)."""
+        promise = m.layouts[dim].promise(x, m.extents[dim])
+        home = np.argmax(promise, 1)
+        return promise, home, h % m.shards(dim)[home]
+
+    def go_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for dim, rows, x in _by_length(b, 2):
+                _, home, shard = homes(shared.value, dim, shape(x), b.column(1).to_numpy()[rows])
+                yield rows_of(b, rows, dim, home, shard)
+
+    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query to all shards but the first whose cells may hold better rows."""
+        for b in batches:
+            for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):
+                for dim, rows, x in _by_length(part, 2):
+                    m = shared.value
+                    promise, home, first = homes(m, dim, shape(x), part.column(1).to_numpy()[rows])
+                    least = part.column(3).take(pa.array(rows)).to_numpy(zero_copy_only=False).astype(float)
+                    row, cell = np.nonzero((promise >= np.where(np.isnan(least), -np.inf, better * least)[:, None]) & (m.rows[dim] > 0))
+                    each = m.shards(dim)[cell]
+                    row, cell = np.repeat(row, each), np.repeat(cell, each)
+                    shard = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+                    on = (cell != home[row]) | (shard != first[row])
+                    yield rows_of(part, rows[row[on]], dim, cell[on], shard[on])
+
+    none = F.lit(None).cast(score_type).alias("least")
+    placed = in_arrow(vectors.select("vec_id", hashed.alias("h"), "v", none), place, kinds)
+    key = ["dim", "cell", "shard", "block"]
+
+    def meet(asked: DataFrame) -> DataFrame:
+        """asked: rows of ``names``. As many blocks for a cell as its queries need; cells without queries aren't shuffled."""
+        blocks = asked.groupBy("dim", "cell", "shard").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+        blocks = materialize(blocks.groupBy("dim", "cell").agg(F.max("blocks").alias("blocks")), "blocks")  # a row for each cell at most
+        left = asked.join(F.broadcast(blocks), ["dim", "cell"]).withColumn("block", F.pmod(F.col("h"), F.col("blocks")).cast("int")).select(*names, "block")
+        right = placed.join(F.broadcast(blocks), ["dim", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*names, "block")
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(lambda q, c: work(q, c), f"query_id bigint, h bigint, vec_id bigint, score {score_type}")
+
+    found = materialize(meet(in_arrow(queries.select("vec_id", "h", "v", none), go_home, kinds)), "home")
+    worst = F.min("score") if best_first else F.max("score")
+    least = found.groupBy(F.col("query_id").alias("vec_id"), "h").agg(F.when(F.count("*") >= k, worst).alias("least"))
+    asked = queries.select("vec_id", "h", "v").join(least, ["vec_id", "h"], "left").select("vec_id", "h", "v", "least")
+    found = found.unionByName(meet(in_arrow(asked, go_on, kinds)))
+    if not repeat:
+        return _ranked(found, k, best_first)
+    times = queries.filter("times > 1").select(F.col("vec_id").alias("query_id"), "h", F.least("times", F.lit(k)).alias("times"))
+    found = found.join(times, ["query_id", "h"], "left").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("times", F.lit(1).cast("long")))))
+    return _ranked(found, k, best_first)
+
+
+def _ranked(found: DataFrame, k: int, best_first: bool) -> DataFrame:
     order = F.col("score").desc() if best_first else F.col("score").asc()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def result(query_ids: list, vec_ids: list, scores: list, kind: pa.DataType) -> pa.Table:
+def result(query_ids: list, hashes: list, vec_ids: list, scores: list, kind: pa.DataType) -> pa.Table:
     cat = lambda xs, t: pa.array(np.concatenate(xs) if xs else np.zeros(0), t)
-    return pa.table({"query_id": cat(query_ids, pa.int64()), "vec_id": cat(vec_ids, pa.int64()), "score": cat(scores, kind)})
+    return pa.table({"query_id": cat(query_ids, pa.int64()), "h": cat(hashes, pa.int64()), "vec_id": cat(vec_ids, pa.int64()), "score": cat(scores, kind)})

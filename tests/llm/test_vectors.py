@@ -105,3 +105,73 @@ def test_products_of_the_table(spark, sf):
 def test_chi_square():
     assert abs(stable_projection.chi_square(stable_projection.threshold(8, 0.95), 8) - 0.95) < 1e-9
     assert abs(stable_projection.threshold(8, 0.95) - 15.507) < 1e-2
+
+
+# What trees leave out
+
+
+def clusters(n=6000, dim=16):
+    rng = np.random.default_rng(12)
+    return rng.normal(size=(40, dim))[rng.integers(40, size=n)] + 0.05 * rng.normal(size=(n, dim))
+
+
+def test_ball_tree_opens_few_nodes():
+    x = ball_tree.whole(clusters())
+    tree = ball_tree.BallTree(x)
+    x, tree.safe = x[tree.order], True
+    leaves, tries = sum(c < 0 for c in tree.child), x[::300]
+    for q in tries:
+        rows, s = tree.search(x, np.ones(len(x), int), q, 5, ball_tree.LEAST)
+        assert sorted(s)[-5:] == sorted((x @ q).astype(int))[-5:]
+    assert tree.scanned < 0.25 * leaves * len(tries) and tree.bounded < 0.4 * len(tree.child) * len(tries)
+    read = tree.scanned
+    for q in tries:  # with the kth score known from the start
+        tree.search(x, np.ones(len(x), int), q, 5, int(np.sort(x @ q)[-5]))
+    assert tree.scanned - read <= read
+
+
+def test_projected_neighbours_come_in_order_and_end_early():
+    x = clusters()
+    tree = stable_projection.KdTree(x @ stable_projection.weights(16, 8, 7))
+    q = x[5] @ stable_projection.weights(16, 8, 7)
+    r = np.concatenate([r for r, _ in _drain(tree.neighbours(q))])
+    assert len(r) == len(x) and (np.diff(r) >= 0).all()
+    count = []
+    ids = np.arange(len(x))
+    _, v, s = stable_projection.search(ids[::300], x[::300], ids, x, 10, count=count)
+    exact = [set(np.argsort(((x - p) ** 2).sum(1), kind="stable")[1:11]) for p in x[::300]]
+    assert np.mean([len(set(a) & b) / 10 for a, b in zip(v, exact)]) >= 0.9
+    assert count[1] < 0.2 * len(x) * len(x[::300])
+
+
+def _drain(run):
+    item = next(run, None)
+    while item is not None:
+        yield item
+        try:
+            item = run.send(float("inf"))
+        except StopIteration:
+            return
+
+
+def test_cells_are_left_out():
+    x = ball_tree.whole(clusters())
+    layout = ball_tree.Balls(x[::4], 32)
+    cell, extent = layout.deal(x)
+    extents = np.full((layout.cells, 1), -np.inf)
+    np.maximum.at(extents[:, 0], cell, extent[:, 0])
+    q = x[::300]
+    promise = layout.promise(q, extents)
+    best = np.full((len(q), layout.cells), -np.inf)
+    for c in np.unique(cell):
+        best[:, c] = (q @ x[cell == c].T).max(1)
+    assert (best <= promise).all()
+    kth = np.sort(q @ x.T, 1)[:, -5]
+    assert (promise >= kth[:, None]).mean() < 0.4
+    boxes = stable_projection.Boxes(x[::4, :8], 32, 16.0)
+    cell, extent = boxes.deal(x[:, :8])
+    assert len(np.unique(cell)) == boxes.cells >= 32
+    extents = np.stack([extent[cell == c].max(0) for c in range(boxes.cells)])
+    for c in range(boxes.cells):
+        d = np.sqrt(((q[:, None, :8] - x[None, cell == c, :8]) ** 2).sum(2)).min(1)
+        assert (boxes.promise(q[:, :8], extents)[:, c] >= -d / 4 - 1e-9).all()
