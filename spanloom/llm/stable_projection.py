@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .vectors import Others, collapse, finite, matrix, result, search_cells
 
 #: Projected dimensions (even), rows of a leaf, confidence of the stopping test.
-DIMENSIONS, LEAF, CONFIDENCE = 8, 32, 0.97
+DIMENSIONS, LEAF, CONFIDENCE = 8, 128, 0.97
 
 
 def chi_square(x: np.ndarray | float, degrees: int) -> np.ndarray | float:
@@ -169,31 +169,38 @@ def search(
     for me, q, p, known in zip(q_ids, queries, queries @ w, least or [None] * len(q_ids), strict=True):
         counts = others.than(me)
         best = [math.inf] * k if known is None else [known] * k  # distances of the nearest so far
-        rows: list[int] = []
-        dist: list[float] = []
+        rows, dist = [np.zeros(0, np.int64)], [np.zeros(0)]
         run = tree.neighbours(p)
         more, ended = next(run, None), False
         while more is not None and not ended:
             r2, at = more
-            for r, i, d, n in zip(r2.tolist(), at.tolist(), distances(q, points[at]).tolist(), counts[at].tolist()):
-                if r >= limit * best[-1] ** 2 and r > 0:  # the test, before each neighbour
+            d, a = distances(q, points[at]), 0
+            while a < len(at):
+                # While no neighbour is nearer than the kth, the test asks the same of all: the first to pass it ends the search.
+                stop = max(a, int(np.searchsorted(r2, max(limit * best[-1] ** 2, 5e-324))))
+                nearer = np.flatnonzero(d[a:stop] < best[-1])
+                upto = a + int(nearer[0]) + 1 if len(nearer) else stop
+                tree.verified += upto - a
+                if len(nearer):
+                    i = upto - 1
+                    for _ in range(min(int(counts[at[i]]), k)):
+                        insort(best, float(d[i]))
+                    del best[k:]
+                elif stop < len(at):
                     ended = True
                     break
-                tree.verified += 1
-                if d <= best[-1]:
-                    rows.append(i)
-                    dist.append(d)
-                    for _ in range(min(n, k)):
-                        insort(best, d)
-                    del best[k:]
+                a = upto
+            kept = np.flatnonzero(d[:a] <= best[-1])
+            rows.append(at[kept])
+            dist.append(d[kept])
             if not ended:
                 try:
                     more = run.send(limit * best[-1] ** 2)
                 except StopIteration:
                     more = None
-        d = np.array(dist)
+        d = np.concatenate(dist)
         near = d <= best[-1]
-        chosen = np.array(rows, np.int64)[near]
+        chosen = np.concatenate(rows)[near]
         v = np.concatenate([members[r] for r in chosen] or [np.zeros(0, np.int64)])
         s = np.repeat(d[near], others.counts[chosen])
         own = v != me
