@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import Scratch, drop_path, written
 
 
 def _mins(e: DataFrame) -> DataFrame:
@@ -27,14 +27,19 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(m.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """links: ``u, v`` of one type that has an order. Returns ``u, component`` for every node that isn't the least of its component."""
-    e = materialize(links.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """links: ``u, v`` of one type that has an order. Returns ``u, component`` for every node that isn't the least of its component.
+
+    Rounds go on until nothing changes, which takes about the logarithm of the longest chain. Each round's table replaces the last.
+    """
+    e, path = written(links.filter(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     state = None
-    for _ in range(rounds):
-        e = materialize(_small_star(_large_star(e)), "stars")
+    while True:
+        old = path
+        e, path = written(_small_star(_large_star(e)), "stars")
+        drop_path(e.sparkSession, old)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
+            scratch.paths.append(path)
             return e.select("u", F.col("v").alias("component"))
         state = now
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

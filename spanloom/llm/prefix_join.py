@@ -11,7 +11,8 @@ collisions of 64-bit hashes.
    in the rare shingles that come first. The leader is the set whose shingles are the most frequent on average: of many
    copies of one text, the one that was edited least. A set that links to its leader joins its group; others are groups of
    their own. Large groups of copies thereby count once in what follows.
-4. Groups that share a prefix shingle are a candidate pair if sizes, positions and bitmaps allow a link. A set's bitmap has
+4. Groups that share a prefix shingle are a candidate pair (rows of a frequent shingle are dealt to blocks, and each pair of
+   blocks is a run of its own, so that no run has more than about ``2 * BLOCK`` rows) if sizes, positions and bitmaps allow a link. A set's bitmap has
    the parity of its shingles on each of 256 places, so that two bitmaps never differ in more places than the sets do in
    shingles. The pair is then filtered by the exact distance of the leaders: Jaccard distance is a metric, so members can
    only link when the leaders' distance is at most the limit plus both radii.
@@ -32,15 +33,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import in_arrow, materialize, small_or_shuffled
+from .shared import Scratch, in_arrow, materialize, small_or_shuffled
 from .shingles import mix, sets
 
 #: Counters of the sketch (fixed, whatever the input), its pieces, minhashes.
 SKETCH, PIECES, HASHES = 1 << 20, 64, 4
+#: Rows of one shingle in the index from which on they are dealt to several tasks.
+BLOCK = 1024
 _SHIFT = np.uint64(64 - (SKETCH.bit_length() - 1))
 
 
@@ -91,12 +95,11 @@ def bitmap(mixed: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view("<i8")
 
 
-def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def profiles(docs: DataFrame, k: int, percent: int, magnitudes: Broadcast) -> DataFrame:
     """``id, h, n, node, keys, prefix, edits, bits`` of every document; equal sets have equal nodes.
 
     ``edits`` is low for a set of frequent shingles.
     """
-    magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
     names = ["id", "h", "n", "sig_a", "sig_b", "keys", "prefix", "edits", "bits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,13 +127,13 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return out.withColumn("node", F.xxhash64("sig_a", "sig_b", "n")).drop("sig_a", "sig_b")
 
 
-def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: bool, k: int) -> DataFrame:
+def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: bool, k: int, scratch: Scratch) -> DataFrame:
     """pairs: distinct nodes ``x, y``. Adds their ids ``ix, iy``, and ``both`` and ``either``, the sizes of intersection and union.
 
     same: ``node, id, h``, the row of docs that has a node's text; repeated: whether several rows may be equal to it.
     """
     # A short list reaches the scan, so that only these texts move.
-    ids = small_or_shuffled(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(same.select("node", "id", "h"), "node"), "ids")
+    ids = small_or_shuffled(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().join(same.select("node", "id", "h"), "node"), "ids", scratch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
@@ -140,7 +143,7 @@ def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: b
     # Compressed text is a quarter of a set.
     own = in_arrow(docs.join(ids, ["id", "h"]).select("node", "id", "text"), run, "node bigint, id bigint, s binary")
     if repeated:
-        own = materialize(own.groupBy("node").agg(F.first("id").alias("id"), F.first("s").alias("s")), "texts")
+        own = materialize(own.groupBy("node").agg(F.first("id").alias("id"), F.first("s").alias("s")), "texts", scratch)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zstandard.ZstdDecompressor()
@@ -170,9 +173,10 @@ def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: b
 
 
 def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``token, g, pos, lo, hi, slack``, four of bitmap and ``own``, sorted by token, become pairs of ``g`` with different ``own``.
+    """Rows ``run, g, pos, lo, hi, slack``, four of bitmap, ``own`` and ``side``, sorted by run, become pairs of ``g`` with different ``own``.
 
-    A token's rows may span batches.
+    A run holds rows of one token, all of one block (side 0) or of two (sides 1 and 2, of which only pairs across are wanted).
+    Its rows may span batches.
     """
     kept: np.ndarray | None = None
     for b in batches:
@@ -181,7 +185,7 @@ def _runs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
             rows = np.concatenate([kept, rows])
         if not len(rows):
             continue
-        cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last token may go on
+        cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))  # the last run may go on
         kept = rows[cut:]
         yield from _pairs(rows[:cut], percent)
     if kept is not None:
@@ -194,7 +198,7 @@ def _possible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     sizes = (100 * hi_a >= percent * lo_b) & (100 * hi_b >= percent * lo_a)
     # The shared token and what may follow it, against the least overlap of the smallest members.
     most = 1 + np.minimum(hi_a - a[:, 2] - 1, hi_b - b[:, 2] - 1)
-    ok = sizes & (most * (100 + percent) >= percent * (lo_a + lo_b)) & (a[:, 1] != b[:, 1]) & (a[:, 10] != b[:, 10])
+    ok = sizes & (most * (100 + percent) >= percent * (lo_a + lo_b)) & (a[:, 1] != b[:, 1]) & (a[:, 10] != b[:, 10]) & ((a[:, 11] == 0) | (a[:, 11] != b[:, 11]))
     # Places in which the leaders' bitmaps differ, less what members may differ from their leaders.
     at = np.flatnonzero(ok)
     differ = np.bitwise_count(a[at, 6:10] ^ b[at, 6:10]).sum(1, dtype=np.int64) - a[at, 5] - b[at, 5]
@@ -228,6 +232,16 @@ def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.Reco
             held = 0
             yield pa.record_batch({"x": pa.array(p[:, 0]), "y": pa.array(p[:, 1])})
 
+    def across(few: np.ndarray, many: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(few), block):
+            a = few[i : i + block]
+            for j in range(0, len(many), block):
+                b = many[j : j + block]
+                u, v = np.divmod(np.arange(len(a) * len(b)), len(b))
+                keep(a[u], b[v])
+                if held > 100_000:
+                    yield from out()
+
     for n in range(2, 9):  # short runs together, pair of places by pair of places
         at = starts[sizes == n]
         if len(at):
@@ -242,30 +256,32 @@ def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.Reco
         own = rows[s : s + n]
         small = own[early[s : s + n]]
         # Members of one group aren't compared; where each row is a group of its own, all are taken together.
-        for g in [None] if (own[:, 10] == own[:, 1]).all() else np.unique(small[:, 10]).tolist():
-            few, many = (small, own) if g is None else (small[small[:, 10] == g], own[own[:, 10] != g])
-            for i in range(0, len(few), block):
-                a = few[i : i + block]
-                for j in range(0, len(many), block):
-                    b = many[j : j + block]
-                    u, v = np.divmod(np.arange(len(a) * len(b)), len(b))
-                    keep(a[u], b[v])
-                    if held > 100_000:
-                        yield from out()
+        alone = (own[:, 10] == own[:, 1]).all()
+        for side in np.unique(small[:, 11]).tolist():
+            ours, theirs = (small[small[:, 11] == side], own[own[:, 11] == 3 - side]) if side else (small, own)
+            for g in [None] if alone else np.unique(ours[:, 10]).tolist():
+                few, many = (ours, theirs) if g is None else (ours[ours[:, 10] == g], theirs[theirs[:, 10] != g])
+                yield from across(few, many)
     yield from out()
 
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id`` of every document; the component is the smallest id that links reach."""
-    return _linked(docs, k, percent, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("c").alias("component_id"))
+    found = _linked(docs, k, percent, id_col, text_col, Scratch(docs.sparkSession))
+    return found.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("c").alias("component_id"))
 
 
-def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, h, n, c`` of every document: a hash of its text, the size of its set and the component."""
+def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, kept: Scratch) -> DataFrame:
+    """``id, h, n, c`` of every document: a hash of its text, the size of its set and the component.
+
+    ``kept`` gets the tables that the result reads; all others are deleted.
+    """
+    scratch, block = Scratch(docs.sparkSession), BLOCK
     docs = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    rows = materialize(profiles(docs, k, percent), "profiles")
+    magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
+    rows = materialize(profiles(docs, k, percent, magnitudes), "profiles", kept)
     each = rows.filter("n > 0").groupBy("node", "id", "h").agg(F.count("*").alias("copies"))
-    same = materialize(each.groupBy("node").agg(F.min(F.struct("id", "h", "copies")).alias("m")).select("node", "m.*"), "same_sets")
+    same = materialize(each.groupBy("node").agg(F.min(F.struct("id", "h", "copies")).alias("m")).select("node", "m.*"), "same_sets", scratch)
     repeated = same.filter("copies > 1").limit(1).count() > 0
     reps = rows.join(same.select("node", "id", "h"), ["node", "id", "h"], "left_semi")
     reps = reps.groupBy("node").agg(F.min(F.struct("n", "keys", "prefix", "edits", "bits")).alias("m")).select("node", "m.*")
@@ -275,15 +291,15 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -
     leaders = keyed.groupBy("j", "key").agg(F.min(F.struct("edits", "node", "n")).alias("l"), F.count("*").alias("c")).filter("c > 1").select("j", "key", "l")
     led = keyed.join(leaders, ["j", "key"]).select(F.col("node").alias("x"), F.col("l.node").alias("y"), F.col("n").alias("nx"), F.col("l.n").alias("ny"))
     led = led.filter((F.col("x") != F.col("y")) & (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))).select("x", "y").distinct()
-    led = similarities(materialize(led, "led"), docs, same, repeated, k).filter(F.col("both") * 100 >= F.col("either") * percent)
-    led = materialize(led.withColumns({"d": 1 - F.col("both") / F.col("either"), "delta": F.col("either") - F.col("both")}), "followers")
+    led = similarities(materialize(led, "led", scratch), docs, same, repeated, k, scratch).filter(F.col("both") * 100 >= F.col("either") * percent)
+    led = materialize(led.withColumns({"d": 1 - F.col("both") / F.col("either"), "delta": F.col("either") - F.col("both")}), "followers", scratch)
     own = led.groupBy("x").agg(F.min(F.struct("d", "y", "delta")).alias("c")).select(F.col("x").alias("node"), "c.*")
     members = reps.select("node", "n", "prefix", "bits").join(own, "node", "left").select(
         "node", "n", F.coalesce("y", "node").alias("g"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("delta", F.lit(0)).alias("delta"), F.col("y").isNotNull().alias("led"), "prefix", "bits"
     )
-    members = materialize(members, "members")
+    members = materialize(members, "members", scratch)
     groups = members.filter("led").groupBy("g").agg(F.max("d").alias("r"), F.max("delta").alias("slack"))
-    groups = materialize(groups.join(members.select(F.col("node").alias("g"), "bits"), "g"), "groups")
+    groups = materialize(groups.join(members.select(F.col("node").alias("g"), "bits"), "g"), "groups", scratch)
 
     # Prefix shingles of groups; those of followers are added up before they move.
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,62 +315,86 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -
     bitmaps = [f"b{i}" for i in range(4)]
     columns = ["token", "g", "pos", "lo", "hi", "slack", *bitmaps, "own"]
 
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of the shingles that the sketch doesn't prove to be rare."""
+        for b in batches:
+            t = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in b.column(0)] or [np.zeros(0, np.uint64)])
+            u, c = np.unique(t[magnitudes.value[t >> _SHIFT] >= block.bit_length()], return_counts=True)
+            yield pa.record_batch({"token": pa.array(u.view(np.int64)), "c": pa.array(c, pa.int64())})
+
+    def hot_tokens(m: DataFrame, more: DataFrame | None = None) -> DataFrame:
+        """``token, blocks`` of shingles that more than ``BLOCK`` rows of an index have: one for each prefix in ``m``, and the rows of ``more``."""
+        c = in_arrow(m.select("prefix"), tally, "token bigint, c bigint")
+        if more is not None:
+            c = c.unionByName(more.select("token", F.lit(1).cast("long").alias("c")))
+        c = c.groupBy("token").agg(F.sum("c").alias("c")).filter(F.col("c") > block)
+        return small_or_shuffled(c.select("token", F.ceil(F.col("c") / block).cast("int").alias("blocks")), "hot_tokens", scratch)
+
     def index(m: DataFrame) -> DataFrame:
         """m: ``g, n, prefix, bits``."""
         kinds = "token bigint, g bigint, pos int, lo int, hi int, " + ", ".join(f"{b} bigint" for b in bitmaps)
         return in_arrow(m.select("g", "n", "prefix", "bits"), tokens, kinds)
 
-    def found_pairs(rows: DataFrame) -> DataFrame:
-        spread = rows.select(columns).repartition("token").sortWithinPartitions("token")
+    def found_pairs(rows: DataFrame, hot: DataFrame) -> DataFrame:
+        """A row of a hot shingle goes to the pairs that its block forms with each block."""
+        r = rows.select(columns).join(hot, "token", "left").withColumn("b", F.pmod(F.xxhash64("g"), F.coalesce("blocks", F.lit(1))))
+        r = r.withColumn("j", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+        side = F.when(F.col("b") == F.col("j"), 0).when(F.col("b") < F.col("j"), 1).otherwise(2).cast("int").alias("side")
+        run = F.when(F.col("blocks").isNull(), F.col("token")).otherwise(F.xxhash64("token", F.least("b", "j"), F.greatest("b", "j"))).alias("run")
+        spread = r.select(run, *columns[1:], side).repartition("run").sortWithinPartitions("run")
         return in_arrow(spread, lambda it: _runs(it, percent), "x bigint, y bigint").distinct()
 
     one = index(members.filter("NOT led")).withColumns({"slack": F.lit(0).cast("long"), "own": F.col("g")})
     many = index(members.filter("led")).groupBy("token", "g").agg(F.min("pos").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     many = many.join(groups.select("g", "slack", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmaps)]), "g").withColumn("own", F.col("g"))
-    pairs = materialize(found_pairs(one.select(columns).unionByName(many.select(columns))), "group_pairs")
+    many = materialize(many.select(columns), "group_tokens", scratch)
+    pairs = materialize(found_pairs(one.select(columns).unionByName(many), hot_tokens(members.filter("NOT led"), many)), "group_pairs", scratch)
 
     # The leaders' exact distance decides, or leaves the pair open for its members.
     limit = (100 - percent) / 100
     radius = groups.select(F.col("g").alias("x"), F.col("r").alias("rx"))
-    near = similarities(pairs, docs, same, repeated, k).withColumn("d", 1 - F.col("both") / F.col("either"))
+    near = similarities(pairs, docs, same, repeated, k, scratch).withColumn("d", 1 - F.col("both") / F.col("either"))
     near = near.join(radius, "x", "left").join(radius.select(F.col("x").alias("y"), F.col("rx").alias("ry")), "y", "left").na.fill(0.0, ["rx", "ry"])
     linked = F.col("both") * 100 >= F.col("either") * percent
-    near = materialize(near.filter(linked | ((F.col("rx") + F.col("ry") > 0) & (F.col("d") <= limit + F.col("rx") + F.col("ry") + 1e-9))).withColumn("linked", linked), "near")
+    near = materialize(near.filter(linked | ((F.col("rx") + F.col("ry") > 0) & (F.col("d") <= limit + F.col("rx") + F.col("ry") + 1e-9))).withColumn("linked", linked), "near", scratch)
     # The least node of a component is then one with its smallest id.
     ends = [F.struct(F.col(i).alias("id"), F.col(x).alias("node")).alias(u) for i, x, u in (("ix", "x", "u"), ("iy", "y", "v"))]
     links = led.select(ends).unionByName(near.filter("linked").select(ends))
-    found = components(links)
+    found = components(links, scratch)
 
-    open_pairs = _apart(near.filter("NOT linked").select("x", "y", "d"), found)
+    open_pairs = _apart(near.filter("NOT linked").select("x", "y", "d"), found, scratch)
     if open_pairs.limit(1).count():
         both = F.explode(F.array("x", "y")).alias("g")
-        m = members.join(open_pairs.select(both).distinct(), "g", "left_semi")
+        m = materialize(members.join(open_pairs.select(both).distinct(), "g", "left_semi"), "open_members", scratch)
         of = m.select("node", "g")
         each = index(m.select(F.col("node").alias("g"), "n", "prefix", "bits")).withColumn("slack", F.lit(0).cast("long"))
-        near_members = found_pairs(each.join(of.select(F.col("node").alias("g"), F.col("g").alias("own")), "g"))
+        near_members = found_pairs(each.join(of.select(F.col("node").alias("g"), F.col("g").alias("own")), "g"), hot_tokens(m))
         named = near_members.join(of.select(F.col("node").alias("x"), F.col("g").alias("gx")), "x").join(of.select(F.col("node").alias("y"), F.col("g").alias("gy")), "y")
         opened = open_pairs.select(F.least("x", "y").alias("ga"), F.greatest("x", "y").alias("gb"))
         wide = named.withColumns({"ga": F.least("gx", "gy"), "gb": F.greatest("gx", "gy")}).join(opened, ["ga", "gb"], "left_semi")
-        wide = materialize(wide.select("x", "y"), "expanded")
-        more = similarities(wide, docs, same, repeated, k).filter(linked).select(ends)
-        found = components(found.select("u", F.col("component").alias("v")).unionByName(more))
+        wide = materialize(wide.select("x", "y"), "expanded", scratch)
+        more = similarities(wide, docs, same, repeated, k, scratch).filter(linked).select(ends)
+        found = components(found.select("u", F.col("component").alias("v")).unionByName(more), scratch)
 
     component = found.select(F.col("u.node").alias("node"), F.col("component.id").alias("c"))
     # Written out, so that both sides of the last join are shuffled and its skew can be split.
-    of_set = materialize(same.join(component, "node", "left").select("node", F.coalesce("c", "id").alias("c")), "components")
+    of_set = materialize(same.join(component, "node", "left").select("node", F.coalesce("c", "id").alias("c")), "components", kept)
+    scratch.clear()
     return rows.select("id", "h", "n", "node").join(of_set, "node", "left").select("id", "h", "n", F.coalesce("c", "id").alias("c"))
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs whose ends aren't in one component yet."""
     c = found.select(F.col("u.node").alias("x"), F.col("component.node").alias("cx"))
     p = pairs.join(c, "x", "left").join(c.select(F.col("x").alias("y"), F.col("cx").alias("cy")), "y", "left")
-    return materialize(p.filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y", "d"), "open_pairs")
+    return materialize(p.filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y", "d"), "open_pairs", scratch)
 
 
 def keep_first(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, but those whose text links connect to a smaller id."""
-    found = _linked(docs, k, percent, id_col, text_col)
+    scratch = Scratch(docs.sparkSession)
+    found = _linked(docs, k, percent, id_col, text_col, scratch)
     gone = found.filter("id != c").select(F.col("id").cast(docs.schema[id_col].dataType).alias("gone_id"), F.col("h").alias("gone_h")).distinct()
     gone = small_or_shuffled(gone, "near_copies")
+    scratch.clear()
     return docs.join(gone, (docs[id_col] == gone["gone_id"]) & (F.xxhash64(docs[text_col]) == gone["gone_h"]), "left_anti").select(docs.columns)

@@ -71,12 +71,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
 BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 16 << 20
 
 
-def small_or_shuffled(df: DataFrame, label: str) -> DataFrame:
+def small_or_shuffled(df: DataFrame, label: str, scratch: Scratch | None = None) -> DataFrame:
     """``df`` written to the shared folder, with the hint to broadcast it if it is proven to be small."""
-    spark, schema = df.sparkSession, df.schema
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    df = spark.read.schema(schema).parquet(path)
+    spark = df.sparkSession
+    df, path = written(df, label)
+    if scratch is not None:
+        scratch.paths.append(path)
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
     return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS else df

@@ -32,6 +32,22 @@ def test_keep_first_drops_by_text(spark):
     assert sorted(map(tuple, prefix_join.keep_first(df, 4, 85).collect())) == [(2, T3), (5, T1)]
 
 
+def test_repeats_are_verified_once(spark, monkeypatch):
+    compared = []
+    real = prefix_join.similarities
+
+    def counted(pairs, *more):
+        out = real(pairs, *more)
+        compared.append((pairs.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(prefix_join, "similarities", counted)
+    df = spark.createDataFrame([(5, T2)] * 200 + [(7, T3)] * 300 + [(7, T1)] * 3, "doc_id bigint, text string")
+    got = prefix_join.link_components(df).groupBy("doc_id", "n_shingles", "component_id").count().collect()
+    assert sorted(map(tuple, got)) == [(5, 57, 5, 200), (7, 3, 7, 3), (7, 58, 5, 300)]
+    assert all(a == b <= 2 for a, b in compared)
+
+
 # Vectors
 
 

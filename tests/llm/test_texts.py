@@ -258,6 +258,14 @@ def test_components(spark, k, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts, k, percent)
 
 
+@pytest.mark.parametrize("block", [1, 4, 16])
+def test_frequent_shingles_are_split(spark, monkeypatch, block):
+    monkeypatch.setattr(prefix_join, "BLOCK", block)
+    texts = dict(enumerate(near_copies()[:110]))
+    got = prefix_join.link_components(docs(spark, list(texts.values())).repartition(3), 4, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts, 4, 85)
+
+
 def test_keep_first(spark):
     texts = dict(enumerate(near_copies()))
     want = sorted(i for i, (_, c) in brute_components(texts, 5, 80).items() if i == c)
