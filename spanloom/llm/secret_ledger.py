@@ -1,13 +1,17 @@
 """Secret scans over an incremental blob ledger (operator 3).
 
 Every text is content-addressed by its SHA-256. The ledger holds the findings of each pair of blob and rule version that
-has been scanned, in Parquet under a shared folder. A scan reads its rows, keeps one copy of each blob (first in each
-partition, then over all), scans only pairs that the ledger lacks, appends their findings, and joins the findings back to
-every row of that content.
+has been scanned, in Parquet under a shared folder. A scan first asks, by digests alone, which of its pairs the ledger lacks;
+only their texts move: one copy of each blob is kept (first in each partition, then over all) and scanned, the findings are
+appended, and the findings of all blobs are joined back to every row with that content.
+
+``scan_history`` does this for every historical version of every path, from rows ``path, version, text``: versions with the same
+content share one scan, and what is found in it comes back with all paths and versions that hold it.
 
 Spans are code points, end exclusive, of the whole match. Defined results: a null text counts as empty and has no findings.
 Copies and repeated rows get the findings of their blob. Matches of one kind don't overlap; those of different kinds may.
-Texts are scanned whole. Only the id and text columns are read. An empty table gives no rows.
+Two scans into one ledger at once may both append a pair; readers take each pair once. Texts are scanned whole. Only the named
+columns are read, whatever others are called. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import in_arrow, new_path, small_or_shuffled
+from .shared import Scratch, drop_path, in_arrow, new_path, small_or_shuffled
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -84,10 +88,10 @@ def scan_blobs(blobs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 class Ledger:
-    """Findings by blob and rule version. Each scan appends one folder; replaying a scan adds no pair twice."""
+    """Findings by blob and rule version, in a folder that scans append to. A scan that is repeated appends nothing."""
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
-        self.spark, self.path, self.parts = spark, path or new_path(spark, "ledger"), 0
+        self.spark, self.path = spark, path or new_path(spark, "ledger")
 
     SCHEMA = f"rule_version string, blob binary, spans {SPANS}"
 
@@ -98,19 +102,31 @@ class Ledger:
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(self.path)
 
+    def findings(self, version: str) -> DataFrame:
+        """``blob, spans`` of all blobs with findings, once each."""
+        found = self.read().filter((F.col("rule_version") == version) & (F.size("spans") > 0))
+        return found.groupBy("blob").agg(F.first("spans").alias("spans"))
+
     def append(self, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path)
 
+    def drop(self) -> None:
+        drop_path(self.spark, self.path)
+
 
 def extend(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, text_col: str = "text") -> DataFrame:
     """Scan what the ledger lacks of the blobs of ``docs``; returns ``blob, spans`` of all its blobs with findings."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    blobs = in_arrow(docs.select(blob_of(F.col(text_col)).alias("blob"), text.alias("text")), _first_copies, "blob binary, text string").repartition(F.col("blob"))
+    scratch = Scratch(ledger.spark)
+    blobs = docs.select(blob_of(F.col(text_col)).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if ledger.exists():
         known = ledger.read().filter(F.col("rule_version") == version).select("blob")
-        blobs = blobs.join(known, "blob", "left_anti").repartition(F.col("blob"))
-    ledger.append(scan_blobs(blobs, rules).select(F.lit(version).alias("rule_version"), "blob", "spans"))
-    return ledger.read().filter((F.col("rule_version") == version) & (F.size("spans") > 0)).select("blob", "spans")
+        unseen = small_or_shuffled(blobs.select("blob").distinct().join(known, "blob", "left_anti"), "unseen", scratch)
+        blobs = blobs.join(unseen, "blob", "left_semi") if unseen.limit(1).count() else None
+    if blobs is not None:
+        one = in_arrow(blobs.select("blob", "text"), _first_copies, "blob binary, text string").repartition(F.col("blob"))
+        ledger.append(scan_blobs(one, rules).select(F.lit(version).alias("rule_version"), "blob", "spans"))
+    scratch.clear()
+    return ledger.findings(version)
 
 
 def scan(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,16 +138,32 @@ def scan(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, ve
 
 def redact_documents(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents, with all their columns, with ``[SECRET]`` for each span; ``length_col``, if there is one, follows the text."""
-    findings = small_or_shuffled(extend(docs, ledger, rules, version, text_col).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")), "findings")
-    out = docs.withColumn("_blob", blob_of(F.col(text_col))).join(findings, "_blob", "left")
-    changed = F.col("_spans").isNotNull()
-    out = out.withColumn(text_col, F.when(changed, redact(F.col(text_col), F.col("_spans"))).otherwise(F.col(text_col)))
+    blob, spans = (_free(docs, x) for x in ("_blob", "_spans"))
+    findings = small_or_shuffled(extend(docs, ledger, rules, version, text_col).select(F.col("blob").alias(blob), F.col("spans").alias(spans)), "findings")
+    out = docs.withColumn(blob, blob_of(F.col(text_col))).join(findings, blob, "left")
+    changed = F.col(spans).isNotNull()
+    out = out.withColumn(text_col, F.when(changed, redact(F.col(text_col), F.col(spans))).otherwise(F.col(text_col)))
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
         out = out.withColumn(length_col, F.when(changed, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
     return out.select(docs.columns)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def scan_history(history: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, rules_version: str = BASE_VERSION, path_col: str = "path", version_col: str = "version", text_col: str = "text") -> DataFrame:
+    """``path_col, version_col, blob, kind, start, end``: each finding at every version of every path that holds it."""
+    findings = extend(history, ledger, rules, rules_version, text_col).select("blob", F.explode("spans").alias("s"))
+    rows = history.select(F.col(path_col), F.col(version_col), blob_of(F.col(text_col)).alias("blob"))
+    return rows.join(findings, "blob").select(path_col, version_col, "blob", "s.kind", "s.start", "s.end")
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span, overlapping ones as one, replaced by ``[SECRET]``."""
     merged = F.aggregate(

@@ -61,7 +61,7 @@ def build_index(rules: Iterable[tuple[str, str]]) -> dict:
         np.array([len(hosts[k].encode()) for k in keys], np.uint32).tobytes(), np.array([kept[k] for k in keys], np.uint8).tobytes(), b"".join(raw),
     ]
     return {
-        "n": len(keys), "data": b"".join(parts),
+        "n": len(keys), "data": b"".join(parts), "name": xxhash.xxh128_hexdigest(b"".join(parts)),
         "path_lengths": sorted({len(k) - len(hosts[k]) for k in keys}), "labels": max((hosts[k].count(".") + 1 for k in keys), default=0),
     }
 
@@ -122,15 +122,15 @@ class DigestArray:
         return [None if b is None else (self.blob[int(self.ends[b[2]]) : int(self.ends[b[2] + 1])].tobytes().decode(), ACTIONS[self.action[b[2]]]) for b in best]
 
 
-_loaded: dict[int, DigestArray] = {}
+_loaded: dict[str, DigestArray] = {}
 
 
 def judge_urls(pages: DataFrame, rules: Iterable[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """``id_col, host, path, rule, verdict`` for every row. The URL is split by Spark; only its parts reach Python."""
-    index = pages.sparkSession.sparkContext.broadcast(build_index(rules))
+    made = build_index(rules)
+    index, key = pages.sparkSession.sparkContext.broadcast(made), made["name"]  # workers know an array by what it holds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = id(index)
         if key not in _loaded:
             _loaded.clear()
             _loaded[key] = DigestArray(index.value)

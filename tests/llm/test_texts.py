@@ -56,6 +56,26 @@ def test_secrets(spark):
     assert ledger.read().count() == 2 * known + 1
 
 
+def test_history_scans_each_blob_once(spark):
+    rows = [("a", 1, "token=abcdefabcdefabcdef"), ("a", 2, "clean"), ("b", 1, "token=abcdefabcdefabcdef"), ("b", 2, None), (None, 3, "secret=abcdefghijklmnop")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "path string, version int, text string, blob int")
+    ledger = secret_ledger.Ledger(spark)
+    got = {(r["path"], r["version"], r["kind"], r["start"], r["end"]) for r in secret_ledger.scan_history(df, ledger).collect()}
+    assert got == {(p, v, *s) for p, v, t in rows for s in spans_of(t)} and ledger.read().count() == 4
+    before = spark.read.parquet(ledger.path).inputFiles()
+    ledger.append(ledger.read())  # as two scans at once would
+    assert secret_ledger.scan_history(df, ledger).count() == len(got)
+    assert len(spark.read.parquet(ledger.path).inputFiles()) > len(before) and ledger.read().count() == 8
+    more = spark.createDataFrame([("c", 1, "token=abcdefabcdefabcdef", 0), ("c", 2, "api_key: 0123456789abcdef", 0)], df.schema)
+    assert {r["path"] for r in secret_ledger.scan_history(more, ledger).collect()} == {"c"} and ledger.read().count() == 9
+
+
+def test_redaction_keeps_clashing_columns(spark):
+    df = docs(spark, SECRETS).withColumns({"_blob": F.lit("mine"), "_spans": F.lit(3), "__blob": F.lit(4)})
+    got = secret_ledger.redact_documents(df, secret_ledger.Ledger(spark))
+    assert got.columns == df.columns and got.filter("_blob = 'mine' AND _spans = 3 AND __blob = 4").count() == len(SECRETS)
+
+
 def test_redaction(spark):
     got = {r["doc_id"]: r for r in secret_ledger.redact_documents(docs(spark, SECRETS), secret_ledger.Ledger(spark)).collect()}
     for i, t in enumerate(SECRETS):
