@@ -14,6 +14,8 @@ additions up to millions of rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,22 +33,26 @@ def unescape(x: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda s: F.replace(s, F.lit("\\l"), F.lit("<"))), "\\")
 
 
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(x)`` with x computed once: what a lambda refers to from outside would be computed anew for each element."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def starts_of(lengths: Column) -> Column:
     """Sums of all earlier elements, by three levels of blocks: an element costs at most ``BLOCK`` additions on each."""
     total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+    own = lambda xs: F.transform(xs, lambda _, i: total(F.slice(xs, F.lit(1), i)))
 
     def cut(xs: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(xs) / BLOCK).cast("int") - 1, F.lit(0))), lambda b: F.slice(xs, b * BLOCK + 1, BLOCK))
 
-    def within(blocks: Column, before) -> Column:
-        return F.flatten(F.transform(blocks, lambda xs, b: F.transform(xs, lambda _, i: before(b) + total(F.slice(xs, F.lit(1), i)))))
+    def spread(blocks: Column, starts: Column) -> Column:
+        return F.flatten(F.zip_with(blocks, starts, lambda xs, a: F.transform(own(xs), lambda x: a + x)))
+
+    def of_blocks(sums: Column) -> Column:
+        return let(cut(sums), lambda wide: spread(wide, let(F.transform(wide, total), own)))
 
-    blocks = cut(lengths)
-    sums = F.transform(blocks, total)
-    wide = cut(sums)
-    of_wide = F.transform(wide, total)
-    of_block = within(wide, lambda b: total(F.slice(of_wide, F.lit(1), b)))
-    return within(blocks, lambda b: F.get(of_block, b))
+    return let(lengths, lambda xs: let(cut(xs), lambda blocks: spread(blocks, let(F.transform(blocks, total), of_blocks))))
 
 
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", learn: str = "assistant") -> DataFrame:

@@ -111,3 +111,10 @@ def test_planted_conversation(spark, sf):
     r = Q.queries()["op8_chat_format"](spark, sf).filter("conv_id = -7").first()
     x = Q.PLANTED_TEXT
     assert r["turns_sha256"] == hashlib.sha256(f"user\n{x}\nassistant\n{x}\n".encode()).hexdigest() and r["loss_sha256"] == hashlib.sha256(x.encode()).hexdigest()
+
+
+def test_starts_on_three_levels(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "BLOCK", 3)
+    rows = [(n, [(7 * i + n) % 11 for i in range(n)]) for n in (0, 1, 2, 3, 4, 9, 10, 27, 28, 100)]
+    got = spark.createDataFrame(rows, "n int, x array<bigint>").select("n", chat_format.starts_of(F.col("x")).alias("s")).collect()
+    assert {r["n"]: r["s"] for r in got} == {n: [sum(x[:i]) for i in range(n)] for n, x in rows}
