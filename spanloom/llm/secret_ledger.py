@@ -131,7 +131,7 @@ def extend(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES,
 
 def scan(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, version: str = BASE_VERSION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, blob, spans`` for every row of ``docs``. The ledger then knows all its blobs under this version."""
-    findings = extend(docs, ledger, rules, version, text_col)
+    findings = small_or_shuffled(extend(docs, ledger, rules, version, text_col), "findings")
     rows = docs.select(F.col(id_col), blob_of(F.col(text_col)).alias("blob"))
     return rows.join(findings, "blob", "left").select(id_col, "blob", F.coalesce("spans", F.expr(f"CAST(array() AS {SPANS})")).alias("spans"))
 
@@ -159,7 +159,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def scan_history(history: DataFrame, ledger: Ledger, rules: Sequence[Rule] = BASE_RULES, rules_version: str = BASE_VERSION, path_col: str = "path", version_col: str = "version", text_col: str = "text") -> DataFrame:
     """``path_col, version_col, blob, kind, start, end``: each finding at every version of every path that holds it."""
-    findings = extend(history, ledger, rules, rules_version, text_col).select("blob", F.explode("spans").alias("s"))
+    findings = small_or_shuffled(extend(history, ledger, rules, rules_version, text_col).select("blob", F.explode("spans").alias("s")), "findings")
     rows = history.select(F.col(path_col), F.col(version_col), blob_of(F.col(text_col)).alias("blob"))
     return rows.join(findings, "blob").select(path_col, version_col, "blob", "s.kind", "s.start", "s.end")
 
