@@ -44,7 +44,7 @@ from .shingles import mix, sets
 #: Counters of the sketch (fixed, whatever the input), its pieces, minhashes.
 SKETCH, PIECES, HASHES = 1 << 20, 64, 4
 #: Rows of one shingle in the index from which on they are dealt to several tasks.
-BLOCK = 1024
+BLOCK = 256
 _SHIFT = np.uint64(64 - (SKETCH.bit_length() - 1))
 
 
