@@ -55,20 +55,22 @@ class TraceNotFound(LookupError):
 
 
 class Archive:
-    """Parquet under ``path``: ``spans`` by date, hour and batch, sorted by trace for row-group pruning, and ``index``."""
+    """Parquet under ``path``: ``spans`` by date, hour and batch, sorted by trace for row-group pruning, and ``index`` by date."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
     def append(self, spans: DataFrame, batch_id: int) -> None:
-        """A batch overwrites its own folder only, so a replay replaces itself."""
-        rows = bucketed(spans).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        (
-            rows.repartition("date", "hour", F.pmod(F.xxhash64("trace_id"), F.lit(16)))  # a busy hour is written by several tasks
-            .sortWithinPartitions("trace_id", "start_ns", "seq")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "date", "hour").parquet(f"{self.path}/spans")
-        )
-        frames(spans).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "date").parquet(f"{self.path}/index")
+        """A batch overwrites its own folders only, so a replay replaces itself.
+
+        Hours are rebalanced by their measured size: a busy one is written by several tasks, quiet ones share one. The index is made
+        from what was written, so that spans are decoded once.
+        """
+        batch = F.lit(batch_id).cast("long").alias("batch_id")
+        rows = bucketed(spans).select("*", batch).hint("rebalance", "date", "hour").sortWithinPartitions("date", "hour", "trace_id", "start_ns", "seq")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "hour", "batch_id").parquet(f"{self.path}/spans")
+        stored = self.spans().filter(F.col("batch_id") == batch_id).drop("date", "hour", "batch_id")
+        frames(stored).select("*", batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(f"{self.path}/index")
 
     def spans(self) -> DataFrame:
         return self.spark.read.schema(SPAN + ", batch_id bigint, date date, hour int").parquet(f"{self.path}/spans")
@@ -77,10 +79,14 @@ class Archive:
         return self.spark.read.schema("trace_id string, hour int, session_id string, ts timestamp, spans bigint, bytes bigint, batch_id bigint, date date").parquet(f"{self.path}/index")
 
     def load_trace(self, trace_id: str) -> DataFrame:
-        found = self.spans().filter(F.col("trace_id") == trace_id)
-        if found.limit(1).count() == 0:
+        """The index names the folders that hold the trace (a few, however large the archive), and only those are read."""
+        at = self.index().filter(F.col("trace_id") == trace_id).select("date", "hour", "batch_id").distinct().collect()
+        if not at:
             raise TraceNotFound(trace_id)
-        return found.orderBy("date", "hour", "start_ns", "seq")
+        here = F.lit(False)
+        for r in at:
+            here = here | ((F.col("date") == F.lit(r["date"])) & (F.col("hour") == r["hour"]) & (F.col("batch_id") == r["batch_id"]))
+        return self.spans().filter(here & (F.col("trace_id") == trace_id)).orderBy("date", "hour", "start_ns", "seq")
 
     def load_session(self, session_id: str) -> DataFrame:
         return self._of(self.index().filter(F.col("session_id") == session_id))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import refs
@@ -63,10 +63,15 @@ def chunks_of(found: DataFrame, kind: str = "wholefield") -> DataFrame:
 
 
 def new_chunks(chunks: DataFrame, store: DataFrame | None) -> DataFrame:
-    """What the store lacks, once each: ``hash, data, raw_len, crc``. Only hashes are shuffled for the probe."""
-    one = chunks.select("hash", "data").dropDuplicates(["hash"])
+    """What the store lacks, once each: ``hash, data, raw_len, crc``.
+
+    The probe shuffles hashes only; of what is new one copy of each chunk leaves a partition.
+    """
+    one = chunks.select("hash", "data")
     if store is not None:
-        one = one.join(store.select("hash"), "hash", "left_anti")
+        fresh = chunks.select("hash").distinct().join(store.select("hash"), "hash", "left_anti")
+        one = one.join(fresh, "hash", "left_semi")
+    one = one.dropDuplicates(["hash"])
     return one.select("hash", "data", F.octet_length("data").alias("raw_len"), F.crc32("data").alias("crc"))
 
 
@@ -150,20 +155,23 @@ def meter(found: DataFrame, kind: str) -> DataFrame:
 
 
 def first_seen(chunks: DataFrame, store: DataFrame | None = None) -> DataFrame:
-    """Hit or miss of each chunk in order of arrival: a miss is the first of a hash that the store lacks."""
-    w = Window.partitionBy("hash").orderBy("seq", "event_index", "attr_index", "pos")
-    c = chunks.withColumn("nth", F.row_number().over(w))
+    """Hit or miss of each chunk, by ``PLACE, pos, hash, len``: a miss is the first of a hash, in order of arrival, that the store lacks.
+
+    The first place of each hash is a minimum that partitions take on their own, so a chunk that all spans share gathers in no task.
+    """
+    place = F.struct("seq", "event_index", "attr_index", "pos", "trace_id", "span_id")
+    c = chunks.select(*PLACE, "pos", "hash", F.octet_length("data").cast("long").alias("len"))
+    first = c.groupBy("hash").agg(F.min(place).alias("first"))
     if store is not None:
-        c = c.join(store.select("hash", F.lit(True).alias("known")), "hash", "left")
-    else:
-        c = c.withColumn("known", F.lit(None).cast("boolean"))
-    return c.withColumn("miss", (F.col("nth") == 1) & F.col("known").isNull()).drop("nth", "known")
+        first = first.join(store.select("hash"), "hash", "left_anti")
+    first = first.select("hash", F.col("first").alias("_first"))
+    return c.join(first, "hash", "left").withColumn("miss", F.coalesce(place == F.col("_first"), F.lit(False))).drop("_first")
 
 
 def dedup_stats(spans: DataFrame, kind: str = "wholefield", config: ExtractConfig = ExtractConfig(), store: DataFrame | None = None) -> DataFrame:
     """One row of counters for a batch of spans."""
     seen = first_seen(chunks_of(candidates(spans, config), kind), store)
-    size = F.octet_length("data").cast("long")
+    size = F.col("len")
     c = seen.agg(
         F.count("*").alias("chunks"), F.count_if("miss").alias("misses"), F.count_if(~F.col("miss")).alias("hits"), F.count_if(F.col("pos") == 0).alias("candidates"),
         F.coalesce(F.sum(size), F.lit(0)).alias("content_bytes"), F.coalesce(F.sum(F.when(F.col("miss"), size)), F.lit(0)).alias("stored_bytes"),

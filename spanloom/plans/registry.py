@@ -15,7 +15,7 @@ from ..functions import refs
 from ..operators import archive, audit, dedup, dialog, facts, restore
 from ..operators.latest import latest_of
 from ..schemas import TF_SPANS, USER_SESSIONS
-from ..sources import adapters, otlp, thin
+from ..sources import adapters, bundles, otlp, raw, thin
 from ..sources.adapters import AS_OF, conversation_spans, document_spans, document_values, event_facts, event_user_sessions
 from ..streaming import runner
 from . import marts, oracles
@@ -242,8 +242,110 @@ def stream_facts_equal_batch(spark, d):
     return tables.read("tf_spans").select("span_id", "session_id", "latency_ms")
 
 
+def _odd_spans(spark, d):
+    """Spans of ``conversations`` with values of every kind, a span kind and a trace state."""
+    x = lambda text: F.struct(F.lit(None).cast("string").alias("s"), F.lit(None).cast("bigint").alias("i"), F.lit(None).cast("double").alias("d"), F.lit(None).cast("boolean").alias("b"), F.lit(None).cast("array<string>").alias("a"), text.alias("x"))
+    kv = lambda key, text: F.struct(F.lit(key).alias("key"), x(text).alias("value"))
+    own = F.array(
+        kv("numbers", F.format_string('{"arrayValue":{"values":[{"intValue":"%d"},{"stringValue":"two"},{"boolValue":true}]}}', "seq")),
+        kv("nested", F.format_string('{"kvlistValue":{"values":[{"key":"inner","value":{"intValue":"%d"}}]}}', F.col("seq") + 1)),
+        kv("bytes", F.concat(F.lit('{"bytesValue":"'), F.base64(F.col("seq").cast("string").cast("binary")), F.lit('"}'))),
+    )
+    kind = F.element_at(F.array(*map(F.lit, otlp.KINDS[1:])), (F.col("seq") % 5 + 1).cast("int"))
+    return conversation_spans(spark, d).withColumns({"attributes": F.concat("attributes", own), "kind": kind, "trace_state": F.concat(F.lit("s="), F.col("seq"))})
+
+
+def span_fidelity(spark, d):
+    """Through protobuf, JSON lines and protobuf again: kinds of values and fields that plain columns would lose."""
+    back = otlp.decode(otlp.encode(thin.decode(thin.encode(otlp.decode(otlp.encode(_odd_spans(spark, d)))))))
+    get = lambda key, path: F.try_variant_get(F.parse_json(A.attr(key)["x"]), path, "string")
+    return back.select(
+        "span_id", "kind", "trace_state", get("numbers", "$.arrayValue.values[0].intValue").alias("first"), get("numbers", "$.arrayValue.values[1].stringValue").alias("second"),
+        get("numbers", "$.arrayValue.values[2].boolValue").alias("third"), get("nested", "$.kvlistValue.values[0].value.intValue").alias("inner_value"),
+        F.unbase64(get("bytes", "$.bytesValue")).cast("string").alias("bytes_text"), A.string("gen_ai.prompt.version").alias("plain"),
+    )
+
+
+def restore_range(spark, d):
+    """Eight hours of the archive, texts resolved."""
+    lean, chunks = dedup.thin(document_spans(spark, d))
+    a = archive.Archive(spark, scratch(spark))
+    a.append(lean, 0)
+    got = restore.restore_range(a, chunks, datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 1, 1, 8, tzinfo=timezone.utc))
+    return got.select(F.col("seq").alias("doc_id"), F.sha2(A.string("gen_ai.system_instructions"), 256).alias("text_sha"))
+
+
+def run_batch(spark, d):
+    """The stream's fact processor over a window of the archive."""
+    got = runner.run_batch(_archived(spark, d), facts.fact_processor, datetime(2024, 1, 5, tzinfo=timezone.utc), datetime(2024, 1, 12, tzinfo=timezone.utc))
+    return got["tf_spans"].select("span_id", "session_id", "latency_ms")
+
+
+def run_dedup(spark, d):
+    """Raw messages through the deduplicating stream; its thin lines and chunks give the spans again."""
+    base = scratch(spark)
+    otlp.encode(document_spans(spark, d)).write.parquet(f"{base}/raw")
+    tables = runner.Tables(spark, f"{base}/tables")
+    runner.run_dedup(otlp.decode(raw.raw_stream(spark, "parquet", f"{base}/raw")), tables, f"{base}/checkpoint").awaitTermination()
+    back = dedup.restore(thin.decode(tables.read("thin").select("value", "seq")), tables.read("chunks"))
+    return back.select("span_id", F.sha2(A.string("gen_ai.system_instructions"), 256).alias("text_sha"), F.sha2(A.string("note"), 256).alias("note_sha"))
+
+
+def raw_limit(spark, d):
+    """The first fifty raw messages in order."""
+    base = scratch(spark)
+    otlp.encode(document_spans(spark, d)).write.parquet(f"{base}/raw")
+    return raw.raw_batch(spark, "parquet", f"{base}/raw", limit=50).select("seq")
+
+
+def bundle_import(spark, d):
+    """Foreign bundles of zstd frames, packed from thin lines and read back as spans."""
+    base = scratch(spark)
+    spans = conversation_spans(spark, d)
+    lines = archive.bucketed(spans).select("seq", "date", "hour").join(thin.encode(spans), "seq")
+    bundles.write(bundles.pack(lines), f"{base}/bundles")
+    return _brief(thin.decode(bundles.read_lines(spark, f"{base}/bundles")))
+
+
+def attribute_maps(spark, d):
+    s = conversation_spans(spark, d)
+    user = F.lit("user.id")
+    return s.select(
+        "span_id", A.string_bytes(F.filter("attributes", lambda a: a["key"].isin("user.id", "session.id"))).alias("id_bytes"), A.has_template().alias("has_template"),
+        A.is_canonical_trace_id(F.col("trace_id")).alias("canonical"), F.coalesce(A.string_or_null("no.such"), F.lit("absent")).alias("missing"),
+        F.element_at(A.last_wins(F.filter("attributes", lambda a: a["key"] == user)), user).alias("user"), F.try_element_at(A.first_wins(F.filter("attributes", lambda a: a["key"] == user)), user).alias("user_first"),
+    )
+
+
+def span_json(spark, d):
+    """What a response carries, read back from its JSON."""
+    j = restore.as_json(conversation_spans(spark, d))
+    return j.select("service", "scope", F.get_json_object("span", "$.span_id").alias("span_id"), F.get_json_object("span", "$.name").alias("name"), F.get_json_object("span", "$.start_ns").cast("bigint").alias("start_ns"))
+
+
+def audit_percentages(spark, d):
+    return audit.raw_audit(document_spans(spark, d)).select(F.round("session_pct", 6).alias("session_pct"), F.round("system_dup_pct", 6).alias("system_dup_pct"), F.round("saved_pct", 6).alias("saved_pct"))
+
+
+def seeded_facts(spark, d):
+    """The seeder for timings, by model and version; it reads no table."""
+    from ..sources import synth
+
+    return synth.seed_facts(spark, 30_000).groupBy("model", "version").agg(F.count("*").alias("spans"), F.sum("latency_ms").alias("latency_ms"), F.sum("input_tokens").alias("input_tokens"), F.count_distinct("session_id").alias("sessions"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "span_fidelity": span_fidelity,
+        "restore_range": restore_range,
+        "run_batch": run_batch,
+        "run_dedup": run_dedup,
+        "raw_limit": raw_limit,
+        "bundle_import": bundle_import,
+        "attribute_maps": attribute_maps,
+        "span_json": span_json,
+        "audit_percentages": audit_percentages,
+        "seeded_facts": seeded_facts,
         "m1_end_reason_by_version": m1,
         "m2_hold_time_by_version": lambda s, d: marts.hold_time_by_version(_spans(s, d)),
         "m2b_hold_time_by_day": lambda s, d: marts.hold_time_by_day(_spans(s, d)),

@@ -16,17 +16,17 @@ def event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows from ``events``; every tenth row comes again later with another latency, as a replay would bring it."""
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("n"), F.date_trunc("millisecond", "ts").alias("ts"), F.floor("value").cast("bigint").alias("v"))
     pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (F.col("n") % k + 1).cast("int"))
-    blank = F.col("n") % 50 == 0
+    blank = F.col("n") % 37 == 5
     once = e.select(
-        F.md5(F.expr("CAST(n div 5 AS STRING)").cast("binary")).alias("trace_id"), F.substring(F.md5(F.col("n").cast("string").cast("binary")), 1, 16).alias("span_id"),
-        F.when(blank, "").otherwise(F.concat(F.lit("sess-"), F.expr("n div 15"))).alias("session_id"), "ts",
-        pick(["greeter", "dialog-agent", "extractor"], 3).alias("service"),
-        pick(["pick_greeting", "agent_turn", "classify_intent", "chat gpt-4o-mini", "chat qwen-lite"], 5).alias("span_name"),
-        F.when(blank, "").when(F.col("n") % 2 == 0, "v3").otherwise("v4").alias("version"),
-        F.when(F.col("n") % 11 == 0, "").when(F.col("n") % 3 == 2, "qwen-lite").otherwise("gpt-4o-mini").alias("model"),
-        (F.col("v") + 20 + F.col("n") % 400).alias("latency_ms"), (200 + F.col("n") % 600).alias("input_tokens"), (F.col("n") % 200).alias("output_tokens"),
-        pick(["stop", "stop", "stop", "length", "content_filter"], 5).alias("finish_reason"),
-        F.when(F.col("n") % 40 == 0, "ERROR").otherwise("UNSET").alias("status_code"), F.col("n").alias("seq"), F.lit(1).alias("inserted_at"),
+        F.md5(F.expr("CAST(n div 6 AS STRING)").cast("binary")).alias("trace_id"), F.substring(F.md5(F.col("n").cast("string").cast("binary")), 1, 16).alias("span_id"),
+        F.when(blank, "").otherwise(F.concat(F.lit("visit-"), F.expr("n div 18"))).alias("session_id"), "ts",
+        pick(["router", "planner", "writer", "critic"], 4).alias("service"),
+        pick(["chat small", "lookup", "plan", "chat large", "chat small", "rank", "store"], 7).alias("span_name"),
+        F.when(blank, "").when(F.expr("n div 18") % 3 == 1, "2.1").otherwise("2.0").alias("version"),
+        F.when(F.col("n") % 13 == 4, "").when(F.col("n") % 7 == 3, "large").otherwise("small").alias("model"),
+        (3 * F.col("v") + F.col("n") % 97).alias("latency_ms"), (F.col("n") * 31 % 1009).alias("input_tokens"), (F.col("n") * 17 % 257).alias("output_tokens"),
+        F.when(F.col("n") % 9 == 8, "length").otherwise("stop").alias("finish_reason"),
+        F.when(F.col("n") % 23 == 11, "ERROR").otherwise("UNSET").alias("status_code"), F.col("n").alias("seq"), F.lit(1).alias("inserted_at"),
     )
     again = once.filter(F.col("seq") % 10 == 0).withColumns({"latency_ms": F.col("latency_ms") + 7, "inserted_at": F.lit(2)})
     return once.unionByName(again)
@@ -36,14 +36,14 @@ def event_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of users by day, every seventh row delivered twice."""
     e = table(spark, sf_dir, "events")
     once = e.select(
-        F.col("user_id").cast("string").alias("user_id"), F.expr("concat('sess-', event_id div 15)").alias("session_id"),
-        F.md5(F.expr("CAST(event_id div 5 AS STRING)").cast("binary")).alias("trace_id"), F.to_date("ts").alias("date"), F.col("event_id").alias("seq"), F.lit(1).alias("inserted_at"),
+        F.col("user_id").cast("string").alias("user_id"), F.expr("concat('visit-', event_id div 18)").alias("session_id"),
+        F.md5(F.expr("CAST(event_id div 6 AS STRING)").cast("binary")).alias("trace_id"), F.to_date("ts").alias("date"), F.col("event_id").alias("seq"), F.lit(1).alias("inserted_at"),
     )
     return once.unionByName(once.filter("seq % 7 = 0").withColumn("inserted_at", F.lit(2)))
 
 
 def _value(kind: str, x) -> F.Column:
-    fields = {"s": "string", "i": "bigint", "d": "double", "b": "boolean", "a": "array<string>"}
+    fields = {"s": "string", "i": "bigint", "d": "double", "b": "boolean", "a": "array<string>", "x": "string"}
     return F.struct(*[(x if k == kind else F.lit(None)).cast(t).alias(k) for k, t in fields.items()])
 
 

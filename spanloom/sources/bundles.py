@@ -51,3 +51,35 @@ def pack(lines: DataFrame) -> DataFrame:
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "value"))), lambda r: F.concat(r["value"], F.lit("\n"))), "")
     per = lines.groupBy("date", "hour", "trace_id").agg(text.alias("text")).withColumn("date", F.col("date").cast("string"))
     return per.select("date", "hour", "trace_id", "text").mapInArrow(frame, "date string, hour int, trace_id string, frame binary")
+
+
+def write(frames: DataFrame, path: str) -> None:
+    """The frames of ``pack`` as bundles: files of a date and hour, each with frames one after another. A repeated task replaces its file."""
+    spark = frames.sparkSession
+    target = spark.sparkContext.broadcast(path.removeprefix("file://").rstrip("/"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        where = target.value
+        store, base = fs.FileSystem.from_uri(where) if "://" in where else (fs.LocalFileSystem(), where)
+        out, now, names = None, None, []
+        for b in batches:
+            for date, hour, _, frame in zip(*(c.to_pylist() for c in b.columns)):
+                if (date, hour) != now:
+                    if out:
+                        out.close()
+                    now = date, hour
+                    folder = f"{base}/date={date}/hour={hour}"
+                    store.create_dir(folder, recursive=True)
+                    names.append(f"{folder}/part-{part:05d}.jsonl.zst")
+                    out = store.open_output_stream(names[-1], compression=None)  # the frames are compressed already
+                out.write(frame)
+        if out:
+            out.close()
+        yield pa.record_batch({"path": pa.array(names, pa.string())})
+
+    by_hour = frames.repartition("date", "hour").sortWithinPartitions("date", "hour", "trace_id")
+    by_hour.mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 MESSAGE = "value binary, seq bigint"
+#: Offsets repeat from one partition of a topic to the next, so both are in the order: up to 1024 partitions.
+TOPIC_ORDER = "offset * 1024 + partition AS seq"
 
 
 def raw_stream(spark: SparkSession, fmt: str, where: str | None = None, schema: str = MESSAGE, **options: str) -> DataFrame:
@@ -12,7 +14,7 @@ def raw_stream(spark: SparkSession, fmt: str, where: str | None = None, schema:
     r = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         options.setdefault("startingOffsets", "earliest")
-        return r.options(**options).load().selectExpr("value", "offset AS seq")
+        return r.options(**options).load().selectExpr("value", TOPIC_ORDER)
     return r.schema(schema).load(where)
 
 
@@ -20,7 +22,7 @@ def raw_batch(spark: SparkSession, fmt: str, where: str | None = None, schema: s
     """All that is there, or its first ``limit`` messages in order."""
     r = spark.read.format(fmt)
     if fmt == "kafka":
-        df = r.options(**({"startingOffsets": "earliest", "endingOffsets": "latest"} | options)).load().selectExpr("value", "offset AS seq")
+        df = r.options(**({"startingOffsets": "earliest", "endingOffsets": "latest"} | options)).load().selectExpr("value", TOPIC_ORDER)
     else:
         df = r.options(**options).schema(schema).load(where)
     return df.orderBy("seq").limit(limit) if limit is not None else df

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ..schemas import RESOURCE, SCOPE, SPAN_FIELDS
 
 #: Field names of the envelope and of a span in protobuf's JSON form.
-_JSON_VALUE = "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean,arrayValue:struct<values:array<struct<stringValue:string>>>>"
+_JSON_VALUE = "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean,arrayValue:variant,kvlistValue:variant,bytesValue:string>"
 _JSON_ATTRS = f"array<struct<key:string,value:{_JSON_VALUE}>>"
 _JSON_SPAN = (
     "struct<traceId:string,spanId:string,parentSpanId:string,name:string,startTimeUnixNano:string,endTimeUnixNano:string,"
     f"attributes:{_JSON_ATTRS},events:array<struct<name:string,timeUnixNano:string,attributes:{_JSON_ATTRS}>>,"
-    f"links:array<struct<traceId:string,spanId:string,attributes:{_JSON_ATTRS}>>,status:struct<code:string,message:string>>"
+    f"links:array<struct<traceId:string,spanId:string,attributes:{_JSON_ATTRS},traceState:string>>,status:struct<code:string,message:string>,kind:string,traceState:string,rest:string>"
 )
 ENVELOPE = f"struct<service:string,scope:string,resource:struct<attributes:{_JSON_ATTRS}>,scope_full:struct<name:string,version:string,attributes:{_JSON_ATTRS}>,span:{_JSON_SPAN}>"
 
@@ -26,21 +26,33 @@ def _attrs_out(attrs: Column) -> Column:
             a["key"].alias("key"),
             F.struct(
                 v(a)["s"].alias("stringValue"), v(a)["i"].cast("string").alias("intValue"), v(a)["d"].alias("doubleValue"), v(a)["b"].alias("boolValue"),
-                F.when(v(a)["a"].isNotNull(), F.struct(F.transform(v(a)["a"], lambda s: F.struct(s.alias("stringValue"))).alias("values"))).alias("arrayValue"),
+                F.coalesce(
+                    _whole(v(a), "$.arrayValue"),
+                    F.when(v(a)["a"].isNotNull(), F.parse_json(F.to_json(F.struct(F.transform(v(a)["a"], lambda s: F.struct(s.alias("stringValue"))).alias("values"))))),
+                ).alias("arrayValue"),
+                _whole(v(a), "$.kvlistValue").alias("kvlistValue"), F.try_variant_get(F.parse_json(v(a)["x"]), "$.bytesValue", "string").alias("bytesValue"),
             ).alias("value"),
         ),
     )
 
 
+def _whole(value: Column, path: str) -> Column:
+    return F.try_variant_get(F.parse_json(value["x"]), path, "variant")
+
+
 def _attrs_in(attrs: Column) -> Column:
     v = lambda a: a["value"]
+    items = lambda a: F.try_variant_get(v(a)["arrayValue"], "$.values", "array<variant>")
+    text = lambda e: F.try_variant_get(e, "$.stringValue", "string")
+    odd = lambda a: v(a)["kvlistValue"].isNotNull() | v(a)["bytesValue"].isNotNull() | F.coalesce(F.exists(items(a), lambda e: text(e).isNull()), F.lit(False))
     return F.transform(
         attrs,
         lambda a: F.struct(
             a["key"].alias("key"),
             F.struct(
                 v(a)["stringValue"].alias("s"), v(a)["intValue"].cast("bigint").alias("i"), v(a)["doubleValue"].alias("d"), v(a)["boolValue"].alias("b"),
-                F.transform(v(a)["arrayValue"]["values"], lambda s: s["stringValue"]).alias("a"),
+                F.when(v(a)["arrayValue"].isNotNull(), F.coalesce(F.transform(items(a), lambda e: F.coalesce(text(e), F.lit(""))), F.array().cast("array<string>"))).alias("a"),
+                F.when(odd(a), F.to_json(F.struct(v(a)["arrayValue"].alias("arrayValue"), v(a)["bytesValue"].alias("bytesValue"), v(a)["kvlistValue"].alias("kvlistValue")))).alias("x"),
             ).alias("value"),
         ),
     )
@@ -61,8 +73,8 @@ def encode(spans: DataFrame) -> DataFrame:
         _id_out(F.col("trace_id")).alias("traceId"), _id_out(F.col("span_id")).alias("spanId"), _id_out(F.nullif("parent_span_id", F.lit(""))).alias("parentSpanId"), "name",
         F.col("start_ns").cast("string").alias("startTimeUnixNano"), F.col("end_ns").cast("string").alias("endTimeUnixNano"), _attrs_out(F.col("attributes")).alias("attributes"),
         F.transform("events", lambda e: F.struct(e["name"].alias("name"), e["time_ns"].cast("string").alias("timeUnixNano"), _attrs_out(e["attributes"]).alias("attributes"))).alias("events"),
-        F.transform("links", lambda x: F.struct(_id_out(x["trace_id"]).alias("traceId"), _id_out(x["span_id"]).alias("spanId"), _attrs_out(x["attributes"]).alias("attributes"))).alias("links"),
-        F.struct(F.col("status_code").alias("code"), F.col("status_message").alias("message")).alias("status"),
+        F.transform("links", lambda x: F.struct(_id_out(x["trace_id"]).alias("traceId"), _id_out(x["span_id"]).alias("spanId"), _attrs_out(x["attributes"]).alias("attributes"), x["trace_state"].alias("traceState"))).alias("links"),
+        F.struct(F.col("status_code").alias("code"), F.col("status_message").alias("message")).alias("status"), "kind", F.col("trace_state").alias("traceState"), F.base64("rest").alias("rest"),
     )
     resource = F.when(F.col("resource").isNotNull(), F.struct(_attrs_out(F.col("resource.attributes")).alias("attributes")))
     scope = F.when(F.col("scope_full").isNotNull(), F.struct(F.col("scope_full.name").alias("name"), F.col("scope_full.version").alias("version"), _attrs_out(F.col("scope_full.attributes")).alias("attributes")))
@@ -83,7 +95,8 @@ def decode(lines: DataFrame, value: str = "value") -> DataFrame:
         F.col(f"{s}.status.code").alias("status_code"), zero(f"{s}.status.message").alias("status_message"),
         F.coalesce(_attrs_in(F.col(f"{s}.attributes")), F.array()).cast(SPAN_FIELDS["attributes"]).alias("attributes"),
         F.coalesce(F.transform(f"{s}.events", lambda x: F.struct(x["name"].alias("name"), x["timeUnixNano"].cast("bigint").alias("time_ns"), F.coalesce(_attrs_in(x["attributes"]), F.array()).cast(SPAN_FIELDS["attributes"]).alias("attributes"))), F.array()).cast(SPAN_FIELDS["events"]).alias("events"),
-        F.coalesce(F.transform(f"{s}.links", lambda x: F.struct(_id_in(x["traceId"], 16).alias("trace_id"), _id_in(x["spanId"], 8).alias("span_id"), F.coalesce(_attrs_in(x["attributes"]), F.array()).cast(SPAN_FIELDS["attributes"]).alias("attributes"))), F.array()).cast(SPAN_FIELDS["links"]).alias("links"),
+        F.coalesce(F.transform(f"{s}.links", lambda x: F.struct(_id_in(x["traceId"], 16).alias("trace_id"), _id_in(x["spanId"], 8).alias("span_id"), F.coalesce(_attrs_in(x["attributes"]), F.array()).cast(SPAN_FIELDS["attributes"]).alias("attributes"), x["traceState"].alias("trace_state"))), F.array()).cast(SPAN_FIELDS["links"]).alias("links"),
+        F.col(f"{s}.kind").alias("kind"), F.col(f"{s}.traceState").alias("trace_state"), F.unbase64(F.col(f"{s}.rest")).alias("rest"),
         "seq",
     )
 

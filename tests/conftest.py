@@ -37,7 +37,7 @@ def kvs(**values):
 def span(**fields):
     base = {
         "service": "dialog-agent", "scope": "s", "resource": None, "scope_full": None, "trace_id": "0" * 32, "span_id": "0" * 16, "parent_span_id": "", "name": "chat",
-        "start_ns": 0, "end_ns": 50_000_000, "status_code": None, "status_message": "", "attributes": [], "events": [], "links": [], "seq": 0,
+        "start_ns": 0, "end_ns": 50_000_000, "status_code": None, "status_message": "", "attributes": [], "events": [], "links": [], "kind": None, "trace_state": None, "rest": None, "seq": 0,
     }
     return base | fields
 

@@ -412,3 +412,55 @@ def test_per_session(spark):
 
 def test_template_identity(spans_df):
     assert one(spans_df([span(attributes=kvs(gen_ai__prompt__name="greeting"))]), A.has_template())[0] and not one(spans_df([span()]), A.has_template())[0]
+
+
+def test_every_kind_of_value_survives(spark):
+    request = otlp.request_class()()
+    ss = request.resource_spans.add().scope_spans.add()
+    s = ss.spans.add(trace_id=b"\x01" * 16, span_id=b"\x02" * 8, name="n", kind=3, trace_state="a=b", start_time_unix_nano=5)
+    s.status.code = 7  # a code of a later protocol
+    s.MergeFromString(bytes([0x50, 0x05]))  # field 10, a count that no column holds
+    v = lambda key: s.attributes.add(key=key).value
+    v("text").string_value = "ref"
+    v("empty").string_value = ""
+    v("int").int_value = -(2**63)
+    v("double").double_value = 0.5
+    v("bool").bool_value = False
+    v("bytes").bytes_value = b"\x00\xff"
+    v("strings").array_value.values.add(string_value="x")
+    v("nothing").array_value.SetInParent()
+    ints = v("ints").array_value.values
+    ints.add(int_value=1)
+    ints.add(string_value="two")
+    inner = v("map").kvlist_value.values.add(key="k").value.array_value.values.add()
+    inner.kvlist_value.values.add(key="deep").value.bytes_value = b"z"
+    s.attributes.add(key="unset")
+    s.links.add(trace_id=b"\x03" * 16, span_id=b"\x04" * 8, trace_state="c=d")
+    raw_bytes = request.SerializeToString()
+    first = otlp.decode(spark.createDataFrame([(raw_bytes, 1), (b"\xff\xff", 2)], "value binary, seq bigint"))
+    second = thin.decode(thin.encode(first))
+    row = first.first()
+    assert row["kind"] == "SPAN_KIND_CLIENT" and row["trace_state"] == "a=b" and row["status_code"] == "7" and first.count() == 1
+    for df in (first, second):
+        back = otlp.request_class().FromString(otlp.encode(df).first()["value"])
+        assert back.resource_spans[0].scope_spans[0].spans[0] == s
+    assert second.select(A.first_string("ints"), A.first_string("strings")).first()[:] == ("", "x")
+
+
+def test_bad_messages_are_kept_apart(spark):
+    df = spark.createDataFrame([(otlp.request_class()().SerializeToString(), 1, "a"), (b"\xff\xff", 2, "b"), (None, 3, "c")], "value binary, seq bigint, topic string")
+    assert [tuple(r) for r in otlp.quarantine(df).collect()] == [(b"\xff\xff", 2, "b")]
+
+
+def test_a_trace_is_read_from_its_folders(spark, spans_df, tmp_path):
+    a = archive.Archive(spark, f"file://{tmp_path}/archive")
+    hour = 3_600_000_000_000
+    a.append(spans_df([span(trace_id=f"{i:032x}", start_ns=i * hour, seq=i) for i in range(30)]), 0)
+    a.append(spans_df([span(trace_id=f"{5:032x}", start_ns=29 * hour, seq=99)]), 1)
+    got = a.load_trace(f"{5:032x}")
+    assert [(r["hour"], r["batch_id"]) for r in got.collect()] == [(5, 0), (5, 1)]
+    assert len(got.inputFiles()) >= 2
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "hour" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    a.append(spans_df([span(trace_id=f"{5:032x}", start_ns=29 * hour, seq=99)]), 1)  # a replay
+    assert a.load_trace(f"{5:032x}").count() == 2
