@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from .shared import in_arrow
 
 #: Characters that a worker handles at once, unless one text is longer.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Distinct slices whose ids a worker remembers, in each of two generations.
 CACHE = 400_000
 

@@ -43,7 +43,7 @@ from .additive_quality import training_labels
 from .shared import drop_path, give_back, in_arrow, keep_rows, written
 
 #: Labelled rows used in training and bytes of their texts, words in a window, bytes of text handled at once.
-MAX_ROWS, MAX_BYTES, WINDOW, CHUNK = 6_000, 48 << 20, 12, 1 << 19
+MAX_ROWS, MAX_BYTES, WINDOW, CHUNK = 6_000, 48 << 20, 12, 1 << 18
 #: Bytes of the ordinary dictionary, of each lesson that it gets later, and of the toxic one; windows that the first is trained on.
 ORDINARY_BYTES, LESSON_BYTES, TOXIC_BYTES, MAX_WINDOWS = 60_000, 16_384, 4_096, 80_000
 #: Rounds of lessons; how many times more frequent among toxic documents a word must be to stand in their windows, and
