@@ -153,8 +153,8 @@ def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: b
                 part = b.slice(s, 256)
                 ys = part.column(1).to_pylist()
                 new = [i for i, y in enumerate(ys) if y != (ys[i - 1] if i else last[0])]  # rows come by y, and a leader has many
-                left = sets([d.decompress(x.as_buffer()).decode() for x in part.column(4)], k)
-                right = sets([d.decompress(part.column(5)[i].as_buffer()).decode() for i in new], k)
+                left = sets((d.decompress(x.as_buffer()).decode() for x in part.column(4)), k)
+                right = sets((d.decompress(part.column(5)[i].as_buffer()).decode() for i in new), k)
                 both, either, fresh = [], [], set(new)
                 for i, a in enumerate(left):
                     if i in fresh:
@@ -206,7 +206,7 @@ def _possible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return ok
 
 
-def _pairs(rows: np.ndarray, percent: int, block: int = 512) -> Iterator[pa.RecordBatch]:
+def _pairs(rows: np.ndarray, percent: int, block: int = 256) -> Iterator[pa.RecordBatch]:
     if not len(rows):
         return
     starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))

@@ -95,8 +95,9 @@ def keep_rows(docs: DataFrame, judge: Callable[[list[str]], np.ndarray], text_co
     return in_arrow(docs, run, docs.schema)
 
 
-#: Rows that Spark hands to a Python worker at once: long texts make the usual ten thousand too much for a small executor.
-BATCH_ROWS = 2_000
+#: Rows, and bytes about, that Spark hands to a Python worker at once: the usual ten thousand rows or 64 MB of long texts, which
+#: the JVM, Arrow and the worker each hold a copy of, are too much for a small executor.
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
 
 
 def give_back() -> None:
@@ -118,4 +119,5 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
             give_back()
 
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(lean, schema)

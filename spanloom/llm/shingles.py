@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -67,11 +67,11 @@ def shingles(h: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return out, total
 
 
-def sets(texts: list[str | None], k: int) -> Iterator[np.ndarray]:
+def sets(texts: Iterable[str | None], k: int) -> Iterator[np.ndarray]:
     """The set of each text: sorted distinct shingle hashes; empty for null and for texts without words."""
     group: list[bytes] = []
     size = 0
-    for i, t in enumerate(texts):
+    for t in texts:
         b = (t or "").encode()
         if group and size + len(b) > CHUNK:
             yield from _sets(group, k)
