@@ -17,15 +17,38 @@ def _holds(spans: DataFrame) -> DataFrame:
     )
 
 
+def _tallied(rows: DataFrame, keys: tuple[str, ...], value: str, shares: dict[str, float], *more: str) -> DataFrame:
+    """By ``keys``: ``n``, ``avg_<column>`` of ``value`` and ``more``, and exact percentiles of the whole numbers in ``value``.
+
+    Rows are counted by value before they move, and a running sum over sorted values, which can spill, finds the ranks: no task
+    holds a state of all values.
+    """
+    columns = (value, *more)
+    parts = [f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("sum", F.sum), ("count", F.count))]
+    by = rows.groupBy(*keys, value).agg(F.count("*").alias("_rows"), *parts)
+    w = Window.partitionBy(*keys)
+    found = F.col(f"_count_{value}")
+    by = by.withColumns({"_upto": F.sum(found).over(w.orderBy(value)), "_all": F.sum(found).over(w)})
+    at = {n: p * (F.col("_all") - 1) for n, p in shares.items()}
+    ranks = [F.min(F.when(F.col("_upto") > f(x), F.col(value))).alias(f"_{side}_{n}") for n, x in at.items() for side, f in (("lo", F.floor), ("hi", F.ceil))]
+    sums = [F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}")).alias(f"avg_{c}") for c in columns]
+    out = by.groupBy(*keys).agg(F.sum("_rows").alias("n"), F.max("_all").alias("_all"), *sums, *ranks)
+
+    def between(n: str) -> F.Column:
+        lo, hi, x = F.col(f"_lo_{n}"), F.col(f"_hi_{n}"), at[n]
+        return F.when(lo == hi, lo.cast("double")).otherwise((F.ceil(x) - x) * lo + (x - F.floor(x)) * hi)
+
+    return out.select(*keys, "n", *[f"avg_{c}" for c in columns], *[between(n).alias(n) for n in shares])
+
+
 def end_reason_by_version(end_reasons: DataFrame, spans: DataFrame) -> DataFrame:
     versions = spans.filter("session_id != '' AND version != ''").groupBy("session_id").agg(F.max("version").alias("version"))
     return end_reasons.join(versions, "session_id").groupBy("version", "end_reason").agg(F.count("*").alias("sessions")).orderBy("version", F.desc("sessions"), "end_reason")
 
 
 def hold_time_by_version(spans: DataFrame) -> DataFrame:
-    return _holds(spans).groupBy("version").agg(
-        F.count("*").alias("sessions"), F.bround(F.avg("hold_ms")).alias("avg_ms"), F.bround(F.percentile("hold_ms", 0.5)).alias("p50_ms"), F.bround(F.percentile("hold_ms", 0.9)).alias("p90_ms")
-    ).orderBy("version")
+    t = _tallied(_holds(spans), ("version",), "hold_ms", {"p50": 0.5, "p90": 0.9})
+    return t.select("version", F.col("n").alias("sessions"), F.bround("avg_hold_ms").alias("avg_ms"), F.bround("p50").alias("p50_ms"), F.bround("p90").alias("p90_ms")).orderBy("version")
 
 
 def hold_time_by_day(spans: DataFrame) -> DataFrame:
@@ -39,9 +62,10 @@ def dialog_funnel(end_reasons: DataFrame) -> DataFrame:
 
 
 def latency_tokens(spans: DataFrame) -> DataFrame:
-    return spans.filter("model != ''").groupBy("model", "version").agg(
-        F.count("*").alias("spans"), F.bround(F.avg("latency_ms")).alias("avg_latency_ms"), F.bround(F.percentile("latency_ms", 0.9)).alias("p90_latency_ms"),
-        F.bround(F.avg("input_tokens")).alias("avg_in_tok"), F.bround(F.avg("output_tokens")).alias("avg_out_tok"),
+    t = _tallied(spans.filter("model != ''"), ("model", "version"), "latency_ms", {"p90": 0.9}, "input_tokens", "output_tokens")
+    return t.select(
+        "model", "version", F.col("n").alias("spans"), F.bround("avg_latency_ms").alias("avg_latency_ms"), F.bround("p90").alias("p90_latency_ms"),
+        F.bround("avg_input_tokens").alias("avg_in_tok"), F.bround("avg_output_tokens").alias("avg_out_tok"),
     ).orderBy("model", "version")
 
 
