@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spanloom.session import table
 
-from . import additive_quality, ball_tree, byte_bpe, chat_format, nnls_packing, prefix_join, secret_ledger, stable_projection, url_filter, zstd_toxicity
+from . import additive_quality, ball_tree, bpe_transducer, byte_bpe, chat_format, nnls_packing, periodic_runs, prefix_join, secret_ledger, stable_projection, url_filter, whitening, zstd_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,6 +183,37 @@ SELECT query_id, k::INTEGER AS rank, vec_id, score FROM r WHERE k <= 5
 """
 
 
+def op11_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_transducer.digest_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def with_planted_runs(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a text; a tenth of the documents repeats a part of its own to the end."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n or doc_id is None:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), edit=with_planted_runs)
+    # Runs come by start, then period, so the first of those with the greatest exponent stays.
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate("runs", F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"), lambda b, r: F.when(more(b, r), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_stable_projection": op1_stable_projection,
@@ -194,6 +226,9 @@ def queries() -> dict[str, Query]:
         "op8_chat_format": op8_chat_format,
         "op9_nnls_packing": op9_nnls_packing,
         "op10_ball_tree": op10_ball_tree,
+        "op11_bpe_transducer": op11_bpe_transducer,
+        "op12_whitening": op12_whitening,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 
