@@ -10,11 +10,11 @@ a word becomes four bytes, a hash of the word up to there. Equal beginnings of w
 differs from the same beginning of a longer one in its last code), a beginning of some letters is long enough to pay, and
 what words share in their middle no longer matches.
 
-Most of a toxic text is made of ordinary words, and a dictionary trained on it as it stands would hold these. So words whose
-share of toxic documents isn't ``LIFT`` times their share of ordinary ones, or that stand in fewer than ``SEEN``, are left
-out of the toxic windows before training; words of fewer than ``TAUGHT`` ordinary documents, which may be parts of toxic ones by
-chance, are left out of the ordinary windows. Then the ordinary dictionary learns from its mistakes: it is trained once
-more, up to ``ROUNDS`` times, on the ordinary words that the toxic dictionary compresses better. At last the ordinary dictionary is put behind the toxic one, so that
+Most of a toxic text is made of ordinary words, and a dictionary trained on it as it stands would hold these. So what tells
+toxic texts is found first: beginnings of words (whole words are such) that stand in more toxic documents than their share of ordinary ones
+lets expect, by ``SIGMAS`` standard deviations. A word is kept in the toxic windows up to its longest such beginning; a word without one is left out.
+The README says what this adds. Words of fewer than ``TAUGHT`` ordinary documents, which may be parts of toxic ones by
+chance, are left out of the ordinary windows. At last the ordinary dictionary is put behind the toxic one, so that
 both know all ordinary words at the same distance, and lengths differ by what toxic texts alone have.
 
 Training uses a bounded sample of the labelled rows: at most ``MAX_ROWS`` documents, chosen by a hash of the id, and of
@@ -30,6 +30,7 @@ whole. Other columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,11 +45,11 @@ from .shared import drop_path, give_back, in_arrow, keep_rows, written
 
 #: Labelled rows used in training and bytes of their texts, words in a window, bytes of text handled at once.
 MAX_ROWS, MAX_BYTES, WINDOW, CHUNK = 6_000, 48 << 20, 12, 1 << 18
-#: Bytes of the ordinary dictionary, of each lesson that it gets later, and of the toxic one; windows that the first is trained on.
-ORDINARY_BYTES, LESSON_BYTES, TOXIC_BYTES, MAX_WINDOWS = 60_000, 16_384, 4_096, 80_000
-#: Rounds of lessons; how many times more frequent among toxic documents a word must be to stand in their windows, and
-#: in how many of them it must stand; in how many ordinary documents a word must stand to be in theirs.
-ROUNDS, LIFT, SEEN, TAUGHT = 3, 10, 2, 4
+#: Bytes of the ordinary dictionary and of the toxic one; windows that the first is trained on; bytes of a sample at most.
+ORDINARY_BYTES, TOXIC_BYTES, MAX_WINDOWS, PART = 120_000, 8_192, 80_000, 1_024
+#: By how many standard deviations a beginning must be more frequent in toxic documents; in how many ordinary documents a
+#: word must stand to be in their windows.
+SIGMAS, TAUGHT = 10, 2
 #: Parts of the sample for calibration.
 FOLDS = 4
 WIDTH = 4
@@ -188,8 +189,9 @@ class Model:
 
 @dataclass
 class Words:
-    """The words of some texts: codes of their bytes, and for each word its place, hash and text."""
+    """The words of some texts: hashes and codes of their bytes, and for each word its place, hash and text."""
 
+    beginnings: np.ndarray  # at each byte of a word, the hash of the word up to there
     codes: bytes
     starts: np.ndarray  # in bytes of codes, as the sizes
     sizes: np.ndarray
@@ -204,7 +206,7 @@ class Words:
         doc = np.searchsorted(np.cumsum([len(b) for b in raw]), at, side="right")
         sizes = np.diff(np.append(starts, len(h)))
         whole = h[starts + sizes - 1] if len(starts) else np.zeros(0, np.uint64)
-        return Words(coded(h).tobytes(), starts * WIDTH, sizes * WIDTH, whole, doc, len(texts))
+        return Words(h, coded(h).tobytes(), starts * WIDTH, sizes * WIDTH, whole, doc, len(texts))
 
     def text(self, i: int) -> bytes:
         return self.codes[self.starts[i] : self.starts[i] + self.sizes[i]]
@@ -231,18 +233,30 @@ def _chunks(texts: list[str]) -> Iterator[Words]:
         yield Words.of(texts[first:])
 
 
-def _documents(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct words by hash, in how many texts each stands)."""
-    found, count = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for w in _chunks(texts):
-        order = np.lexsort((w.whole, w.doc))
-        v, d = w.whole[order], w.doc[order]
-        once = np.concatenate([[True], (v[1:] != v[:-1]) | (d[1:] != d[:-1])]) if len(v) else np.zeros(0, bool)
-        u, c = np.unique(v[once], return_counts=True)
-        found.append(u)
-        count.append(c)
-    words, at = np.unique(np.concatenate(found), return_inverse=True)
-    return words, np.bincount(at, np.concatenate(count), len(words)).astype(np.int64)
+def _once(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The distinct hashes of each text."""
+    order = np.lexsort((h, doc))
+    v, d = h[order], doc[order]
+    return v[np.concatenate([[True], (v[1:] != v[:-1]) | (d[1:] != d[:-1])])] if len(v) else v
+
+
+def _tally(parts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, how often each comes), with no more held than these and about a million values beside."""
+    words, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    wait: list[np.ndarray] = []
+    for v in itertools.chain(parts, [None]):
+        if wait and (v is None or sum(map(len, wait)) > 1_000_000 + len(words)):
+            u, c = np.unique(np.concatenate(wait), return_counts=True)
+            both, at = np.unique(np.concatenate([words, u]), return_inverse=True)
+            words, count = both, np.bincount(at, np.concatenate([count, c]), len(both)).astype(np.int64)
+            wait = []
+        if v is not None:
+            wait.append(v)
+    return words, count
+
+
+def _beginnings(w: Words) -> np.ndarray:
+    return _once(w.beginnings, np.repeat(w.doc, w.sizes // WIDTH))
 
 
 def _looked_up(words: np.ndarray, value: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -253,55 +267,59 @@ def _looked_up(words: np.ndarray, value: np.ndarray, wanted: np.ndarray) -> np.n
     return np.where(words[at] == wanted, value[at], 0)
 
 
+def telling(bad: list[str], plain: list[str]) -> np.ndarray:
+    """Hashes of the beginnings that are that much more frequent in toxic documents, sorted."""
+    found, toxic_in = _tally(_beginnings(w) for w in _chunks(bad))
+    ordinary_in = np.zeros(len(found), np.int64)
+    for w in _chunks(plain):
+        v = _beginnings(w)
+        at = np.minimum(np.searchsorted(found, v), max(0, len(found) - 1))
+        np.add.at(ordinary_in, at[found[at] == v] if len(found) else [], 1)
+    share = (ordinary_in + 0.5) / (len(plain) + 1)
+    expected = share * len(bad)
+    return found[toxic_in - expected >= SIGMAS * np.sqrt(expected * np.maximum(0, 1 - share))]
+
+
+def up_to(w: Words, wanted: np.ndarray) -> np.ndarray:
+    """Of each word the bytes of its codes up to the longest wanted beginning."""
+    good = np.flatnonzero(np.isin(w.beginnings, wanted))
+    word = np.repeat(np.arange(len(w.whole)), w.sizes // WIDTH)[good]
+    out = np.zeros(len(w.whole), np.int64)
+    np.maximum.at(out, word, WIDTH * (good + 1) - w.starts[word])
+    return out
+
+
 def trained(samples: list[bytes], size: int, segment: int) -> bytes:
-    """A dictionary by zstandard's trainer; samples that fit, or are too few to train on, are the dictionary themselves."""
-    if sum(map(len, samples)) > size:
-        try:
-            return zstandard.train_dictionary(size, samples, k=segment, d=8).as_bytes()
-        except zstandard.ZstdError:
-            pass
-    return b"".join(samples)[:size]
+    """A dictionary by zstandard's trainer. Samples that fit when each distinct one is taken once are the dictionary, whole."""
+    parts = [x[i : i + PART] for x in samples for i in range(0, len(x), PART)]
+    if sum(map(len, (distinct := dict.fromkeys(parts)))) <= size:
+        return b"".join(distinct)
+    return zstandard.train_dictionary(size, parts, k=segment, d=8).as_bytes()
 
 
 def train_dictionaries(texts: list[str], toxic: np.ndarray) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary, the latter with the former behind it."""
     bad = [t for t, y in zip(texts, toxic) if y]
     plain = [t for t, y in zip(texts, toxic) if not y]
-    words, ordinary_in = _documents(plain)
-    bad_words, toxic_in = _documents(bad)
-    if not len(words) or not len(bad_words):
+    words, ordinary_in = _tally(_once(w.whole, w.doc) for w in _chunks(plain))
+    if not len(words):
         return b"", b""
-    # Windows of ordinary texts, evenly spread, and each distinct word once.
     every = max(1, sum(-(-int(n) // WINDOW) for w in _chunks(plain) for n in np.bincount(w.doc)) // MAX_WINDOWS)
-    samples: list[bytes] = []
-    lesson: list[bytes] = []
-    met = np.zeros(len(words), bool)
+    samples: list[bytes] = []  # windows of ordinary texts, evenly spread
     k = 0
     for w in _chunks(plain):
-        at = np.searchsorted(words, w.whole)
-        for x in w.windows(ordinary_in[at] >= TAUGHT):
+        for x in w.windows(_looked_up(words, ordinary_in, w.whole) >= TAUGHT):
             if k % every == 0:
                 samples.append(x)
             k += 1
-        new, first = np.unique(at, return_index=True)
-        lesson += [w.text(i) for i in np.sort(first[~met[new] & (ordinary_in[new] >= TAUGHT)]).tolist()]
-        met[new] = True
     ordinary = trained(samples, ORDINARY_BYTES, 64)
     samples.clear()
-    frequent = bad_words[(toxic_in >= SEEN) & (toxic_in * len(plain) > LIFT * _looked_up(words, ordinary_in, bad_words) * len(bad))]
-    only = trained([x for w in _chunks(bad) for x in w.windows(np.isin(w.whole, frequent))], TOXIC_BYTES, 32)
-    if not only:
-        return b"", b""
-    data = b"".join(lesson)
-    sizes = np.fromiter(map(len, lesson), np.int64, len(lesson))
-    starts = np.cumsum(sizes) - sizes
-    for _ in range(ROUNDS):
-        saved = Compressor(ordinary).lengths(data, starts, sizes) - Compressor(only + ordinary).lengths(data, starts, sizes)
-        hard = [lesson[i] for i in np.flatnonzero(saved >= 2).tolist()]
-        if not hard:
-            break
-        ordinary = trained(hard, LESSON_BYTES, 32) + ordinary
-    return ordinary, only + ordinary
+    wanted = telling(bad, plain)
+    for w in _chunks(bad):
+        w.sizes = up_to(w, wanted)
+        samples += w.windows(w.sizes > 0)
+    only = trained(samples, TOXIC_BYTES, 32)
+    return (ordinary, only + ordinary) if only else (b"", b"")
 
 
 def folds(texts: list[str]) -> np.ndarray:

@@ -323,7 +323,7 @@ def test_models_on_held_out_rows(spark, name, label, least):
     assert len(got) == table(spark, sf, "documents").count() and np.mean(right) >= least
 
 
-@pytest.mark.parametrize("name, label, recall, precision", [("op5_additive_quality", "quality", 0.95, 0.95), ("op6_zstd_toxicity", "toxic", 0.7, 0.9)])
+@pytest.mark.parametrize("name, label, recall, precision", [("op5_additive_quality", "quality", 0.95, 0.95), ("op6_zstd_toxicity", "toxic", 0.85, 0.95)])
 def test_recall_and_precision_on_held_out_rows(spark, name, label, recall, precision):
     sf = "/root/testdata/sf0.1"
     said = {r["doc_id"]: r["predicted"] for r in Q.queries()[name](spark, sf).filter("held_out").select("doc_id", "predicted").collect()}
@@ -345,6 +345,56 @@ def test_dictionaries_are_trained_on_their_class():
     assert model.score([text(plain), text(plain) + " gruntlepug zwackelix" * 3]).tolist() == [0.0, 1.0]
 
 
+def test_toxicity_equals_windows_compressed_one_by_one():
+    import zstandard
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("aeioustrnlgm") for _ in range(rng.randint(1, 9)))
+    ordinary, toxic = (zstd_toxicity.Words.of([" ".join(word() for _ in range(300))]).codes for _ in range(2))
+    model = zstd_toxicity.Model(ordinary, toxic + ordinary, 3, [(-np.inf, 0.1), (1.0, 0.5), (5.0, 0.9)])
+    texts = [" ".join(word() for _ in range(n)) for n in (0, 1, 11, 12, 13, 200)] + ["", "!!", "É l'été " * 40]
+
+    def alone(dictionary, data):
+        d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=zstd_toxicity._params())
+        return len(zstandard.ZstdCompressor(compression_params=zstd_toxicity._params(), dict_data=d).compress(data))
+
+    for text, score in zip(texts, model.score(texts)):
+        w = zstd_toxicity.Words.of([text])
+        windows = list(w.windows(np.ones(len(w.whole), bool)))
+        saved = [alone(model.ordinary, x) - alone(model.toxic, x) for x in windows]
+        x = sum(v for v in saved if v >= 3) / max(1, len(windows)) ** 0.5
+        assert score == max((p for at, p in model.steps if x >= at))
+
+
+def test_additive_model_equals_slow_loops():
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (300, len(additive_quality.FEATURES)))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(float)
+    m = additive_quality.fit(x, y)
+    for row, got in zip(x, m.margin(x)):
+        bins = [sum(v >= c for c in cuts) for v, cuts in zip(row, m.cuts)]
+        want = m.intercept + sum(t[b] for t, b in zip(m.tables, bins)) + sum(t[m.coarse[i][bins[i]], m.coarse[j][bins[j]]] for (i, j), t in zip(m.pairs, m.pair_tables))
+        assert abs(got - want) < 1e-9
+    assert ((m.score(x) > 0.5) == (y > 0)).mean() > 0.95
+    for _ in range(200):
+        n = int(rng.integers(1, 12))
+        g, h = rng.normal(0, 1, n), rng.random(n) + 0.01
+        worth = lambda a, b: g[a:b].sum() ** 2 / (h[a:b].sum() + 2.0)
+        want = [0, n]
+        for _ in range(2):
+            gains = {k: worth(a, k) + worth(k, b) - worth(a, b) for a, b in zip(want, want[1:]) for k in range(a + 1, b)}
+            if gains and max(gains.values()) > 1e-9:
+                want = sorted([*want, max(gains, key=gains.get)])
+        assert additive_quality._best_cuts(g, h) == want
+
+
+def test_samples_that_fit_are_the_dictionary_whole():
+    assert zstd_toxicity.trained([b"abc" * 9, b"xyz" * 9, b"abc" * 9], 100, 32) == b"abc" * 9 + b"xyz" * 9
+    one = zstd_toxicity.trained([bytes(np.random.default_rng(1).integers(0, 256, 100_000, np.uint8))], 8192, 32)
+    assert 0 < len(one) <= 8192
+
+
 def test_training_reads_one_text_of_an_id_within_a_bound_of_bytes(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(zstd_toxicity, "fit", lambda texts, toxic: seen.append((texts, toxic.tolist())) or zstd_toxicity.Model())
