@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -267,17 +267,19 @@ def _pairs(rows: np.ndarray, percent: int, block: int = 256) -> Iterator[pa.Reco
 
 def link_components(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id`` of every document; the component is the smallest id that links reach."""
-    found = _linked(docs, k, percent, id_col, text_col, Scratch(docs.sparkSession))
+    found = _linked(docs.filter(F.col(id_col).isNotNull()), k, percent, id_col, text_col, Scratch(docs.sparkSession))
     return found.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("c").alias("component_id"))
 
 
 def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, kept: Scratch) -> DataFrame:
-    """``id, h, n, c`` of every document: a hash of its text, the size of its set and the component.
+    """``id, h, n, c, node, root`` of every document: a hash of its text, the size of its set, the component, its set and the set that names the component.
+
+    The set that names a component is one of its smallest id's. A row without an id counts as one of the largest id.
 
     ``kept`` gets the tables that the result reads; all others are deleted.
     """
     scratch, block = Scratch(docs.sparkSession), BLOCK
-    docs = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    docs = docs.select(_known(docs[id_col]).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
     rows = materialize(profiles(docs, k, percent, magnitudes), "profiles", kept)
     each = rows.filter("n > 0").groupBy("node", "id", "h").agg(F.count("*").alias("copies"))
@@ -376,11 +378,11 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
         more = similarities(wide, docs, same, repeated, k, scratch).filter(linked).select(ends)
         found = components(found.select("u", F.col("component").alias("v")).unionByName(more), scratch)
 
-    component = found.select(F.col("u.node").alias("node"), F.col("component.id").alias("c"))
+    component = found.select(F.col("u.node").alias("node"), F.col("component.id").alias("c"), F.col("component.node").alias("root"))
     # Written out, so that both sides of the last join are shuffled and its skew can be split.
-    of_set = materialize(same.join(component, "node", "left").select("node", F.coalesce("c", "id").alias("c")), "components", kept)
+    of_set = materialize(same.join(component, "node", "left").select("node", F.coalesce("c", "id").alias("c"), F.coalesce("root", "node").alias("root")), "components", kept)
     scratch.clear()
-    return rows.select("id", "h", "n", "node").join(of_set, "node", "left").select("id", "h", "n", F.coalesce("c", "id").alias("c"))
+    return rows.select("id", "h", "n", "node").join(of_set, "node", "left").select("id", "h", "n", F.coalesce("c", "id").alias("c"), "node", "root")
 
 
 def _apart(pairs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
@@ -390,11 +392,35 @@ def _apart(pairs: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     return materialize(p.filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y", "d"), "open_pairs", scratch)
 
 
+def _known(id_col: Column) -> Column:
+    return F.coalesce(id_col.cast("long"), F.lit(2**63 - 1))
+
+
 def keep_first(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, but those whose text links connect to a smaller id."""
-    scratch = Scratch(docs.sparkSession)
-    found = _linked(docs, k, percent, id_col, text_col, scratch)
-    gone = found.filter("id != c").select(F.col("id").cast(docs.schema[id_col].dataType).alias("gone_id"), F.col("h").alias("gone_h")).distinct()
-    gone = small_or_shuffled(gone, "near_copies")
+    """One row of each group of documents that links connect, with all its columns: one with the smallest id, whose set names the component.
+
+    A row without an id is kept only where no row of its group has one. Of rows that are equal in id and text any one stays, of several texts of the
+    smallest id with equal sets the one with the least hash. Documents without words link with nothing, so all of them stay.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    found = _linked(docs, k, percent, id_col, text_col, scratch).filter("n > 0")
+    each = materialize(found.groupBy("id", "h", ((F.col("id") == F.col("c")) & (F.col("node") == F.col("root"))).alias("named"), "root").agg(F.count("*").alias("copies")), "rows_of_groups", scratch)
+    firsts = each.filter("named").groupBy("root").agg(F.min(F.struct("h", "id", "copies")).alias("m"), F.count("*").alias("texts"))
+    more = each.filter("named").join(firsts.filter("texts > 1").select("root", F.col("m.h").alias("_h")), "root").filter(F.col("h") > F.col("_h"))
+    gone = each.filter("NOT named").select("id", "h").unionByName(more.select("id", "h")).select(F.col("id").alias("gone_id"), F.col("h").alias("gone_h"))
+    many = firsts.filter("m.copies > 1").select(F.col("m.id").alias("gone_id"), F.col("m.h").alias("gone_h"))
+    # The rows that have equals go as well, and one of them comes back.
+    gone, many = small_or_shuffled(gone.unionByName(many), "near_copies"), small_or_shuffled(many, "repeated_rows")
     scratch.clear()
-    return docs.join(gone, (docs[id_col] == gone["gone_id"]) & (F.xxhash64(docs[text_col]) == gone["gone_h"]), "left_anti").select(docs.columns)
+
+    def same_row(other: DataFrame) -> Column:
+        return (_known(docs[id_col]) == other["gone_id"]) & (F.xxhash64(docs[text_col]) == other["gone_h"])
+
+    kept = docs.join(gone, same_row(gone), "left_anti").select(docs.columns)
+    if many.isEmpty():
+        return kept
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # whatever the columns are called, they don't clash with the group's
+    rows = docs.join(many, same_row(many), "left_semi").select(_known(docs[id_col]).alias("_id"), F.xxhash64(docs[text_col]).alias("_h"), F.struct(*[docs[c].alias(n) for c, n in zip(docs.columns, names)]).alias("_row"))
+    one = rows.groupBy("_id", "_h").agg(F.first("_row").alias("_row")).select(*[F.col(f"_row.{n}").alias(c) for c, n in zip(docs.columns, names)])
+    return kept.unionByName(one)

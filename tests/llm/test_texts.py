@@ -297,7 +297,21 @@ def test_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (None, "a b c d e"), (None, None)], "doc_id bigint, text string")
     got = prefix_join.link_components(df).collect()
     assert sorted(tuple(r) for r in got) == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
-    assert prefix_join.keep_first(df, 4, 85).count() == 4
+    # One of the equal texts stays, and the row without words, which links with nothing.
+    assert [tuple(r) for r in prefix_join.keep_first(df, 4, 85).orderBy("doc_id").collect()] == [(None, None), (1, "a b c d e")]
+
+
+def test_one_row_of_each_group_stays(spark):
+    text, other = "one two three four five six seven", "some quite different words stand in this text here"
+    rows = [(1, text, "x")] * 50 + [(None, text, "x")] * 30 + [(2, text, "x")]
+    kept = lambda rows: sorted(map(tuple, prefix_join.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string, _row string"), 5, 80).collect()), key=str)
+    assert kept(rows) == [(1, text, "x")]
+    assert kept([r for r in rows if r[0] is None]) == [(None, text, "x")]
+    # A repeated id with texts of two groups, and one with texts that differ in white space only.
+    assert kept(rows + [(1, other, "y"), (7, other, "y"), (7, other, "y")]) == [(1, text, "x"), (1, other, "y")]
+    assert len(kept([(4, text, "x"), (4, "  " + text, "x"), (4, text.replace(" ", "  "), "x"), (5, text, "x")])) == 1
+    near = " ".join(f"w{i}" for i in range(100))
+    assert kept([(None, near, "x"), (9, near + " more", "x"), (9, near + " more", "x"), (3, near + " still", "x")]) == [(3, near + " still", "x")]
 
 
 def test_component_query(spark, sf):
