@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in five stages. Each is written and read again as the next one's input.
 
 Every stage works on all documents that its predecessor kept, and all but the last return the columns of documents.
-Documents without an id can't be deduplicated and are kept by that stage. Empty tables pass through every stage.
+Of a group of near duplicates one row stays, whether or not its rows have ids. Empty tables pass through every stage.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document with the smallest id stays."""
+    """Of every group of near duplicates one row stays, one with the smallest id."""
     return prefix_join.keep_first(docs, SHINGLE_WORDS, PERCENT)
 
 
