@@ -73,7 +73,7 @@ def _cut_rows(config: GearConfig) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 row, pos, sha, data = [], [], [], []
                 for i, v in enumerate(part.column(part.num_columns - 1).to_pylist()):
                     a = 0
-                    for p, e in enumerate(cut_points(v or b"")):
+                    for p, e in enumerate(cut_points(v or b"", config)):
                         row.append(i)
                         pos.append(p)
                         data.append(v[a:e])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,16 +67,37 @@ def chunks_of(found: DataFrame, kind: str = "wholefield") -> DataFrame:
 def new_chunks(chunks: DataFrame, store: DataFrame | None) -> DataFrame:
     """What the store lacks, once each: ``hash, data, raw_len, crc``.
 
-    The probe shuffles hashes only; of what is new one copy of each chunk leaves a partition.
+    Each partition takes one copy of a chunk before anything moves, and one copy of each leaves it; the probe of the store follows on the same
+    partitioning, so only the store's hashes are shuffled for it.
     """
-    one = chunks.select("hash", "data")
-    if store is not None:
-        fresh = chunks.select("hash").distinct().join(store.select("hash"), "hash", "left_anti")
-        one = one.join(fresh, "hash", "left_semi")
-    one = one.dropDuplicates(["hash"])
+    one = chunks.groupBy("hash").agg(F.first("data").alias("data"))
+    return _stored(one.join(store.select("hash"), "hash", "left_anti") if store is not None else one)
+
+
+def chunks_named(chunks: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The chunks of ``hashes``, once each, in the form of ``new_chunks``; one copy of each leaves a partition."""
+    return _stored(chunks.groupBy("hash").agg(F.first("data").alias("data")).join(hashes.select("hash"), "hash", "left_semi"))
+
+
+def _stored(one: DataFrame) -> DataFrame:
     return one.select("hash", "data", F.octet_length("data").alias("raw_len"), F.crc32("data").alias("crc"))
 
 
+def once_a_partition(hashes: DataFrame) -> DataFrame:
+    """``hash, len`` with a hash once in each partition, so that a frequent one isn't shuffled as often as it occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for b in batches:
+            new = []
+            for h in b.column(0).to_pylist():
+                new.append(h not in seen)
+                seen.add(h)
+            yield b.filter(pa.array(new, pa.bool_()))
+
+    return hashes.select("hash", "len").mapInArrow(run, "hash string, len bigint")
+
+
 def refs_of(chunks: DataFrame) -> DataFrame:
     """``PLACE, ref`` for each candidate."""
     ordered = F.sort_array(F.collect_list(F.struct("pos", "hash")))

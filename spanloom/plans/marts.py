@@ -17,22 +17,41 @@ def _holds(spans: DataFrame) -> DataFrame:
     )
 
 
+#: Distinct whole numbers of a stretch: no window below holds more rows of one group.
+STRETCH = 1 << 16
+
+
 def _tallied(rows: DataFrame, keys: tuple[str, ...], value: str, shares: dict[str, float], *more: str) -> DataFrame:
     """By ``keys``: ``n``, ``avg_<column>`` of ``value`` and ``more``, and exact percentiles of the whole numbers in ``value``.
 
-    Rows are counted by value before they move, and a running sum over sorted values, which can spill, finds the ranks: no task
-    holds a state of all values.
+    Rows are counted by value before they move. Stretches of values are counted next, which says in which of them the ranks lie; only
+    there the values themselves are looked at. So however many rows or values a group has, a window holds no more rows of it than it
+    has stretches, or a stretch has numbers.
     """
     columns = (value, *more)
     parts = [f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("sum", F.sum), ("count", F.count))]
-    by = rows.groupBy(*keys, value).agg(F.count("*").alias("_rows"), *parts)
+    stretch = F.floor(F.col(value) / STRETCH).alias("_stretch")
+    by = rows.groupBy(*keys, stretch, value).agg(F.count("*").alias("_rows"), *parts)
+    found, sums = F.col(f"_count_{value}"), [f"_{n}_{c}" for c in columns for n in ("sum", "count")]
+    coarse = by.groupBy(*keys, "_stretch").agg(F.sum("_rows").alias("_rows"), *[F.sum(c).alias(c) for c in sums])
     w = Window.partitionBy(*keys)
-    found = F.col(f"_count_{value}")
-    by = by.withColumns({"_upto": F.sum(found).over(w.orderBy(value)), "_all": F.sum(found).over(w)})
+    coarse = coarse.withColumns({"_upto": F.sum(found).over(w.orderBy("_stretch")), "_all": F.sum(found).over(w)})
+    # Ranks count from 0; between two of them percentiles are interpolated.
     at = {n: p * (F.col("_all") - 1) for n, p in shares.items()}
-    ranks = [F.min(F.when(F.col("_upto") > f(x), F.col(value))).alias(f"_{side}_{n}") for n, x in at.items() for side, f in (("lo", F.floor), ("hi", F.ceil))]
-    sums = [F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}")).alias(f"avg_{c}") for c in columns]
-    out = by.groupBy(*keys).agg(F.sum("_rows").alias("n"), F.max("_all").alias("_all"), *sums, *ranks)
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in at.values()])))
+    here = F.exists(ranks, lambda r: (r < F.col("_upto")) & (r >= F.col("_upto") - found))
+    wanted = coarse.filter(here).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_stretch").alias("_s"), (F.col("_upto") - found).alias("_before"), "_all")
+    same = F.col("_stretch") == F.col("_s")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    fine = by.join(wanted, same).withColumn("_upto", F.col("_before") + F.sum(found).over(Window.partitionBy(*keys, "_stretch").orderBy(value)))
+    sides = [F.min(F.when(F.col("_upto") > f(x), F.col(value))).alias(f"_{side}_{n}") for n, x in at.items() for side, f in (("lo", F.floor), ("hi", F.ceil))]
+    of_ranks = fine.groupBy(*keys).agg(*sides).withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    out = coarse.groupBy(*keys).agg(F.sum("_rows").alias("n"), F.max("_all").alias("_all"), *[F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}")).alias(f"avg_{c}") for c in columns])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    out = out.join(of_ranks, same, "left")
 
     def between(n: str) -> F.Column:
         lo, hi, x = F.col(f"_lo_{n}"), F.col(f"_hi_{n}"), at[n]

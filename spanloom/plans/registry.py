@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import attrs as A
 from ..functions import content as C
 from ..functions import refs
-from ..operators import archive, audit, dedup, dialog, facts, restore
+from ..operators import archive, audit, chunk_store, dedup, dialog, facts, restore
 from ..operators.latest import latest_of
 from ..schemas import TF_SPANS, USER_SESSIONS
+from ..session import new_path, table
 from ..sources import adapters, bundles, otlp, raw, thin
 from ..sources.adapters import AS_OF, conversation_spans, document_spans, document_values, event_facts, event_user_sessions
-from ..streaming import runner
+from ..streaming import metrics, runner
 from . import marts, oracles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,13 +146,8 @@ def archive_index(spark, d):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder that driver and executors share; a temporary one only for local masters."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if base:
-        return f"{base.rstrip('/')}/run-{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return "file://" + tempfile.mkdtemp(prefix="spanloom-")
+    """A new folder that driver and executors share."""
+    return new_path(spark, "run")
 
 
 def _archived(spark: SparkSession, d: str) -> archive.Archive:
@@ -286,25 +282,100 @@ def run_dedup(spark, d):
     base = scratch(spark)
     otlp.encode(document_spans(spark, d)).write.parquet(f"{base}/raw")
     tables = runner.Tables(spark, f"{base}/tables")
-    runner.run_dedup(otlp.decode(raw.raw_stream(spark, "parquet", f"{base}/raw")), tables, f"{base}/checkpoint").awaitTermination()
+    runner.run_dedup(otlp.decode_all(raw.raw_stream(spark, "parquet", f"{base}/raw")), tables, f"{base}/checkpoint").awaitTermination()
     back = dedup.restore(thin.decode(tables.read("thin").select("value", "seq")), tables.read("chunks"))
     return back.select("span_id", F.sha2(A.string("gen_ai.system_instructions"), 256).alias("text_sha"), F.sha2(A.string("note"), 256).alias("note_sha"))
 
 
+def _deduplicated(spark: SparkSession, d: str, parts: int, bad: DataFrame | None = None) -> runner.Tables:
+    """Raw messages in several files, each a batch of the deduplicating stream."""
+    base = scratch(spark)
+    messages = otlp.encode(document_spans(spark, d))
+    (messages if bad is None else messages.unionByName(bad)).repartition(parts, F.col("seq") % parts).write.parquet(f"{base}/raw")
+    tables = runner.Tables(spark, f"{base}/tables")
+    stream = otlp.decode_all(raw.raw_stream(spark, "parquet", f"{base}/raw", maxFilesPerTrigger="1"))
+    runner.run_dedup(stream, tables, f"{base}/checkpoint").awaitTermination()
+    return tables
+
+
+def run_dedup_batches(spark, d):
+    """Chunks that several batches stored: each once over all of them, as the stream remembers hashes."""
+    return _deduplicated(spark, d, 4).read("chunks").groupBy("hash").agg(F.count("*").alias("copies"), F.sum("raw_len").alias("bytes"))
+
+
+def dedup_counters(spark, d):
+    """The counters that the stream's plan took over all batches."""
+    listener = metrics.DedupMetrics()
+    spark.streams.addListener(listener)
+    try:
+        _deduplicated(spark, d, 3)
+        until = time.monotonic() + 60  # events come a little after the query's end
+        while not listener.ended and time.monotonic() < until:
+            time.sleep(0.05)
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.rows(spark)
+
+
+def raw_quarantine(spark, d):
+    """For every document also a message that is no request: good ones become thin lines, bad ones are kept whole."""
+    n = F.col("doc_id")
+    bad = table(spark, d, "documents").select(F.encode(F.concat(F.lit("broken "), n), "UTF-8").alias("value"), n.alias("seq"))
+    tables = _deduplicated(spark, d, 2, bad)
+    lines = thin.decode(tables.read("thin").select("value", "seq")).select(F.lit("thin").alias("name"), F.col("span_id").alias("item"))
+    return lines.unionByName(tables.read("quarantine").select(F.lit("quarantine").alias("name"), F.decode("value", "UTF-8").alias("item")))
+
+
+def cas_point_read(spark, d):
+    """The longest heavy text of each source, out of a store of all chunks: folders, statistics and bloom filters skip the rest."""
+    values = document_values(spark, d)
+    store = chunk_store.ChunkStore(spark, f"{scratch(spark)}/store")
+    store.append(dedup.new_chunks(dedup.chunks_of(values), None), 0)
+    heavy = table(spark, d, "documents").filter(F.octet_length("text") >= 1024)
+    longest = heavy.groupBy("source").agg(F.max_by(F.sha2("text", 256), F.struct(F.octet_length("text"), F.col("doc_id"))).alias("hash"))
+    return store.lookup(longest).select("hash", "raw_len", (F.crc32("data") == F.col("crc")).alias("good"), F.sha2("data", 256).alias("data_sha"))
+
+
+def segment_index(spark, d):
+    """Where each chunk lies in segments of 64 KiB, packed in the order of hashes by their own size."""
+    got, _ = chunk_store.segments(_store(spark, d).select("hash", F.col("raw_len").cast("long").alias("len"), "crc"), 64 << 10)
+    return got.select("hash", "segment", "offset", "len")
+
+
 def raw_limit(spark, d):
     """The first fifty raw messages in order."""
     base = scratch(spark)
     otlp.encode(document_spans(spark, d)).write.parquet(f"{base}/raw")
-    return raw.raw_batch(spark, "parquet", f"{base}/raw", limit=50).select("seq")
+    # The message itself is read and holds the whole span.
+    return otlp.decode(raw.raw_batch(spark, "parquet", f"{base}/raw", limit=50)).select(F.expr(f"shiftright(seq, {otlp.SPAN_BITS})").alias("seq"), "span_id", F.sha2(A.string("note"), 256).alias("note_sha"))
 
 
-def bundle_import(spark, d):
-    """Foreign bundles of zstd frames, packed from thin lines and read back as spans."""
-    base = scratch(spark)
+def _bundled(spark: SparkSession, d: str) -> str:
+    """The folder of bundles of thin lines, one frame for each trace and hour."""
+    path = f"{scratch(spark)}/bundles"
     spans = conversation_spans(spark, d)
-    lines = archive.bucketed(spans).select("seq", "date", "hour").join(thin.encode(spans), "seq")
-    bundles.write(bundles.pack(lines), f"{base}/bundles")
-    return _brief(thin.decode(bundles.read_lines(spark, f"{base}/bundles")))
+    lines = archive.bucketed(spans).select("seq", "date", "hour", A.session_id().alias("session_id")).join(thin.encode(spans), "seq")
+    bundles.write(bundles.pack(lines), path)
+    return path
+
+
+def bundle_import(spark, d):
+    """Bundles read whole as streams of frames, without their index, as foreign ones are."""
+    return _brief(thin.decode(bundles.read_lines(spark, _bundled(spark, d))))
+
+
+def bundle_frames(spark, d):
+    """A day's frames of two hours by their places in the bundles; the day and hours leave other bundles out before a task starts."""
+    lines = bundles.read(spark, _bundled(spark, d)).filter(F.col("date").isin("2024-01-05", "2024-01-06") & F.col("hour").isin(3, 4, 5, 6))
+    return _brief(thin.decode(lines.select("value", "seq")))
+
+
+def bundle_sessions(spark, d):
+    """Of each day the frames of the session that comes first, chosen by a query over the index."""
+    path = _bundled(spark, d)
+    i = bundles.index(spark, path).filter("session_id != ''")
+    first = i.groupBy("date").agg(F.min("session_id").alias("session_id"))
+    return _brief(thin.decode(bundles.read_frames(i.join(first, ["date", "session_id"]), path).select("value", "seq")))
 
 
 def attribute_maps(spark, d):
@@ -327,25 +398,24 @@ def audit_percentages(spark, d):
     return audit.raw_audit(document_spans(spark, d)).select(F.round("session_pct", 6).alias("session_pct"), F.round("system_dup_pct", 6).alias("system_dup_pct"), F.round("saved_pct", 6).alias("saved_pct"))
 
 
-def seeded_facts(spark, d):
-    """The seeder for timings, by model and version; it reads no table."""
-    from ..sources import synth
-
-    return synth.seed_facts(spark, 30_000).groupBy("model", "version").agg(F.count("*").alias("spans"), F.sum("latency_ms").alias("latency_ms"), F.sum("input_tokens").alias("input_tokens"), F.count_distinct("session_id").alias("sessions"))
-
-
 def queries() -> dict[str, Query]:
     return {
         "span_fidelity": span_fidelity,
         "restore_range": restore_range,
         "run_batch": run_batch,
         "run_dedup": run_dedup,
+        "run_dedup_batches": run_dedup_batches,
+        "dedup_counters": dedup_counters,
+        "raw_quarantine": raw_quarantine,
+        "cas_point_read": cas_point_read,
+        "segment_index": segment_index,
         "raw_limit": raw_limit,
         "bundle_import": bundle_import,
+        "bundle_frames": bundle_frames,
+        "bundle_sessions": bundle_sessions,
         "attribute_maps": attribute_maps,
         "span_json": span_json,
         "audit_percentages": audit_percentages,
-        "seeded_facts": seeded_facts,
         "m1_end_reason_by_version": m1,
         "m2_hold_time_by_version": lambda s, d: marts.hold_time_by_version(_spans(s, d)),
         "m2b_hold_time_by_day": lambda s, d: marts.hold_time_by_day(_spans(s, d)),

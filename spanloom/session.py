@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +44,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz}) if ntz else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session. Only a local master may go without: it gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = "file://" + tempfile.mkdtemp(prefix="spanloom-")
+    return _local[app]
+
+
+_local: dict[str, str] = {}
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` from Parquet in the shared folder, and the path there: a lost executor costs no recomputation above it."""
+    spark, schema = df.sparkSession, df.schema
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop's store of a path, the path in it)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder once nothing reads it any more."""
+    store, p = file_system(spark, path)
+    store.delete(p, True)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.archive import Archive
-from ..operators.dedup import ExtractConfig, chunks_of, candidates, new_chunks, refs_of, restore, with_texts
+from ..operators.dedup import ExtractConfig, candidates, chunks_named, chunks_of, once_a_partition, refs_of, restore, with_texts
 from ..sources import thin
 
 Processor = Callable[[DataFrame], dict[str, DataFrame]]
@@ -68,23 +68,50 @@ def run_stream(lines: DataFrame, processor: Processor, sink: Tables, checkpoint:
     return _start(lines, each, checkpoint, every)
 
 
-def run_dedup(spans: DataFrame, sink: Tables, checkpoint: str, kind: str = "wholefield", config: ExtractConfig = ExtractConfig(), every: str | None = None) -> StreamingQuery:
-    """Raw spans to chunks and thin spans. One writer: chunks of a batch are stored before the spans that point to them."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def run_dedup(spans: DataFrame, sink: Tables, checkpoint: str, kind: str = "wholefield", config: ExtractConfig = ExtractConfig(), every: str | None = None, known: DataFrame | None = None) -> StreamingQuery:
+    """Raw spans to chunks and thin spans; chunks of a batch are stored before the spans that point to them.
+
+    Which hashes are stored is the stream's own state, by hash, in RocksDB and the checkpoint: a batch reads no chunk or hash of an earlier one. Only hashes
+    go through the state, once from each partition. A replayed batch finds the state that it began with. ``known``: ``hash`` of chunks
+    that are stored elsewhere. The spans of ``otlp.decode_all`` bring bad messages along, which go to ``quarantine``; these two branches of
+    the stream each decode. ``metrics.DedupMetrics`` reads the counters that the plan takes on its way.
+    """
+    spark = spans.sparkSession
+    chunks = chunks_of(candidates(spans, config), kind).select("hash", "pos", F.octet_length("data").cast("long").alias("len"))
+    chunks = chunks.observe("chunks", F.count("*").alias("chunks"), F.count_if(F.col("pos") == 0).alias("candidates"), F.sum("len").alias("content_bytes"))
+    fresh = once_a_partition(chunks).dropDuplicates(["hash"])
+    if known is not None:
+        fresh = fresh.join(known.select("hash"), "hash", "left_anti")
+    fresh = fresh.observe("fresh", F.count("*").alias("misses"), F.sum("len").alias("stored_bytes"))
+    good = F.col("bad").isNull() if "bad" in spans.columns else F.lit(True)
+    counted = spans.observe("spans", F.count_if(good).alias("spans"), F.count_if(~good).alias("bad"))
+    whole = counted.select(F.struct(*spans.columns).alias("span"), F.lit(None).cast("string").alias("hash"))
+    rows = whole.unionByName(fresh.select(F.lit(None).cast(whole.schema["span"].dataType).alias("span"), "hash"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            chunks = chunks_of(candidates(batch, config), kind).persist()
-            # A replayed batch must not take its own first attempt for known chunks.
-            store = sink.read("chunks").filter(F.col("batch_id") != batch_id) if sink.exists("chunks") else None
-            sink.write("chunks", new_chunks(chunks, store), batch_id)
-            lean = with_texts(batch, refs_of(chunks).withColumnRenamed("ref", "text"))
+            own = batch.filter("span IS NOT NULL").select("span.*")
+            if "bad" in own.columns:
+                sink.write("quarantine", own.filter("bad IS NOT NULL").select(F.col("bad").alias("value"), "seq"), batch_id)
+                own = own.filter("bad IS NULL").drop("bad")
+            chunks = chunks_of(candidates(own, config), kind)
+            sink.write("chunks", chunks_named(chunks, batch.filter("hash IS NOT NULL")), batch_id)
+            lean = with_texts(own, refs_of(chunks).withColumnRenamed("ref", "text"))
             sink.write("thin", thin.encode(lean), batch_id)
-            chunks.unpersist()
         finally:
             batch.unpersist()
 
-    return _start(spans, each, checkpoint, every)
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # a query keeps the settings that it starts with
+    try:
+        return _start(rows, each, checkpoint, every)
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
 
 def run_archive(lines: DataFrame, archive: Archive, checkpoint: str, every: str | None = None) -> StreamingQuery:
