@@ -177,6 +177,14 @@ def meter(found: DataFrame, kind: str) -> DataFrame:
     return out.select(F.lit(kind).alias("chunker"), "*", saved.alias("saved_bytes"), F.coalesce(F.try_divide(saved * 100.0, F.col("content_bytes")), F.lit(0.0)).alias("saved_pct"))
 
 
+def compare(base: DataFrame, *others: DataFrame) -> DataFrame:
+    """Rows of ``meter``, each with ``delta_bytes``: what it saves beyond the first."""
+    rows = base
+    for o in others:
+        rows = rows.unionByName(o)
+    return rows.crossJoin(F.broadcast(base.select(F.col("saved_bytes").alias("_base")))).withColumn("delta_bytes", F.col("saved_bytes") - F.col("_base")).drop("_base")  # one row each
+
+
 def first_seen(chunks: DataFrame, store: DataFrame | None = None) -> DataFrame:
     """Hit or miss of each chunk, by ``PLACE, pos, hash, len``: a miss is the first of a hash, in order of arrival, that the store lacks.
 

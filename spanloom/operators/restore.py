@@ -11,6 +11,7 @@ from ..functions import attrs as A
 from .archive import Archive
 from .dedup import ref_places, resolved, restore, with_texts
 from .latest import latest
+from .running import running
 
 KEY = ("trace_id", "span_id")
 
@@ -44,11 +45,27 @@ def verify(frames: DataFrame, spans: DataFrame, store: DataFrame, sample: int =
     )
 
 
-def regrouped(spans: DataFrame) -> DataFrame:
-    """``service, scopes``: spans nested under scope and service, as exporters send them."""
+#: Spans of a request at most, as collectors batch them. A fixed value.
+REQUEST_SPANS = 512
+
+
+def regrouped(spans: DataFrame, most: int = REQUEST_SPANS) -> DataFrame:
+    """``service, scope, part, resource, scope_full, spans``: requests of at most ``most`` spans of one service and scope, in order of arrival.
+
+    Spans are numbered by a running count over ranges, so a service that sends a third of them all is cut like any other, and no task gathers it.
+    """
+    if most < 1:
+        raise ValueError("a request holds one span at least")
+    numbered, _ = running(spans, ["service", "scope"], ["seq", "trace_id", "span_id"], {"_nth": F.lit(1)})
     span = F.struct("seq", *[c for c in spans.columns if c not in ("service", "scope", "resource", "scope_full", "seq")])
-    scopes = spans.groupBy("service", "scope").agg(F.first("resource").alias("resource"), F.first("scope_full").alias("scope_full"), F.sort_array(F.collect_list(span)).alias("spans"))
-    return scopes.groupBy("service").agg(F.first("resource").alias("resource"), F.sort_array(F.collect_list(F.struct("scope", "scope_full", "spans"))).alias("scopes"))
+    part = F.floor(F.col("_nth") / most).cast("long").alias("part")
+    return numbered.groupBy("service", "scope", part).agg(F.first("resource").alias("resource"), F.first("scope_full").alias("scope_full"), F.sort_array(F.collect_list(span)).alias("spans"))
+
+
+def deletion_plan(verified: DataFrame, project: str, frm: datetime, to: datetime) -> DataFrame:
+    """verified: of ``verify``. What may be deleted at the source: one row for a window that has passed, none for another."""
+    iso = lambda t: F.lit(t.isoformat())
+    return verified.filter("ok").select(F.lit(project).alias("project"), iso(frm).alias("from"), iso(to).alias("to"), "traces", "bundles", "bytes")
 
 
 def as_json(spans: DataFrame) -> DataFrame:

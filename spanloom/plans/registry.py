@@ -108,9 +108,14 @@ def fastcdc_restore_equal(spark, d):
 
 
 def chunker_report(spark, d):
-    """Whole fields against content-defined chunks on long histories, where only the latter save."""
+    """Whole fields against content-defined chunks on long histories, where only the latter save; ``delta_bytes``: what they save beyond whole fields."""
     long = dedup.candidates(_padded(conversation_spans(spark, d)))
-    return dedup.meter(long, "wholefield").unionByName(dedup.meter(long, "fastcdc"))
+    return dedup.compare(dedup.meter(long, "wholefield"), dedup.meter(long, "fastcdc"))
+
+
+def chunker_report_wholefield(spark, d):
+    """The report's row of whole fields alone, which SQL can tell."""
+    return dedup.meter(dedup.candidates(_padded(conversation_spans(spark, d))), "wholefield")
 
 
 def _padded(spans: DataFrame, turn_bytes: int = 2500) -> DataFrame:
@@ -197,8 +202,27 @@ def table_counts_union(spark, d):
 
 
 def regroup_export(spark, d):
-    r = restore.regrouped(document_spans(spark, d))
-    return r.select("service", F.explode("scopes").alias("s")).select("service", "s.scope", F.size("s.spans").cast("long").alias("spans"))
+    """Requests for export: how many spans of a service and scope each holds, and that a span comes in one."""
+    r = restore.regrouped(document_spans(spark, d), most=100)
+    s = F.transform("spans", lambda x: x["span_id"])
+    return r.select("service", "scope", "part", F.size("spans").cast("long").alias("spans"), F.sha2(F.array_join(s, ","), 256).alias("span_ids_sha"))
+
+
+def compacted_spans(spark, d):
+    """Facts that came in four batches: two compacted, one compacted on top, one fresh; the latest row of each key."""
+    tables, rows = runner.Tables(spark, scratch(spark)), event_facts(spark, d)
+    for k in range(4):
+        tables.write(TF_SPANS.name, rows.filter((F.col("seq") + F.col("inserted_at")) % 4 == k), k)
+        if k in (1, 2):
+            tables.compact(TF_SPANS)
+    return tables.read_latest(TF_SPANS).select("session_id", _millis("ts").alias("ts_ms"), "span_id", "latency_ms", "inserted_at")
+
+
+def retention_plan(spark, d):
+    """What a window whose traces restore lets go at the source."""
+    lean, chunks = dedup.thin(conversation_spans(spark, d), config=dedup.ExtractConfig(min_size=64))
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    return restore.deletion_plan(restore.verify(archive.frames(lean), lean, chunks), "dialogs", at, at).drop("bytes")
 
 
 def _brief(spans: DataFrame) -> DataFrame:
@@ -439,6 +463,7 @@ def queries() -> dict[str, Query]:
         "fastcdc_meter": lambda s, d: dedup.meter(document_values(s, d), "fastcdc"),
         "fastcdc_restore_equal": fastcdc_restore_equal,
         "chunker_report": chunker_report,
+        "chunker_report_wholefield": chunker_report_wholefield,
         "dialog_messages": dialog_messages,
         "dialog_turns": dialog_turns,
         "end_reason": end_reason,
@@ -456,6 +481,8 @@ def queries() -> dict[str, Query]:
         "index_inspect": lambda s, d: audit.index_inspect(_frames(s, d)),
         "table_counts_union": table_counts_union,
         "regroup_export": regroup_export,
+        "compacted_spans": compacted_spans,
+        "retention_plan": retention_plan,
         "thin_roundtrip": thin_roundtrip,
         "otlp_roundtrip": otlp_roundtrip,
         "late_span_hours": late_span_hours,

@@ -9,43 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.archive import Archive
 from ..operators.dedup import ExtractConfig, candidates, chunks_named, chunks_of, once_a_partition, refs_of, restore, with_texts
 from ..sources import thin
+from .tables import Tables as Tables
 
 Processor = Callable[[DataFrame], dict[str, DataFrame]]
 
 
-class Tables:
-    """Tables in folders under a path."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def write(self, name: str, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={batch_id}")
-
-    def write_all(self, results: dict[str, DataFrame], batch_id: int) -> None:
-        for name in sorted(results):
-            self.write(name, results[name], batch_id)
-
-    def exists(self, name: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def reset(self, name: str) -> None:
-        """Remove a table; only ever on an explicit call."""
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
