@@ -1,6 +1,6 @@
 """What both vector searches share: which vectors take part, cells of bounded size that a query may skip, and the best rows of all.
 
-Vectors are dealt to cells, which a bounded sample lays out; a cell with many rows is dealt on to shards by a hash, so that
+Vectors are dealt once to cells, which a bounded sample lays out, and written with them; a cell with many rows is dealt on to shards by a hash, so that
 a frequent vector spreads. Each query first searches one shard, of the cell that promises most. The kth score found there goes
 with it to all other shards of cells whose bound leaves room for a better one, and to no others.
 """
@@ -108,26 +108,45 @@ def _by_length(b: pa.RecordBatch, at: int) -> Iterator[tuple[int, np.ndarray, np
         yield dim, rows, lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), dim)
 
 
-def lay_out(vectors: DataFrame, make: Callable[[np.ndarray, int], Layout], shape: Callable[[np.ndarray], np.ndarray]) -> Map:
-    """The cells of ``vec_id, v``, with what they hold."""
+def lay_out(vectors: DataFrame, make: Callable[[np.ndarray, int], Layout], shape: Callable[[np.ndarray], np.ndarray]) -> dict[int, Layout]:
+    """Cells by length of vectors, from a sample of ``vec_id, v``. A length that the sample lacks has one cell, around nothing."""
     want = min(MOST_CELLS, max(LEAST_CELLS, math.ceil(4 * vectors.count() / SHARD_ROWS)))
     sample: dict[int, list] = {}
     for r in vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE).select("v").collect():
         sample.setdefault(len(r["v"]), []).append(r["v"])
-    # A length that the sample lacks has one cell, laid out around nothing.
-    m = Map({n: make(shape(np.array(x, float)), want) for n, x in sample.items()})
-    layouts = m.layouts
+    return {n: make(shape(np.array(x, float)), want) for n, x in sample.items()}
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def deal(vectors: DataFrame, layouts: dict[int, Layout], make: Callable[[np.ndarray, int], Layout], shape: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``vec_id, h, v`` with ``dim, cell, extent``. The last bits of a product depend on which rows are multiplied together, so what this gives must be written, not computed again."""
+    names = ["vec_id", "h", "v", "dim", "cell", "extent"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for dim, _, x in _by_length(b, 0):
+            for dim, rows, x in _by_length(b, 2):
                 cell, extent = (layouts.get(dim) or make(shape(np.zeros((1, dim))), 1)).deal(shape(x))
+                yield pa.RecordBatch.from_arrays([*b.take(pa.array(rows)).columns, pa.array(np.full(len(rows), dim), pa.int32()), pa.array(cell, pa.int32()), pa.array(list(extent), pa.list_(pa.float64()))], names=names)
+
+    return in_arrow(vectors, run, "vec_id bigint, h bigint, v array<double>, dim int, cell int, extent array<double>")
+
+
+def measure(dealt: DataFrame, layouts: dict[int, Layout], make: Callable[[np.ndarray, int], Layout], shape: Callable[[np.ndarray], np.ndarray]) -> Map:
+    """What the cells of a written table hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims, cells = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for dim in np.unique(dims).tolist():
+                rows = np.flatnonzero(dims == dim)
+                cell = cells[rows]
+                extent = b.column(2).take(pa.array(rows)).flatten().to_numpy().reshape(len(rows), -1)
                 own = np.unique(cell)
                 most = np.stack([extent[cell == c].max(0) for c in own])
                 yield pa.record_batch({"dim": pa.array(np.full(len(own), dim), pa.int32()), "cell": pa.array(own, pa.int32()), "rows": pa.array(np.bincount(cell)[own], pa.int64()), "extent": pa.array(list(most), pa.list_(pa.float64()))})
 
-    each = in_arrow(vectors.select("v"), measure, "dim int, cell int, rows bigint, extent array<double>").select("dim", "cell", "rows", F.posexplode("extent").alias("i", "x"))
+    each = in_arrow(dealt.select("dim", "cell", "extent"), run, "dim int, cell int, rows bigint, extent array<double>").select("dim", "cell", "rows", F.posexplode("extent").alias("i", "x"))
     each = each.groupBy("dim", "cell", "i").agg(F.sum("rows").alias("rows"), F.max("x").alias("x"))
+    m = Map(dict(layouts))
     for r in each.groupBy("dim", "cell").agg(F.max("rows").alias("rows"), F.sort_array(F.collect_list(F.struct("i", "x"))).alias("e")).collect():  # a row for each cell
         if r["dim"] not in m.layouts:
             m.layouts[r["dim"]] = make(shape(np.zeros((1, r["dim"]))), 1)
@@ -149,11 +168,13 @@ def search_cells(
     vectors: ``vec_id, v``; shape: what layouts see of a vector. A query row that is repeated is searched once and, with ``repeat``, answered as often.
     """
     spark = vectors.sparkSession
-    m = lay_out(vectors, make, shape)
-    shared = spark.sparkContext.broadcast(m)  # bounded by MOST_CELLS
-    better = 1 if best_first else -1
+    layouts = lay_out(vectors, make, shape)
     hashed = F.xxhash64("vec_id", "v")
-    queries = vectors.filter(is_query).groupBy("vec_id", "v").agg(F.count("*").alias("times")).withColumn("h", hashed)
+    dealt = materialize(deal(vectors.select("vec_id", hashed.alias("h"), "v"), layouts, make, shape), "dealt")
+    m = measure(dealt, layouts, make, shape)
+    shared = spark.sparkContext.broadcast(m)  # MOST_CELLS for each length of vectors that there is
+    better = 1 if best_first else -1
+    queries = dealt.filter(is_query).groupBy("vec_id", "v").agg(F.count("*").alias("times")).withColumn("h", hashed)
     names = ["vec_id", "h", "v", "dim", "cell", "shard", "least"]
     kinds = f"vec_id bigint, h bigint, v array<double>, dim int, cell int, shard int, least {score_type}"
 
@@ -161,14 +182,6 @@ def search_cells(
         own = b.take(pa.array(rows))
         return pa.RecordBatch.from_arrays([*own.columns[:3], *(pa.array(x, pa.int32()) for x in (np.full(len(rows), dim), cell, shard)), own.column(3)], names=names)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each vector to its shard."""
-        for b in batches:
-            for dim, rows, x in _by_length(b, 2):
-                cell, _ = shared.value.layouts[dim].deal(shape(x))
-                h = b.column(1).to_numpy()[rows]
-                yield rows_of(b, rows, dim, cell, h % shared.value.shards(dim)[cell])
-
     def homes(m: Map, dim: int, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(promise of each cell, the best of them, and the shard there that a query searches first)."""
         promise = m.layouts[dim].promise(x, m.extents[dim])
@@ -197,7 +210,9 @@ def search_cells(
                     yield rows_of(part, rows[row[on]], dim, cell[on], shard[on])
 
     none = F.lit(None).cast(score_type).alias("least")
-    placed = in_arrow(vectors.select("vec_id", hashed.alias("h"), "v", none), place, kinds)
+    shards = [(dim, int(c), int(n)) for dim in m.rows for c, n in enumerate(m.shards(dim)) if n]
+    shards = F.broadcast(spark.createDataFrame(shards, "dim int, cell int, shards int"))  # a row for each cell
+    placed = dealt.join(shards, ["dim", "cell"]).select("vec_id", "h", "v", "dim", "cell", F.pmod("h", "shards").cast("int").alias("shard"), none)
     key = ["dim", "cell", "shard", "block"]
 
     def meet(asked: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.llm import ball_tree, stable_projection
+from spanloom.llm import vectors as shared
 from spanloom.llm.queries import queries
 from spanloom.session import table
 
@@ -175,3 +176,15 @@ def test_cells_are_left_out():
     for c in range(boxes.cells):
         d = np.sqrt(((q[:, None, :8] - x[None, cell == c, :8]) ** 2).sum(2)).min(1)
         assert (boxes.promise(q[:, :8], extents)[:, c] >= -d / 4 - 1e-9).all()
+
+
+def test_vectors_are_dealt_once(spark, sf, monkeypatch):
+    """Cells, extents and shards come from one written table, whatever batches a later reading makes."""
+    calls = []
+    monkeypatch.setattr(shared, "deal", lambda *a, real=shared.deal: calls.append(1) or real(*a))
+    df = table(spark, sf, "embeddings")
+    want = ball_tree.top_products(df, F.col("vec_id") % 50 == 0).collect()
+    assert len(calls) == 1
+    monkeypatch.setattr(shared, "SHARD_ROWS", 7)  # many shards, and other batches
+    got = ball_tree.top_products(df.repartition(9), F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
