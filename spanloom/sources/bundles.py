@@ -48,8 +48,8 @@ class Written(WriterCommitMessage):
 
 
 class BundleWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, most: int, overwrite: bool) -> None:
-        self.path, self.most, self.overwrite = path.rstrip("/"), most, overwrite
+    def __init__(self, path: str, most: int, overwrite: bool, batch: str = "") -> None:
+        self.path, self.most, self.overwrite, self.batch = path.rstrip("/"), most, overwrite, batch and f"{batch}-"
         self.staging = f"_staging/{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -77,7 +77,7 @@ class BundleWriter(DataSourceArrowWriter):
                 if out is None or (date, hour) != now or size >= self.most:
                     close()
                     now, rows, size = (date, hour), [], 0
-                    name = f"date={date}/hour={hour}/{uuid.uuid4().hex}.jsonl.zst"
+                    name = f"date={date}/hour={hour}/{self.batch}{uuid.uuid4().hex}.jsonl.zst"
                     store.create_dir(posixpath.dirname(f"{base}/{self.staging}/{name}"), recursive=True)
                     out = store.open_output_stream(f"{base}/{self.staging}/{name}", compression=None)
                 rows.append({"trace_id": trace, "session_id": session, "date": date, "hour": hour, "path": name, "offset": size, "len": len(frame)})
@@ -89,7 +89,9 @@ class BundleWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         store, base = _store(self.path)
         made = [name for m in messages if m is not None for name in m.bundles]
-        old = _indexes(self.path) if self.overwrite else []
+        old = _indexes(self.path) if self.overwrite or self.batch else []
+        if not self.overwrite:
+            old = [n for n in old if posixpath.basename(n).startswith(self.batch)]  # a batch that is repeated replaces its files
         for name, index in [(n, False) for n in made] + [(n, True) for n in made]:
             rel = f"index/{name}.parquet" if index else name
             store.create_dir(posixpath.dirname(f"{base}/{rel}"), recursive=True)
@@ -180,7 +182,7 @@ def frames_of(store, base: str, rows: list[dict]) -> Iterator[pa.RecordBatch]:
 
 
 class BundleSource(DataSource):
-    """Options: ``path``, and ``bundleBytes`` for writing."""
+    """Options: ``path``; for writing ``bundleBytes``, and ``batch``, a name whose earlier files are replaced."""
 
     @classmethod
     def name(cls) -> str:
@@ -193,7 +195,7 @@ class BundleSource(DataSource):
         return BundleReader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> BundleWriter:
-        return BundleWriter(self.options["path"], int(self.options.get("bundlebytes", BUNDLE_BYTES)), overwrite)
+        return BundleWriter(self.options["path"], int(self.options.get("bundlebytes", BUNDLE_BYTES)), overwrite, self.options.get("batch", ""))
 
 
 def register(spark: SparkSession) -> None:
@@ -217,11 +219,11 @@ def pack(lines: DataFrame) -> DataFrame:
     return per.select("date", "hour", "trace_id", "session_id", "text").mapInArrow(frame, FRAME)
 
 
-def write(frames: DataFrame, path: str, bundle_bytes: int = BUNDLE_BYTES) -> None:
-    """The frames of ``pack`` as bundles and their index. Hours are dealt by their measured size: a busy one is written by several tasks."""
+def write(frames: DataFrame, path: str, bundle_bytes: int = BUNDLE_BYTES, batch: str = "") -> None:
+    """The frames of ``pack`` as bundles and their index. Hours are dealt by their measured size: a busy one is written by several tasks. ``batch``: writing it again replaces it."""
     register(frames.sparkSession)
     dealt = frames.hint("rebalance", "date", "hour").sortWithinPartitions("date", "hour", "trace_id")
-    dealt.write.format(FORMAT).option("bundleBytes", bundle_bytes).mode("append").save(path)
+    dealt.write.format(FORMAT).option("bundleBytes", bundle_bytes).option("batch", batch).mode("append").save(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

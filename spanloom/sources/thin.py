@@ -119,5 +119,5 @@ def narrow(lines: DataFrame, value: str = "value") -> DataFrame:
     shape = f"struct<span:struct<traceId:string,startTimeUnixNano:string,attributes:{_JSON_ATTRS}>>"
     e = lines.withColumn("e", F.from_json(F.col(value), shape))
     first = F.get(F.filter("e.span.attributes", lambda a: a["key"] == "session.id"), F.lit(0))["value"]["stringValue"]
-    return e.select(_id_in(F.col("e.span.traceId"), 16).alias("trace_id"), F.col("e.span.startTimeUnixNano").cast("bigint").alias("start_ns"), F.coalesce(first, F.lit("")).alias("session_id"), value)
+    return e.select(_id_in(F.col("e.span.traceId"), 16).alias("trace_id"), F.col("e.span.startTimeUnixNano").cast("bigint").alias("start_ns"), F.coalesce(first, F.lit("")).alias("session_id"), *[c for c in lines.columns if c == value or c not in ("trace_id", "start_ns", "session_id")])
 
