@@ -119,3 +119,8 @@ def lower_hex(id_bytes: Column) -> Column:
 
 def is_canonical_trace_id(x: Column) -> Column:
     return x.rlike("^[0-9a-f]{32}$")
+
+
+def short(x: Column, n: int = 8) -> Column:
+    """The first letters of an id, for reports."""
+    return F.left(x, F.lit(n))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import attrs as A
 from ..functions import content as C
 from ..functions import refs
-from ..operators import archive, audit, chunk_store, dedup, dialog, facts, restore
+from ..operators import archive, audit, chunk_store, chunkers, dedup, dialog, facts, restore
 from ..operators.latest import latest_of
 from ..schemas import TF_SPANS, USER_SESSIONS
 from ..session import new_path, table
@@ -68,7 +68,8 @@ def root_user_sessions(spark, d):
 
 
 def span_getters(spark, d):
-    return facts.tf_spans(conversation_spans(spark, d)).select("span_id", "session_id", "version", "model", "latency_ms", "input_tokens", "output_tokens", "finish_reason", "status_code")
+    f = facts.tf_spans(conversation_spans(spark, d))
+    return f.withColumns({"ts": _millis("ts"), "temperature": F.round(F.col("temperature").cast("double"), 2)})
 
 
 def heavy_candidates(spark, d):
@@ -185,7 +186,7 @@ def restore_trace(spark, d):
 
 def retention_verify(spark, d):
     lean, chunks = dedup.thin(conversation_spans(spark, d), config=dedup.ExtractConfig(min_size=64))
-    return restore.verify(archive.frames(lean), lean, chunks).drop("bytes")
+    return restore.verify(archive.frames(lean), lean, chunks).withColumn("bytes", F.col("bytes") > 0)
 
 
 def raw_audit(spark, d):
@@ -341,6 +342,44 @@ def dedup_counters(spark, d):
     return listener.rows(spark)
 
 
+def template_chunks(spark, d):
+    """The template-aware chunker: its pieces of each text, put together again."""
+    c = dedup.chunks_of(document_values(spark, d), "template")
+    joined = F.aggregate(F.sort_array(F.collect_list(F.struct("pos", "data"))), F.lit(b""), lambda a, x: F.concat(a, x["data"]))
+    return c.groupBy("seq").agg(joined.alias("b"), F.count("*").alias("n")).select(F.col("seq").alias("doc_id"), F.sha2("b", 256).alias("sha"), (F.col("n") * chunkers.GearConfig().least <= F.octet_length("b") + chunkers.GearConfig().least).alias("bounded"))
+
+
+def gear_weights(spark, d):
+    """How often each byte of the heavy texts begins one, with its weight in the rolling hash."""
+    first = document_values(spark, d).select(F.hex(F.substring(F.encode("value", "UTF-8"), 1, 1)).alias("byte")).groupBy("byte").agg(F.count("*").alias("texts"))
+    weights = [(f"{i:02X}", f"{int(w):016X}") for i, w in enumerate(chunkers.gear())]
+    return first.join(F.broadcast(spark.createDataFrame(weights, "byte string, weight string")), "byte")  # 256 rows
+
+
+def window_loads(spark, d):
+    """Windows by RFC 3339 bounds: spans of three, the last of them in another zone, in the order of a load."""
+    a = _archived(spark, d)
+    bounds = [("2024-01-03T00:00:00Z", "2024-01-04T00:00:00Z"), ("2024-01-05T00:00:00Z", "2024-01-06T12:30:00Z"), ("2024-01-08T02:00:00+02:00", "2024-01-08T23:59:59.999+00:00")]
+    out = None
+    for i, (frm, to) in enumerate(bounds):
+        got = a.load_range(*archive.parse_window(frm, to)).select(F.lit(i).alias("window"), A.short(F.col("span_id")).alias("span"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def stream_consumers(spark, d):
+    """Two consumers of the same lines, each with a checkpoint of its own, the second after another run of the first: both have every span once."""
+    base = scratch(spark)
+    thin.encode(conversation_spans(spark, d)).select("value", "seq").repartition(2, "seq").write.parquet(f"{base}/lines")
+    stream = lambda: spark.readStream.schema("value string, seq bigint").option("maxFilesPerTrigger", 1).parquet(f"{base}/lines")
+    tables, a = runner.Tables(spark, f"{base}/tables"), archive.Archive(spark, f"{base}/archive")
+    for _ in range(2):  # the second run finds nothing new and its last batch whole
+        runner.run_stream(stream(), facts.fact_processor, tables, f"{base}/c1").awaitTermination()
+    runner.run_archive(stream(), a, f"{base}/c2").awaitTermination()
+    name = lambda df, n: df.select(F.lit(n).alias("consumer"), "span_id")
+    return name(tables.read("tf_spans"), "facts").unionByName(name(a.spans(), "archive"))
+
+
 def raw_quarantine(spark, d):
     """For every document also a message that is no request: good ones become thin lines, bad ones are kept whole."""
     n = F.col("doc_id")
@@ -431,6 +470,10 @@ def queries() -> dict[str, Query]:
         "run_dedup_batches": run_dedup_batches,
         "dedup_counters": dedup_counters,
         "raw_quarantine": raw_quarantine,
+        "template_chunks": template_chunks,
+        "gear_weights": gear_weights,
+        "window_loads": window_loads,
+        "stream_consumers": stream_consumers,
         "cas_point_read": cas_point_read,
         "segment_index": segment_index,
         "raw_limit": raw_limit,
