@@ -43,6 +43,8 @@ from .shingles import mix, sets
 
 #: Counters of the sketch (fixed, whatever the input), its pieces, minhashes.
 SKETCH, PIECES, HASHES = 1 << 20, 64, 4
+#: Tasks that count for the sketch, as each hands on all counters: more splits of the input are read one after another.
+SKETCH_TASKS = 4_096
 #: Rows of one shingle in the index from which on they are dealt to several tasks.
 BLOCK = 256
 _SHIFT = np.uint64(64 - (SKETCH.bit_length() - 1))
@@ -75,7 +77,7 @@ def sketch(docs: DataFrame, k: int) -> np.ndarray:
             yield pa.record_batch({"piece": pa.array(list(sums), pa.int32()), "counts": pa.array([np.frexp(v.astype(float))[1].astype(np.uint8).tobytes() for v in sums.values()], pa.binary())})
 
     kind = "piece int, counts binary"
-    got = in_arrow(in_arrow(docs.select("text"), count, kind).repartition(PIECES, "piece"), add, kind).collect()
+    got = in_arrow(in_arrow(docs.select("text").coalesce(SKETCH_TASKS), count, kind).repartition(PIECES, "piece"), add, kind).collect()
     out = np.zeros(SKETCH, np.uint8)
     for r in got:
         out[r["piece"] * width : (r["piece"] + 1) * width] = np.frombuffer(r["counts"], np.uint8)
@@ -96,7 +98,7 @@ def bitmap(mixed: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, k: int, percent: int, magnitudes: Broadcast) -> DataFrame:
-    """``id, h, n, node, keys, prefix, edits, bits`` of every document; equal sets have equal nodes.
+    """``id, h, n, node, set, keys, prefix, edits, bits`` of every document; ``set`` are two hashes and the size of a set, ``node`` a hash of these.
 
     ``edits`` is low for a set of frequent shingles.
     """
@@ -124,7 +126,25 @@ def profiles(docs: DataFrame, k: int, percent: int, magnitudes: Broadcast) -> Da
                 )
 
     out = in_arrow(docs.select("id", "h", "text"), run, "id bigint, h bigint, n int, sig_a bigint, sig_b bigint, keys array<bigint>, prefix binary, edits double, bits array<bigint>")
-    return out.withColumn("node", F.xxhash64("sig_a", "sig_b", "n")).drop("sig_a", "sig_b")
+    return out.withColumns({"node": F.xxhash64("sig_a", "sig_b", "n"), "set": F.struct("sig_a", "sig_b", "n")}).drop("sig_a", "sig_b")
+
+
+def sets_of(rows: DataFrame, scratch: Scratch, kept: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``rows`` of ``profiles`` in which unlike sets have unlike nodes, and ``node, id, h, copies`` of the row that each set is read from.
+
+    Among 1e10 sets two or three pairs share a hash of 64 bits; what ``set`` tells apart gets another node, until none is shared.
+    """
+    salt = 0
+    while True:
+        each = rows.filter("n > 0").groupBy("node", "set", "id", "h").agg(F.count("*").alias("copies"))
+        same = each.groupBy("node").agg(F.min(F.struct("id", "h", "copies")).alias("m"), F.min("set").alias("lo"), F.max("set").alias("hi"))
+        same = materialize(same.select("node", "m.*", (F.col("lo") != F.col("hi")).alias("shared")), "same_sets", scratch)
+        shared = same.filter("shared").select("node", F.lit(True).alias("shared"))
+        if shared.isEmpty():
+            return rows, same.drop("shared")
+        salt += 1
+        node = F.when(F.col("shared"), F.xxhash64("set.sig_a", "set.sig_b", "set.n", F.lit(salt))).otherwise(F.col("node"))
+        rows = materialize(rows.join(small_or_shuffled(shared, "shared_nodes", scratch), "node", "left").withColumn("node", node).drop("shared"), "profiles", kept)
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, same: DataFrame, repeated: bool, k: int, scratch: Scratch) -> DataFrame:
@@ -282,8 +302,7 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
     docs = docs.select(_known(docs[id_col]).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
     rows = materialize(profiles(docs, k, percent, magnitudes), "profiles", kept)
-    each = rows.filter("n > 0").groupBy("node", "id", "h").agg(F.count("*").alias("copies"))
-    same = materialize(each.groupBy("node").agg(F.min(F.struct("id", "h", "copies")).alias("m")).select("node", "m.*"), "same_sets", scratch)
+    rows, same = sets_of(rows, scratch, kept)
     repeated = same.filter("copies > 1").limit(1).count() > 0
     reps = rows.join(same.select("node", "id", "h"), ["node", "id", "h"], "left_semi")
     reps = reps.groupBy("node").agg(F.min(F.struct("n", "keys", "prefix", "edits", "bits")).alias("m")).select("node", "m.*")

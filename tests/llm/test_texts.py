@@ -301,6 +301,15 @@ def test_repeated_and_null_ids(spark):
     assert [tuple(r) for r in prefix_join.keep_first(df, 4, 85).orderBy("doc_id").collect()] == [(None, None), (1, "a b c d e")]
 
 
+def test_sets_that_share_a_node_are_told_apart(spark, monkeypatch):
+    """With nodes of two bits all sets clash; their two hashes and size keep them apart."""
+    plain, few = prefix_join.profiles, near_copies()[:60]
+    monkeypatch.setattr(prefix_join, "profiles", lambda *a: plain(*a).withColumn("node", F.col("node") % 2))
+    texts = dict(enumerate(few))
+    got = prefix_join.link_components(docs(spark, few).repartition(3), 4, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(texts, 4, 85)
+
+
 def test_one_row_of_each_group_stays(spark):
     text, other = "one two three four five six seven", "some quite different words stand in this text here"
     rows = [(1, text, "x")] * 50 + [(None, text, "x")] * 30 + [(2, text, "x")]
