@@ -428,8 +428,9 @@ def bundle_import(spark, d):
 
 
 def bundle_frames(spark, d):
-    """A day's frames of two hours by their places in the bundles; the day and hours leave other bundles out before a task starts."""
-    lines = bundles.read(spark, _bundled(spark, d)).filter(F.col("date").isin("2024-01-05", "2024-01-06") & F.col("hour").isin(3, 4, 5, 6))
+    """The frames of a week's mornings by their places in the bundles; days and hours leave other bundles out before a task starts."""
+    days = [f"2024-01-{n:02d}" for n in range(5, 12)]
+    lines = bundles.read(spark, _bundled(spark, d)).filter(F.col("date").isin(days) & F.col("hour").isin(*range(12)))
     return _brief(thin.decode(lines.select("value", "seq")))
 
 
