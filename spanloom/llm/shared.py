@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,37 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a local master may go without: it gets a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = "file://" + tempfile.mkdtemp(prefix="spanloom-")
-    return _local[app]
-
-
-_local: dict[str, str] = {}
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``df`` from Parquet in the shared folder, and the path there: a lost executor costs no recomputation above it."""
-    spark, schema = df.sparkSession, df.schema
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path), path
+from spanloom.session import drop_path as drop_path
+from spanloom.session import file_system
+from spanloom.session import new_path as new_path
+from spanloom.session import written as written
 
 
 def materialize(df: DataFrame, label: str, scratch: Scratch | None = None) -> DataFrame:
-    """The same without the path, which ``scratch`` keeps until it is cleared."""
+    """``df`` from Parquet in the shared folder, whose path ``scratch`` keeps until it is cleared."""
     out, path = written(df, label)
     if scratch is not None:
         scratch.paths.append(path)
@@ -60,13 +35,6 @@ class Scratch:
             drop_path(self.spark, self.paths.pop())
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a table of the shared folder once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 #: Rows of a table of ids or the like that may be broadcast, and bytes of its files; larger ones are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 16 << 20
 
@@ -77,8 +45,8 @@ def small_or_shuffled(df: DataFrame, label: str, scratch: Scratch | None = None)
     df, path = written(df, label)
     if scratch is not None:
         scratch.paths.append(path)
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    store, p = file_system(spark, path)
+    size = store.getContentSummary(p).getLength()
     return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS else df
 
 
