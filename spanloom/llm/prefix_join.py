@@ -28,7 +28,8 @@ Texts are read whole. Other columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,10 @@ from .shingles import mix, sets
 SKETCH, PIECES, HASHES = 1 << 20, 64, 4
 #: Tasks that count for the sketch, as each hands on all counters: more splits of the input are read one after another.
 SKETCH_TASKS = 4_096
-#: Rows of one shingle in the index from which on they are dealt to several tasks.
-BLOCK = 256
+#: Rows of one shingle in the index from which on they are dealt to several tasks. Each row then moves once for every block, so small blocks cost disk.
+BLOCK = 4_096
+#: Rows of the index that are shuffled at once, about 1 GB; of a larger one, slices of its shingles follow one another.
+SLICE_ROWS = 1 << 24
 _SHIFT = np.uint64(64 - (SKETCH.bit_length() - 1))
 
 
@@ -298,7 +301,7 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
 
     ``kept`` gets the tables that the result reads; all others are deleted.
     """
-    scratch, block = Scratch(docs.sparkSession), BLOCK
+    scratch, block, slice_rows = Scratch(docs.sparkSession), BLOCK, SLICE_ROWS
     docs = docs.select(_known(docs[id_col]).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     magnitudes = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
     rows = materialize(profiles(docs, k, percent, magnitudes), "profiles", kept)
@@ -323,15 +326,18 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
     groups = materialize(groups.join(members.select(F.col("node").alias("g"), "bits"), "g"), "groups", scratch)
 
     # Prefix shingles of groups; those of followers are added up before they move.
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokens(batches: Iterator[pa.RecordBatch], part: int, parts: int) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = [np.frombuffer(x.as_buffer(), "<i8") for x in b.column(2)]
             each = np.array([len(x) for x in t], np.int64)
             row = np.repeat(np.arange(len(t)), each)
             pos = np.arange(len(row)) - (np.cumsum(each) - each)[row]
+            token = np.concatenate([*t, np.zeros(0, np.int64)])
+            here = np.flatnonzero((token & (parts - 1)) == part)
+            token, row, pos = token[here], row[here], pos[here]
             n = pa.array(b.column(1).to_numpy()[row])
             bits = b.column(3).flatten().to_numpy().reshape(-1, 4)[row]
-            yield pa.record_batch({"token": pa.array(np.concatenate([*t, np.zeros(0, np.int64)])), "g": pa.array(b.column(0).to_numpy()[row]), "pos": pa.array(pos, pa.int32()), "lo": n, "hi": n, **{f"b{i}": pa.array(bits[:, i]) for i in range(4)}})
+            yield pa.record_batch({"token": pa.array(token), "g": pa.array(b.column(0).to_numpy()[row]), "pos": pa.array(pos, pa.int32()), "lo": n, "hi": n, **{f"b{i}": pa.array(bits[:, i]) for i in range(4)}})
 
     bitmaps = [f"b{i}" for i in range(4)]
     columns = ["token", "g", "pos", "lo", "hi", "slack", *bitmaps, "own"]
@@ -351,12 +357,23 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
         c = c.groupBy("token").agg(F.sum("c").alias("c")).filter(F.col("c") > block)
         return small_or_shuffled(c.select("token", F.ceil(F.col("c") / block).cast("int").alias("blocks")), "hot_tokens", scratch)
 
-    def index(m: DataFrame) -> DataFrame:
-        """m: ``g, n, prefix, bits``."""
+    def index(m: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+        """m: ``g, n, prefix, bits``. One of ``parts`` slices by shingle, a power of two."""
         kinds = "token bigint, g bigint, pos int, lo int, hi int, " + ", ".join(f"{b} bigint" for b in bitmaps)
-        return in_arrow(m.select("g", "n", "prefix", "bits"), tokens, kinds)
+        return in_arrow(m.select("g", "n", "prefix", "bits"), lambda it: tokens(it, part, parts), kinds)
 
-    def found_pairs(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    def slices(m: DataFrame, hot: DataFrame, more: DataFrame | None = None) -> int:
+        """How many slices keep the shuffled rows of an index below ``SLICE_ROWS``, with the copies of hot rows."""
+        n = m.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()[0] // 8 + (more.count() if more is not None else 0)
+        n += block * hot.agg(F.coalesce(F.sum(F.col("blocks").cast("long") * (F.col("blocks") - 1)), F.lit(0))).first()[0]
+        return 1 << max(0, -(-n // slice_rows) - 1).bit_length()
+
+    def found_pairs(rows: Callable[[int, int], DataFrame], hot: DataFrame, parts: int, label: str) -> DataFrame:
+        """rows: the index, by slice. Each slice's pairs are written, which lets its shuffle files go before the next one's come."""
+        each = [materialize(_sliced_pairs(rows(i, parts), hot), label, scratch) for i in range(parts)]
+        return each[0] if parts == 1 else materialize(reduce(DataFrame.unionByName, each).distinct(), label, scratch)
+
+    def _sliced_pairs(rows: DataFrame, hot: DataFrame) -> DataFrame:
         """A row of a hot shingle goes to the pairs that its block forms with each block."""
         r = rows.select(columns).join(hot, "token", "left").withColumn("b", F.pmod(F.xxhash64("g"), F.coalesce("blocks", F.lit(1))))
         r = r.withColumn("j", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
@@ -365,11 +382,17 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
         spread = r.select(run, *columns[1:], side).repartition("run").sortWithinPartitions("run")
         return in_arrow(spread, lambda it: _runs(it, percent), "x bigint, y bigint").distinct()
 
-    one = index(members.filter("NOT led")).withColumns({"slack": F.lit(0).cast("long"), "own": F.col("g")})
+    alone = members.filter("NOT led")
     many = index(members.filter("led")).groupBy("token", "g").agg(F.min("pos").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     many = many.join(groups.select("g", "slack", *[F.get("bits", F.lit(i)).alias(b) for i, b in enumerate(bitmaps)]), "g").withColumn("own", F.col("g"))
     many = materialize(many.select(columns), "group_tokens", scratch)
-    pairs = materialize(found_pairs(one.select(columns).unionByName(many), hot_tokens(members.filter("NOT led"), many)), "group_pairs", scratch)
+    hot = hot_tokens(alone, many)
+
+    def of_groups(part: int, parts: int) -> DataFrame:
+        one = index(alone, part, parts).withColumns({"slack": F.lit(0).cast("long"), "own": F.col("g")})
+        return one.select(columns).unionByName(many.filter(F.col("token").bitwiseAND(F.lit(parts - 1)) == part))
+
+    pairs = found_pairs(of_groups, hot, slices(alone, hot, many), "group_pairs")
 
     # The leaders' exact distance decides, or leaves the pair open for its members.
     limit = (100 - percent) / 100
@@ -388,8 +411,13 @@ def _linked(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, k
         both = F.explode(F.array("x", "y")).alias("g")
         m = materialize(members.join(open_pairs.select(both).distinct(), "g", "left_semi"), "open_members", scratch)
         of = m.select("node", "g")
-        each = index(m.select(F.col("node").alias("g"), "n", "prefix", "bits")).withColumn("slack", F.lit(0).cast("long"))
-        near_members = found_pairs(each.join(of.select(F.col("node").alias("g"), F.col("g").alias("own")), "g"), hot_tokens(m))
+        hot = hot_tokens(m)
+
+        def of_members(part: int, parts: int) -> DataFrame:
+            each = index(m.select(F.col("node").alias("g"), "n", "prefix", "bits"), part, parts).withColumn("slack", F.lit(0).cast("long"))
+            return each.join(of.select(F.col("node").alias("g"), F.col("g").alias("own")), "g")
+
+        near_members = found_pairs(of_members, hot, slices(m, hot), "member_pairs")
         named = near_members.join(of.select(F.col("node").alias("x"), F.col("g").alias("gx")), "x").join(of.select(F.col("node").alias("y"), F.col("g").alias("gy")), "y")
         opened = open_pairs.select(F.least("x", "y").alias("ga"), F.greatest("x", "y").alias("gb"))
         wide = named.withColumns({"ga": F.least("gx", "gy"), "gb": F.greatest("gx", "gy")}).join(opened, ["ga", "gb"], "left_semi")
