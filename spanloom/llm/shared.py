@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 
 from spanloom.session import drop_path as drop_path
 from spanloom.session import file_system
+from spanloom.session import give_back as give_back
+from spanloom.session import in_arrow as in_arrow
 from spanloom.session import new_path as new_path
 from spanloom.session import written as written
 
@@ -61,31 +62,3 @@ def keep_rows(docs: DataFrame, judge: Callable[[list[str]], np.ndarray], text_co
                 yield part.filter(pa.array(judge([t or "" for t in part.column(at).to_pylist()]), pa.bool_()))
 
     return in_arrow(docs, run, docs.schema)
-
-
-#: Rows, and bytes about, that Spark hands to a Python worker at once: the usual ten thousand rows or 64 MB of long texts, which
-#: the JVM, Arrow and the worker each hold a copy of, are too much for a small executor.
-BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
-
-
-def give_back() -> None:
-    """Return freed memory to the system, so that a worker that goes on to the next task starts small."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except (OSError, AttributeError):  # another C library, which has no such call
-        pass
-
-
-def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with modest batches, by workers that give memory back at the end of a partition."""
-
-    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            give_back()
-
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(lean, schema)
