@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import pyarrow as pa
 from conftest import kvs, span
 from pyspark.sql import functions as F
 
@@ -64,3 +65,34 @@ def test_quiet_hours_share_folders(spark, spans_df, tmp_path):
     assert len(list(Path(tmp_path).rglob("index/**/*.parquet"))) == 3, "one file a date, however many tasks"
     assert sorted((r["date"].day, r["hour"]) for r in a.spans().collect()) == [(d, h) for d in (1, 2, 3) for h in range(24)]
     assert a.load_trace(f"{30:032x}").first()["hour"] == 6 and a.spans().columns == [*spans_df([]).columns, "hour", "date", "batch_id"]
+
+
+def test_texts_move_once_to_their_spans(spark, spans_df, tmp_path):
+    """Shuffles of a restore: references, chunks, texts by span, spans."""
+    lean, chunks = dedup.thin(heavy(spans_df).filter("seq IS NOT NULL"), "fastcdc")
+    lean.write.parquet(f"file://{tmp_path}/lean")
+    chunks.write.parquet(f"file://{tmp_path}/chunks")
+    read = spark.read.parquet
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = dedup.restore(read(f"file://{tmp_path}/lean"), read(f"file://{tmp_path}/chunks"))
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    key = lambda df: sorted(map(str, df.filter("seq IS NOT NULL").collect()))
+    assert key(got) == key(heavy(spans_df))
+
+
+def test_rows_of_a_batch_are_those_of_arrow(spans_df):
+    value = {"s": "é", "i": 1, "d": 0.5, "b": True, "a": ["x", None], "x": None}
+    odd = [None, [], [{"key": "k", "value": None}, {"key": None, "value": value}, None], [{"key": "l", "value": value | {"a": []}}]]
+    kind = otlp._schema().field("attributes").type
+    for x in (pa.array(odd * 3, kind), pa.array([{"a": o, "n": i} if i % 3 else None for i, o in enumerate(odd * 3)], pa.struct([("a", kind), ("n", pa.int64())]))):
+        for part in (x, x.slice(2), x.slice(3, 5), x.slice(4, 1), x.slice(4, 0)):
+            assert otlp.as_rows(part) == part.to_pylist()
+
+
+def test_only_unknown_fields_are_the_rest_of_a_span():
+    span_class = type(otlp.request_class()().resource_spans.add().scope_spans.add().spans.add())
+    known, unknown = span_class(name="n"), span_class.FromString(b"\x2a\x01n\xa2\x06\x03abc")
+    assert otlp._rest(known) == b"" and otlp._rest(unknown) == b"\xa2\x06\x03abc"
