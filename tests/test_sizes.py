@@ -10,6 +10,7 @@ from spanloom.operators import archive, dedup
 from spanloom.plans import registry
 from spanloom.session import BATCH_BYTES
 from spanloom.sources import otlp
+from spanloom.streaming import runner
 
 BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -43,6 +44,24 @@ def test_messages_land_without_a_task_that_gathers_a_batch(spark, spans_df, tmp_
     assert len(seen) == 2 and sorted(sum(seen, [])) == list(range(13))
 
 
+def test_a_task_of_a_batch_reads_a_bounded_part(spark, spans_df, tmp_path, monkeypatch):
+    """Neither files nor row groups make a task's part of the kept batch grow with the table."""
+    monkeypatch.setattr(runner, "FILE_BYTES", 1 << 20)
+    monkeypatch.setattr(registry, "LANDED_GROUP", 1 << 20)
+    rows = spark.range(0, 400, 1, 2).select(F.encode(F.expr("array_join(transform(sequence(1, 500), i -> sha2(concat(id, '-', i), 256)), '')"), "UTF-8").alias("value"), F.col("id").alias("seq"))
+    where, most = registry._landed(rows, f"file://{tmp_path}/raw", 1)
+    before = spark.conf.get(runner.FILE_SETTING)
+    sizes, stream = [], spark.readStream.schema("value binary, seq bigint").option("maxFilesPerTrigger", most).parquet(where)
+    try:
+        runner._start(stream, lambda b, i: sizes.extend(r["n"] for r in b.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("value")).alias("n")).collect()), f"file://{tmp_path}/c", None).awaitTermination()
+        assert sum(sizes) == 400 * 32_000 and max(sizes) <= 4 << 20, sizes
+        spark.conf.set(runner.FILE_SETTING, "64k")
+        runner._start(stream, lambda b, i: None, f"file://{tmp_path}/c2", None).awaitTermination()
+        assert spark.conf.get(runner.FILE_SETTING) == "64k", "a smaller bound stays"
+    finally:
+        spark.conf.set(runner.FILE_SETTING, before)
+
+
 def test_workers_of_messages_get_modest_batches(spark, spans_df):
     for plan in (otlp.encode, lambda s: otlp.decode(s.select(F.lit(b"").alias("value"), "seq")), lambda s: dedup.chunks_of(dedup.candidates(s), "fastcdc")):
         spark.conf.set(BYTES, str(64 << 20))
