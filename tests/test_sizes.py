@@ -3,13 +3,15 @@
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from conftest import kvs, span
 from pyspark.sql import functions as F
 
 from spanloom.operators import archive, dedup
 from spanloom.plans import registry
-from spanloom.session import BATCH_BYTES
-from spanloom.sources import otlp
+from spanloom.session import BATCH_BYTES, kept
+from spanloom.sources import otlp, thin
+from spanloom.sources.adapters import as_spans, kv
 from spanloom.streaming import runner
 
 BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -62,6 +64,36 @@ def test_a_task_of_a_batch_reads_a_bounded_part(spark, spans_df, tmp_path, monke
         spark.conf.set(runner.FILE_SETTING, before)
 
 
+def test_long_rows_after_short_ones_end_a_row_group_in_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "LANDED_GROUP", 1 << 20)
+    text = "array_join(transform(sequence(1, IF(id < 9000, 1, 500)), i -> sha2(concat(id, '-', i), 256)), '')"
+    registry._landed(spark.range(0, 9400, 1, 1).select(F.expr(text).alias("value"), F.col("id").alias("seq")), f"file://{tmp_path}/raw", 1)
+    metas = [pq.read_metadata(p) for p in Path(tmp_path, "raw").rglob("*.parquet")]
+    sizes = [m.row_group(i).total_byte_size for m in metas for i in range(m.num_row_groups)]
+    assert sum(m.num_rows for m in metas) == 9400 and sum(sizes) > 13_000_000 and max(sizes) <= 2 << 20, sizes
+
+
+def test_a_task_of_a_consumer_keeps_a_bounded_part_of_the_lines(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(runner, "LINE_BYTES", 1 << 20)
+    monkeypatch.setattr(registry, "LANDED_GROUP", 1 << 20)
+    text = F.expr("array_join(transform(sequence(1, 500), i -> sha2(concat(id, '-', i), 256)), '')")
+    hexed = lambda n: F.lpad(F.hex("id"), n, "0")
+    spans = as_spans(spark.range(0, 400, 1, 1).select(hexed(32).alias("trace_id"), hexed(16).alias("span_id"), F.lit(0).alias("start_ns"), F.lit(1).alias("end_ns"), F.array(kv("note", "s", text)).alias("attributes"), F.col("id").alias("seq")))
+    where, most = registry._landed(thin.encode(spans).select("value", "seq"), f"file://{tmp_path}/lines", 1)
+    sizes, before = [], spark.conf.get(runner.FILE_SETTING)
+
+    def processor(spans):
+        sizes.extend(r["n"] for r in spans.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length(F.col("attributes")[0]["value"]["s"])).alias("n")).collect())
+        return {}
+
+    with kept(spark, runner.FILE_SETTING):
+        stream = spark.readStream.schema("value string, seq bigint").option("maxFilesPerTrigger", most).parquet(where)
+        runner.run_stream(stream, processor, runner.Tables(spark, f"file://{tmp_path}/t"), f"file://{tmp_path}/c").awaitTermination()
+    assert sum(sizes) == 400 * 32_000 and max(sizes) <= 5 << 19, sizes
+    registry.stream_facts_equal_batch(spark, sf)
+    assert spark.conf.get(runner.FILE_SETTING) == before, "other queries read files as before"
+
+
 def test_workers_of_messages_get_modest_batches(spark, spans_df):
     for plan in (otlp.encode, lambda s: otlp.decode(s.select(F.lit(b"").alias("value"), "seq")), lambda s: dedup.chunks_of(dedup.candidates(s), "fastcdc")):
         spark.conf.set(BYTES, str(64 << 20))
