@@ -65,9 +65,9 @@ def test_a_task_of_a_batch_reads_a_bounded_part(spark, spans_df, tmp_path, monke
 
 
 def test_long_rows_after_short_ones_end_a_row_group_in_time(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(registry, "LANDED_GROUP", 1 << 20)
+    monkeypatch.setitem(registry.LINES, "parquet.block.size", 1 << 20)
     text = "array_join(transform(sequence(1, IF(id < 9000, 1, 500)), i -> sha2(concat(id, '-', i), 256)), '')"
-    registry._landed(spark.range(0, 9400, 1, 1).select(F.expr(text).alias("value"), F.col("id").alias("seq")), f"file://{tmp_path}/raw", 1)
+    registry._landed(spark.range(0, 9400, 1, 1).select(F.expr(text).alias("value"), F.col("id").alias("seq")), f"file://{tmp_path}/raw", 1, **registry.LINES)
     metas = [pq.read_metadata(p) for p in Path(tmp_path, "raw").rglob("*.parquet")]
     sizes = [m.row_group(i).total_byte_size for m in metas for i in range(m.num_row_groups)]
     assert sum(m.num_rows for m in metas) == 9400 and sum(sizes) > 13_000_000 and max(sizes) <= 2 << 20, sizes
@@ -75,11 +75,11 @@ def test_long_rows_after_short_ones_end_a_row_group_in_time(spark, tmp_path, mon
 
 def test_a_task_of_a_consumer_keeps_a_bounded_part_of_the_lines(spark, sf, tmp_path, monkeypatch):
     monkeypatch.setattr(runner, "LINE_BYTES", 1 << 20)
-    monkeypatch.setattr(registry, "LANDED_GROUP", 1 << 20)
+    monkeypatch.setitem(registry.LINES, "parquet.block.size", 1 << 20)
     text = F.expr("array_join(transform(sequence(1, 500), i -> sha2(concat(id, '-', i), 256)), '')")
     hexed = lambda n: F.lpad(F.hex("id"), n, "0")
     spans = as_spans(spark.range(0, 400, 1, 1).select(hexed(32).alias("trace_id"), hexed(16).alias("span_id"), F.lit(0).alias("start_ns"), F.lit(1).alias("end_ns"), F.array(kv("note", "s", text)).alias("attributes"), F.col("id").alias("seq")))
-    where, most = registry._landed(thin.encode(spans).select("value", "seq"), f"file://{tmp_path}/lines", 1)
+    where, most = registry._landed(thin.encode(spans).select("value", "seq"), f"file://{tmp_path}/lines", 1, **registry.LINES)
     sizes, before = [], spark.conf.get(runner.FILE_SETTING)
 
     def processor(spans):
